@@ -39,8 +39,8 @@ def add_stay_features(df: DataFrame, true_values: Sequence[str] = ("Yes",)) -> D
 class LabelCodes:
     """Codes 0..k-1 per column in label order. ``small`` holds every column that fits the driver."""
 
-    small: dict[str, list[str]]
-    table: DataFrame  # (name, value, code), all columns
+    small: dict[str, list[str] | None]
+    labels: DataFrame  # distinct (name, value), all columns
 
     def encode(self, df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
         for name in columns or self.columns:
@@ -51,6 +51,10 @@ class LabelCodes:
     def columns(self) -> list[str]:
         return list(self.small)
 
+    def table(self) -> DataFrame:
+        """``(name, value, code)`` of every column, numbered without fetching a label."""
+        return label_table(self.labels)
+
     def _encode_one(self, df: DataFrame, name: str) -> DataFrame:
         labels = self.small[name]
         if labels is not None and len(labels) <= LITERAL_LABELS:
@@ -61,7 +65,7 @@ class LabelCodes:
             )
             book = F.broadcast(book)  # at most DRIVER_LABELS rows
         else:
-            book = self.table.filter(F.col("name") == name).select(
+            book = self.table().filter(F.col("name") == name).select(
                 F.col("value").alias("_label"), F.col("code").alias("_code")
             )
         order = df.columns
@@ -95,7 +99,7 @@ def fit_label_codes(
             small[r["name"]].append(r["value"])
         for c in fits:
             small[c].sort(key=lambda v: v.encode())
-    return LabelCodes(small, label_table(labels))
+    return LabelCodes(small, labels)
 
 
 def label_table(labels: DataFrame, buckets: int | None = None) -> DataFrame:
