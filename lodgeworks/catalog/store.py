@@ -115,7 +115,7 @@ def _service_sql(hours: int, prefix: str = "") -> str:
         {pick("no_of_special_requests")} AS no_of_special_requests,
         ROUND(({pick("avg_price_per_room")})::DOUBLE / (({pick("no_of_special_requests")}) + 0.001::DOUBLE), 3)
           AS {prefix}price_per_night_per_request,
-        ROUND(r.avg_price_per_room_current::DOUBLE * (1 - r.current_promotion_discount::DOUBLE), 3)
+        ROUND(r.avg_price_per_room_current::DOUBLE * (1 - r.current_promotion_discount::DOUBLE), 6)
           AS {prefix}discounted_price_per_room
         FROM requests r JOIN t USING (booking_id)""",
         f"t AS ({_TABLE_SQL})",
@@ -129,11 +129,11 @@ def _served(spark, sf, name):
     view = service.views[0][0]
     prefix = "fresh_" if name.endswith("v3") else ""
     df = store.historical_features(service, _requests(rows), {view.name: rows})
-    outs = [f"{prefix}price_per_night_per_request", f"{prefix}discounted_price_per_room"]
+    outs = {f"{prefix}price_per_night_per_request": 3, f"{prefix}discounted_price_per_room": 6}
     return df.select(
         "booking_id", "event_timestamp", "lead_time", "arrival_month", "arrival_date",
         F.round(F.col("avg_price_per_room").cast("double"), 3).alias("avg_price_per_room"),
-        "no_of_special_requests", *[F.round(c, 3).alias(c) for c in outs],
+        "no_of_special_requests", *[F.round(c, n).alias(c) for c, n in outs.items()],
     )
 
 
@@ -194,7 +194,7 @@ def discounted(spark, sf):
     "f14_fresh_request_features",
     over_cleaned(
         """SELECT Booking_ID, ROUND(avg_price_per_room / (no_of_special_requests + 0.001::DOUBLE), 4)
-        AS fresh_price_per_night_per_request, ROUND(avg_price_per_room * (1 - repeated_guest / 4.0::DOUBLE), 4)
+        AS fresh_price_per_night_per_request, ROUND(avg_price_per_room * (1 - repeated_guest / 4.0::DOUBLE), 8)
         AS fresh_discounted_price_per_room FROM cleaned"""
     ),
 )
@@ -206,8 +206,8 @@ def fresh_features(spark, sf):
         }
     )
     out = df.transform(store.request_time_features("fresh_"))
-    names = ("fresh_price_per_night_per_request", "fresh_discounted_price_per_room")
-    return out.select("Booking_ID", *[F.round(c, 4).alias(c) for c in names])
+    digits = {"fresh_price_per_night_per_request": 4, "fresh_discounted_price_per_room": 8}
+    return out.select("Booking_ID", *[F.round(c, n).alias(c) for c, n in digits.items()])
 
 
 _SNAPSHOT_SQL = """SELECT user_id, ts, value FROM events WHERE event_type = 'view'

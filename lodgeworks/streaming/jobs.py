@@ -116,10 +116,10 @@ def _le(bound: float) -> str:
 
 def request_metrics_stream(
     stream: DataFrame, ts: str, duration: str, path: str, checkpoint: str, late: str = "1 minute",
-    available_now: bool = True, every: str | None = "15 seconds",
+    bounds: Sequence[float] = LATENCY_BUCKETS, available_now: bool = True, every: str | None = "15 seconds",
 ) -> StreamingQuery:
     """The metrics of a live log; rows later than ``late`` behind the newest are dropped."""
-    metrics = request_metrics(_as_instant(stream, ts).withWatermark(ts, late), ts, duration)
+    metrics = request_metrics(_as_instant(stream, ts).withWatermark(ts, late), ts, duration, bounds=bounds)
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
