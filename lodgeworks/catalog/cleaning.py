@@ -19,6 +19,7 @@ from lodgeworks.functions.dates import is_valid_date, parse_date, repair_date, s
 from lodgeworks.operators import clean, features, profile, rules
 from lodgeworks.operators.quantiles import exact_quantiles
 from lodgeworks.plans.ingest import cancellation_by_month, clean_bookings
+from lodgeworks.session import staged
 from lodgeworks.sources.bookings import bookings, table
 
 RAW = RAW_SCHEMA.fieldNames()
@@ -337,7 +338,7 @@ def means(spark, sf):
 
 
 def _quantile_rows(spark, sf, probs, names=("lead_time", "avg_price_per_room", "no_of_week_nights")):
-    found = exact_quantiles(bookings(spark, sf, names), names, probs)
+    found = exact_quantiles(staged(bookings(spark, sf, names)), names, probs)
     rows = [(c, float(p), round(q, 6)) for c, by in found.items() for p, q in by.items()]
     return spark.createDataFrame(rows, "column string, prob double, value double")
 
@@ -521,7 +522,7 @@ def fill_nulls(spark, sf):
 )
 def auto_clean(spark, sf):
     df = clean.auto_clean(
-        bookings(spark, sf, ["lead_time", "avg_price_per_room", "type_of_meal_plan"], key=True)
+        staged(bookings(spark, sf, ["lead_time", "avg_price_per_room", "type_of_meal_plan"], key=True))
     )
     return df.withColumns({c: F.round(c, 6) for c in ("lead_time", "avg_price_per_room")})
 

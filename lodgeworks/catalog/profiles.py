@@ -8,6 +8,7 @@ from lodgeworks.catalog.cleaning import cleaned
 from lodgeworks.catalog.registry import over_bookings, query
 from lodgeworks.fields import CATEGORICAL, PCA_COLUMNS
 from lodgeworks.operators import features, profile
+from lodgeworks.session import staged
 from lodgeworks.sources.bookings import bookings
 
 
@@ -69,7 +70,7 @@ _BOX = ("lead_time", "avg_price_per_room", "no_of_week_nights")
     ),
 )
 def box_stats(spark, sf):
-    df = profile.box_stats(bookings(spark, sf, _BOX), _BOX)
+    df = profile.box_stats(staged(bookings(spark, sf, _BOX)), _BOX)
     return df.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
 
 

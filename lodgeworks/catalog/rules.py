@@ -9,6 +9,7 @@ from lodgeworks.catalog.registry import long_sql, over_bookings, over_cleaned, q
 from lodgeworks.functions.columns import number_columns
 from lodgeworks.operators import clean, features, rules
 from lodgeworks.operators.quantiles import iqr_outliers
+from lodgeworks.session import staged
 from lodgeworks.sources.bookings import bookings
 
 
@@ -103,7 +104,7 @@ def _outliers_sql(source: str, columns) -> str:
 
 @query("a11_iqr_outliers", over_bookings(_outliers_sql("bookings", _OUTLIER_COLUMNS)))
 def outliers(spark, sf):
-    found = iqr_outliers(bookings(spark, sf, _OUTLIER_COLUMNS), _OUTLIER_COLUMNS)
+    found = iqr_outliers(staged(bookings(spark, sf, _OUTLIER_COLUMNS)), _OUTLIER_COLUMNS)
     return found.withColumns({c: F.round(c, 6) for c in ("q1", "q3")})
 
 
@@ -159,7 +160,7 @@ def infinite_columns(spark, sf):
     ),
 )
 def quality(spark, sf):
-    report = rules.quality_report(bookings(spark, sf))
+    report = rules.quality_report(staged(bookings(spark, sf)))
     rows = [("rows", None, report.total_rows), ("duplicates", None, report.duplicate_rows)]
     rows += [("nulls", c, n) for c, n in report.missing_values.items()]
     rows += [("outliers", c, n) for c, n in report.outliers.items()]
@@ -180,7 +181,7 @@ def quality(spark, sf):
     ),
 )
 def post_ingestion(spark, sf):
-    found = rules.check_post_ingestion(bookings(spark, sf)).findings
+    found = rules.check_post_ingestion(staged(bookings(spark, sf))).findings
     keep = [f for f in found if f.check != "id_like" or f.column == "Booking_ID"]
     return spark.createDataFrame(
         [(f.check, f.severity, f.n_rows) for f in keep], "check string, severity string, n_rows long"
@@ -189,7 +190,7 @@ def post_ingestion(spark, sf):
 
 @query("v8_all_stages")
 def all_stages(spark, sf):
-    _, result = rules.validate(bookings(spark, sf), strict=False)
+    _, result = rules.validate(staged(bookings(spark, sf)), strict=False)
     return spark.createDataFrame(
         [(f.check, f.column, f.severity, f.n_rows, f.message) for f in result.findings], rules.FINDINGS_SCHEMA
     )
@@ -197,7 +198,7 @@ def all_stages(spark, sf):
 
 @query("v8_all_stages_after_auto_fix")
 def all_stages_fixed(spark, sf):
-    _, result = rules.validate(bookings(spark, sf), strict=False, auto_fix=True)
+    _, result = rules.validate(staged(bookings(spark, sf)), strict=False, auto_fix=True)
     return spark.createDataFrame(
         [(f.check, f.column, f.severity, f.n_rows, f.message) for f in result.findings], rules.FINDINGS_SCHEMA
     )
@@ -205,7 +206,7 @@ def all_stages_fixed(spark, sf):
 
 @query("v10_report_text")
 def report_text(spark, sf):
-    text = rules.validation_report(bookings(spark, sf))
+    text = rules.validation_report(staged(bookings(spark, sf)))
     return spark.createDataFrame([(i, line) for i, line in enumerate(text.splitlines())], "line int, text string")
 
 

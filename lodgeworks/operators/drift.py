@@ -11,6 +11,7 @@ from lodgeworks.fields import DRIFT_THRESHOLDS, RETRAIN_ACCURACY, RETRAIN_DRIFT
 from lodgeworks.functions.columns import long_form, number_columns
 from lodgeworks.operators.metrics import accuracy
 from lodgeworks.operators.ordering import running_totals
+from lodgeworks.session import staged
 
 LOG_SCHEMA = "ts timestamp_ntz, type string, score double, threshold double, details map<string,string>"
 SERIES_TERMS = 100
@@ -63,17 +64,17 @@ def feature_drift(
     both = long_form(reference, names, "double").withColumn("_side", F.lit(0)).unionAll(
         long_form(current, names, "double").withColumn("_side", F.lit(1))
     )
-    counts = both.groupBy("name", "value").agg(
-        F.count_if(F.col("_side") == 0).alias("ref"), F.count_if(F.col("_side") == 1).alias("cur")
+    counts = staged(
+        both.groupBy("name", "value").agg(
+            F.count_if(F.col("_side") == 0).alias("ref"), F.count_if(F.col("_side") == 1).alias("cur")
+        ),
+        "drift",
     )
-    sizes = counts.groupBy("name").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    steps = running_totals(counts, ["value"], ["ref", "cur"], ["name"], buckets)
-    gap = F.abs(F.col("ref_upto") / F.col("n_ref") - F.col("cur_upto") / F.col("n_cur"))
-    # One row per feature on the right; a feature absent on one side has no statistic.
-    filled = sizes.filter("n_ref > 0 AND n_cur > 0")
+    steps = running_totals(counts, ["value"], ["ref", "cur"], ["name"], buckets, totals=True)
+    gap = F.abs(F.col("ref_upto") / F.col("ref_total") - F.col("cur_upto") / F.col("cur_total"))
     return (
-        steps.join(F.broadcast(filled), "name")
-        .groupBy("name", "n_ref", "n_cur")
+        steps.filter("ref_total > 0 AND cur_total > 0")  # a feature absent on one side has no statistic
+        .groupBy("name", F.col("ref_total").alias("n_ref"), F.col("cur_total").alias("n_cur"))
         .agg(F.max(gap).alias("d"))
         .select(
             F.col("name").alias("feature"), "n_ref", "n_cur", "d",

@@ -13,6 +13,7 @@ from lodgeworks.fields import CATEGORICAL, FEATURE_TABLE, TARGET
 from lodgeworks.functions.columns import absent_columns, long_form, missing, require_columns
 from lodgeworks.operators.clean import require_rows
 from lodgeworks.operators.ordering import running_totals
+from lodgeworks.session import staged
 
 LITERAL_LABELS = 64  # a dictionary up to this size becomes part of the expression
 DRIVER_LABELS = 10_000  # up to this size it is fetched and broadcast; beyond, it stays a table
@@ -92,6 +93,8 @@ def fit_label_codes(
     labels = long_form(df, columns, "string").distinct()
     sizes = {r["name"]: r["count"] for r in labels.groupBy("name").count().collect()}
     fits = [c for c in columns if sizes.get(c, 0) <= driver_labels]
+    if len(fits) < len(columns):
+        labels = staged(labels, "labels")  # numbered and joined later, from several reads
     small: dict[str, list[str] | None] = {c: None for c in columns}
     if fits:
         small.update({c: [] for c in fits})

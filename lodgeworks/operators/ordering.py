@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodgeworks.session import staged
+
 SAMPLES_PER_BUCKET = 20
 MAX_BUCKETS = 2_000
 STRIDE = 32
@@ -23,27 +25,29 @@ def default_buckets(df: DataFrame) -> int:
 
 
 def _literal_key(schema, row) -> Column:
-    return F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema, row)])
+    parts = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema, row)]
+    return parts[0] if len(parts) == 1 else F.struct(*parts)
+
+
+def _key(names: Sequence[str]) -> Column:
+    return F.col(names[0]) if len(names) == 1 else F.struct(*names)
 
 
 def split_points(df: DataFrame, keys: Sequence[str], buckets: int) -> list[tuple]:
     """Sorted keys that cut the key range into about equal parts.
 
-    The sample is the keys with the smallest hashes: uniform over the rows of ``df``, repeatable,
-    and of fixed size whatever the table holds.
+    The sample is the keys whose hash falls below a limit set from the row count: uniform over the
+    distinct keys, repeatable, spread over all tasks and of about the same size for any table.
     """
     if buckets < 2:
         return []
-    key = F.struct(*keys)
-    sample = (
-        df.select(key.alias("k"))
-        .orderBy(F.xxhash64("k"))
-        .limit(buckets * SAMPLES_PER_BUCKET)
-        .select("k.*")
-        .distinct()
-        .orderBy(*keys)
-        .collect()
-    )
+    rows = df.count()
+    wanted = buckets * SAMPLES_PER_BUCKET
+    picked = df.select(*keys)
+    if rows > wanted:
+        share = max(1, rows // wanted)
+        picked = picked.filter(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0)
+    sample = picked.distinct().orderBy(*keys).collect()
     step = len(sample) / buckets
     picks = sorted({int(step * i) for i in range(1, buckets)}) if sample else []
     return [tuple(sample[i]) for i in picks]
@@ -67,62 +71,67 @@ def running_totals(
     sums: Sequence[str],
     group: Sequence[str] = (),
     buckets: int | None = None,
+    totals: bool = False,
 ) -> DataFrame:
     """Add ``{name}_upto`` for each of ``sums``: its total up to and including the row, per group.
 
-    ``df`` should hold one row per (group, order): aggregate first, so that a frequent value is one
-    row here. Groups are not partitions of their own, so a group of any size is spread over buckets.
+    With ``totals``, also ``{name}_total``: its total over the group. ``df`` should hold one row per
+    (group, order): aggregate first, so that a frequent value is one row here. Groups are not
+    partitions of their own, so a group of any size is spread over buckets. ``df`` is read several
+    times: stage it when it is expensive.
     """
     group, order, sums = list(group), list(order), list(sums)
     keys = group + order
     points = split_points(df, keys, buckets or default_buckets(df))
-    carried = [f"_carry_{s}" for s in sums]
     if points:
         schema = df.select(*keys).schema
         bounds = F.array(*[_literal_key(schema, p) for p in points])
-        df = df.withColumn("_bucket", bucket_index(F.struct(*keys), bounds, len(points)))
+        df = df.withColumn("_bucket", bucket_index(_key(keys), bounds, len(points)))
     else:
         df = df.withColumn("_bucket", F.lit(0))
 
-    within = (
-        Window.partitionBy("_bucket", *group)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    totals = {f"{s}_upto": F.sum(s).over(within) for s in sums}
+    part = Window.partitionBy("_bucket", *group)
+    upto = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    added = {f"{s}_upto": F.sum(s).over(upto) for s in sums}
+    if totals:
+        added.update({f"{s}_total": F.sum(s).over(part) for s in sums})
+    summed = df.withColumns(added)
     if not points:
-        return df.withColumns(totals).drop("_bucket")
+        return summed.drop("_bucket")
 
     # Only a group that a split point falls into can reach over several buckets.
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     spanning = df
     if group:
         names = df.select(*group).schema
-        heads = {p[: len(group)] for p in points}
-        in_heads = F.lit(False)
-        for head in sorted(heads, key=repr):
-            same = F.lit(True)
-            for f, v in zip(names, head):
-                same = same & F.col(f.name).eqNullSafe(F.lit(v).cast(f.dataType))
-            in_heads = in_heads | same
-        spanning = df.filter(in_heads)
+        heads = df.sparkSession.createDataFrame(sorted({p[: len(group)] for p in points}, key=repr), names)
+        heads = F.broadcast(heads.select(*[F.col(g).alias(f"_h_{g}") for g in group]))
+        spanning = df.join(heads, _null_safe(group, "_h_"), "left_semi")
+    whole = Window.partitionBy(*group)
+    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
         spanning.groupBy("_bucket", *group)
         .agg(*[F.sum(s).alias(s) for s in sums])
         .select(
             F.col("_bucket").alias("_b"),
             *[F.col(g).alias(f"_g_{g}") for g in group],
-            *[F.sum(s).over(before).alias(c) for s, c in zip(sums, carried)],
+            *[F.sum(s).over(before).alias(f"_before_{s}") for s in sums],
+            *[F.sum(s).over(whole).alias(f"_whole_{s}") for s in sums],
         )
     )
-    match = F.col("_bucket") == F.col("_b")
-    for g in group:
-        match = match & F.col(g).eqNullSafe(F.col(f"_g_{g}"))
+    match = (F.col("_bucket") == F.col("_b")) & _null_safe(group, "_g_")
     # At most len(points) + 1 buckets, each with at most one group carried in and one carried out.
-    joined = df.withColumns(totals).join(F.broadcast(carry), match, "left")
-    return joined.withColumns(
-        {f"{s}_upto": F.col(f"{s}_upto") + F.coalesce(c, F.lit(0)) for s, c in zip(sums, carried)}
-    ).drop("_bucket", "_b", *[f"_g_{g}" for g in group], *carried)
+    joined = summed.join(F.broadcast(carry), match, "left")
+    final = {f"{s}_upto": F.col(f"{s}_upto") + F.coalesce(f"_before_{s}", F.lit(0)) for s in sums}
+    if totals:
+        final.update({f"{s}_total": F.coalesce(f"_whole_{s}", f"{s}_total") for s in sums})
+    return joined.withColumns(final).select(*df.drop("_bucket").columns, *added)
+
+
+def _null_safe(group: Sequence[str], prefix: str) -> Column:
+    same = F.lit(True)
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(prefix + g))
+    return same
 
 
 def number_rows(
@@ -145,20 +154,14 @@ def grouped_quantiles(
 ) -> DataFrame:
     """``group`` columns, ``n`` and one column ``q0, q1, ...`` per probability; exact, interpolated."""
     group = list(group)
-    counts = (
+    counts = staged(
         df.select(*group, F.col(value).cast("double").alias("_v"))
         .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy(*group, "_v")
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "counts",
     )
-    sizes = counts.groupBy(*group).agg(F.sum("_n").alias("n"))
-    placed = running_totals(counts, ["_v"], ["_n"], group, buckets)
-    # Null-safe on the group, so that rows without a category form a group like any other.
-    right = sizes.select(*[F.col(g).alias(f"_s_{g}") for g in group], "n")
-    match = F.lit(True)
-    for g in group:
-        match = match & F.col(g).eqNullSafe(F.col(f"_s_{g}"))
-    ranked = placed.join(right, match).drop(*[f"_s_{g}" for g in group])
+    ranked = running_totals(counts, ["_v"], ["_n"], group, buckets, totals=True).withColumnRenamed("_n_total", "n")
     upto, start = F.col("_n_upto"), F.col("_n_upto") - F.col("_n")
     aggs = []
     for i, p in enumerate(probs):

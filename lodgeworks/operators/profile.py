@@ -13,6 +13,9 @@ from lodgeworks.functions.columns import present
 from lodgeworks.operators.ordering import grouped_quantiles
 from lodgeworks.operators.quantiles import exact_quantiles
 
+SALT = 32
+SMALL_SAMPLE = 1_000
+
 
 def count_by(df: DataFrame, *columns: str) -> DataFrame:
     """Rows per value combination, nulls left out (a plot has no bar for them)."""
@@ -112,13 +115,16 @@ def box_stats_by(df: DataFrame, group: str, value: str = "lead_time") -> DataFra
     iqr = F.col("q3") - F.col("q1")
     v = F.col("_v")
     inside = v.between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
-    # Counting equal values first leaves the join with distinct (category, value) rows.
+    # Counting equal values first leaves distinct (category, value) rows; the salt spreads those of
+    # a large category over several join keys.
+    salt = F.pmod(F.xxhash64("_v"), F.lit(SALT))
     counts = (
         df.select(group, present(df, value).cast("double").alias("_v")).filter(v.isNotNull())
-        .groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n"))
+        .groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_salt", salt)
     )
+    salted = quartiles.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
     return (
-        counts.join(quartiles, F.col(group).eqNullSafe(F.col("_g")))
+        counts.join(salted, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_salt") == F.col("_s")))
         .groupBy(group, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, v)).alias("whisker_low"),
@@ -129,8 +135,14 @@ def box_stats_by(df: DataFrame, group: str, value: str = "lead_time") -> DataFra
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows chosen by chance; each task keeps only its own best ``n``."""
-    return df.withColumn("_r", F.rand(seed)).orderBy("_r").limit(n).drop("_r")
+    """``n`` rows chosen by chance. A large sample is thinned first, so that the tasks together
+    hand on little more than ``n`` rows."""
+    drawn = df.withColumn("_r", F.rand(seed))
+    if n > SMALL_SAMPLE:
+        total = df.count()
+        if total > 2 * n:
+            drawn = drawn.filter(F.col("_r") < 1.3 * n / total)
+    return drawn.orderBy("_r").limit(n).drop("_r")
 
 
 def head(df: DataFrame, n: int, *keys: str) -> DataFrame:

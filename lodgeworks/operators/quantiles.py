@@ -1,10 +1,12 @@
 """Exact quantiles of whole columns by selection: repeated scans, no shuffle of the values.
 
 Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here each pass is
-one scan with a small aggregate: a sketch brackets the wanted rank, a count proves the bracket, and
-the bracket shrinks by about the sketch accuracy per pass until few values are left to look at. The
-result never depends on the sketch being right: a bracket that misses the rank is opened to the
-column's range and narrowed again.
+one scan with a small aggregate: it counts the rows below and inside a bracket of values, and draws
+a sample of fixed size from inside. The counts prove that the bracket holds the wanted rank, the
+sample says where to cut it next, and after a few passes the sample is the whole bracket. A cut that
+misses the rank, which the counts show, is drawn again; the result never depends on chance.
+
+Every pass reads ``df`` anew: a frame that is expensive to compute should be staged first.
 """
 
 from __future__ import annotations
@@ -19,21 +21,22 @@ from pyspark.sql import functions as F
 
 from lodgeworks.functions.columns import present
 
-ACCURACY = 10_000
-LOOK_AT = 5_000  # largest bracket whose values are fetched, as (value, count) pairs
+SAMPLE = 50_000  # expected values per target that a pass brings to the driver
+SMALLEST_SAMPLE = 500  # fewer could not narrow a bracket by much
+SPREAD = 6.0  # half width of a cut in standard errors of the sample rank
 
 
 @dataclass
 class _Target:
-    """One (column, probability): the ranks around it and the bracket known to hold them."""
+    """One (column, probability): the ranks around it and the bracket that may hold them."""
 
     name: str
     prob: float
     n: int
     low: Any
     high: Any
-    below: int = 0  # rows smaller than ``low``
-    inside: int = 0  # rows in [low, high]
+    expected: float  # rows the bracket should hold, for the sampling rate
+    known: tuple[Any, Any, int, int] | None = None  # last proven bracket: low, high, below, inside
     answer: float | None = None
 
     @property
@@ -41,123 +44,88 @@ class _Target:
         place = (self.n - 1) * self.prob
         return math.floor(place), math.ceil(place)
 
-    def interpolate(self, a: float, b: float) -> None:
+    def interpolate(self, a: Any, b: Any) -> None:
+        a, b = float(a), float(b)
         self.answer = a if a == b else a + (b - a) * ((self.n - 1) * self.prob - self.ranks[0])
 
-    def settle(self, values: Sequence[tuple[Any, int]]) -> None:
-        """Interpolate between the two ranks from the sorted (value, count) pairs inside."""
+    def take(self, below: int, inside: int, values: Sequence[Any]) -> bool:
+        """Use one pass's result; False when the bracket can no longer be cut by sampling."""
         first, last = self.ranks
-        seen, found = self.below, {}
-        for value, count in values:
-            for rank in (first, last):
-                if seen <= rank < seen + count:
-                    found[rank] = float(value)
-            seen += count
-        self.interpolate(found[first], found[last])
+        if not (below <= first and last < below + inside):
+            self.low, self.high, _, self.expected = self.known  # a missed cut: draw again
+            return True
+        if self.low == self.high:
+            self.interpolate(self.low, self.high)
+            return True
+        if len(values) == inside:
+            ordered = sorted(values)
+            self.interpolate(ordered[first - below], ordered[last - below])
+            return True
+        self.known = (self.low, self.high, below, inside)
+        if not values:
+            self.expected = inside
+            return True
+        ordered, m = sorted(values), len(values)
+        slack = SPREAD * math.sqrt(0.25 / m)
+        left = math.floor(((first - below) / inside - slack) * m)
+        right = math.ceil(((last + 1 - below) / inside + slack) * m)
+        low = self.low if left < 0 else ordered[left]
+        high = self.high if right >= m else ordered[right]
+        self.expected = inside * min(1.0, (right - left + 2) / m)
+        if (low, high) == (self.low, self.high):
+            return False
+        self.low, self.high = low, high
+        return True
 
 
 def _inside(df: DataFrame, t: _Target) -> Column:
-    col = present(df, t.name)
-    return F.when(col.between(F.lit(t.low), F.lit(t.high)), col)
+    return present(df, t.name).between(F.lit(t.low), F.lit(t.high))
 
 
 def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probs: Sequence[float],
-    accuracy: int = ACCURACY,
-    look_at: int = LOOK_AT,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sample: int = SAMPLE, seed: int = 42
 ) -> dict[str, dict[float, float | None]]:
     """Linearly interpolated quantiles, null and NaN left out; ``None`` for an empty column."""
     columns = list(dict.fromkeys(columns))
-    slack = 2.0 / accuracy
-    edges = [q for p in probs for q in (max(0.0, p - slack), min(1.0, p + slack))]
+    sample = max(sample, SMALLEST_SAMPLE)
     first = df.agg(
         *[F.count(present(df, c)).alias(f"n_{c}") for c in columns],
         *[F.min(present(df, c)).alias(f"lo_{c}") for c in columns],
         *[F.max(present(df, c)).alias(f"hi_{c}") for c in columns],
-        *[F.percentile_approx(present(df, c), edges, accuracy).alias(f"q_{c}") for c in columns],
     ).first()
-    found: dict[str, dict[float, float | None]] = {c: {} for c in columns}
-    ranges = {c: (first[f"lo_{c}"], first[f"hi_{c}"]) for c in columns}
-    targets = []
-    for c in columns:
-        n, sketch = first[f"n_{c}"], first[f"q_{c}"]
-        for i, p in enumerate(probs):
-            if n == 0:
-                found[c][p] = None
-                continue
-            # A probability at the very edge uses the range itself, which the sketch may miss.
-            low = ranges[c][0] if p <= slack else sketch[2 * i]
-            high = ranges[c][1] if p >= 1 - slack else sketch[2 * i + 1]
-            targets.append(_Target(c, p, n, low, high))
-
-    open_targets = targets
-    while open_targets:
-        counts = df.agg(
-            *[
-                F.count_if(present(df, t.name) < F.lit(t.low)).alias(f"b{i}")
-                for i, t in enumerate(open_targets)
-            ],
-            *[F.count(_inside(df, t)).alias(f"i{i}") for i, t in enumerate(open_targets)],
-        ).first()
-        fetch, narrow = [], []
-        for i, t in enumerate(open_targets):
-            t.below, t.inside = counts[f"b{i}"], counts[f"i{i}"]
-            lo, hi = t.ranks
-            if not (t.below <= lo and hi < t.below + t.inside):
-                t.low, t.high = ranges[t.name]
-                t.below, t.inside = 0, t.n
-            if t.low == t.high:
-                t.settle([(t.low, t.inside)])
-            elif t.inside <= look_at:
-                fetch.append(t)
-            else:
-                narrow.append(t)
-        if fetch:
-            cells = [
-                F.struct(F.lit(i).alias("id"), _inside(df, t).cast("double").alias("value"))
-                for i, t in enumerate(fetch)
+    targets = [
+        _Target(c, p, first[f"n_{c}"], first[f"lo_{c}"], first[f"hi_{c}"], first[f"n_{c}"])
+        for c in columns
+        for p in probs
+        if first[f"n_{c}"]
+    ]
+    waiting, turn = targets, 0
+    while waiting:
+        turn += 1
+        drawn = df.withColumn("_u", F.rand(seed + turn))
+        aggs = []
+        for i, t in enumerate(waiting):
+            rate = min(1.0, sample / max(t.expected, 1.0))
+            hit = _inside(df, t) if rate >= 1.0 else _inside(df, t) & (F.col("_u") < rate)
+            aggs += [
+                F.count_if(present(df, t.name) < F.lit(t.low)).alias(f"b{i}"),
+                F.count_if(_inside(df, t)).alias(f"i{i}"),
+                # About ``sample`` values, whatever the bracket holds; all of them when they are few.
+                F.collect_list(F.when(hit, present(df, t.name))).alias(f"s{i}"),
             ]
-            rows = (
-                df.select(F.explode(F.array(*cells)).alias("_c"))
-                .select("_c.id", "_c.value")
-                .filter(F.col("value").isNotNull())
-                .groupBy("id", "value")
-                .count()
-                .collect()
-            )
-            for i, t in enumerate(fetch):
-                t.settle(sorted((r["value"], r["count"]) for r in rows if r["id"] == i))
-        if narrow:
-            sketched = df.agg(
-                *[
-                    F.percentile_approx(_inside(df, t), _edges(t, slack), accuracy).alias(f"q{i}")
-                    for i, t in enumerate(narrow)
-                ]
-            ).first()
-            for i, t in enumerate(narrow):
-                low, high = sketched[f"q{i}"]
-                if (low, high) == (t.low, t.high):
-                    _peel(df, t)  # the two ends outweigh what the sketch can tell apart
-                else:
-                    t.low, t.high = low, high
-        open_targets = [t for t in narrow if t.answer is None]
+        row = drawn.agg(*aggs).first()
+        for i, t in enumerate(waiting):
+            if not t.take(row[f"b{i}"], row[f"i{i}"], row[f"s{i}"]):
+                _peel(df, t)
+        waiting = [t for t in waiting if t.answer is None]
+    found: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in columns}
     for t in targets:
         found[t.name][t.prob] = t.answer
     return found
 
 
-def _edges(t: _Target, slack: float) -> list[float]:
-    first, last = (r - t.below for r in t.ranks)
-    return [
-        max(0.0, first / t.inside - slack),
-        min(1.0, (last + 1) / t.inside + slack),
-    ]
-
-
 def _peel(df: DataFrame, t: _Target) -> None:
-    """Take the two end values off the bracket, or answer when a rank falls on one of them."""
+    """Take the two end values off a bracket that they fill, or answer when a rank is on one."""
     col, low, high = present(df, t.name), F.lit(t.low), F.lit(t.high)
     row = df.agg(
         F.count_if(col == low).alias("at_low"),
@@ -166,14 +134,16 @@ def _peel(df: DataFrame, t: _Target) -> None:
         F.max(F.when((col >= low) & (col < high), col)).alias("last_but_one"),
     ).first()
     first, last = t.ranks
-    low_end = t.below + row["at_low"]
-    high_start = t.below + t.inside - row["at_high"]
+    _, _, below, inside = t.known
+    low_end = below + row["at_low"]
+    high_start = below + inside - row["at_high"]
     if first < low_end:
-        t.interpolate(float(t.low), float(t.low if last < low_end else row["second"]))
+        t.interpolate(t.low, t.low if last < low_end else row["second"])
     elif last >= high_start:
-        t.interpolate(float(t.high if first >= high_start else row["last_but_one"]), float(t.high))
+        t.interpolate(t.high if first >= high_start else row["last_but_one"], t.high)
     else:
         t.low, t.high = row["second"], row["last_but_one"]
+        t.expected = inside - row["at_low"] - row["at_high"]
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:
