@@ -87,6 +87,8 @@ def exact_quantiles(
 ) -> dict[str, dict[float, float | None]]:
     """Linearly interpolated quantiles, null and NaN left out; ``None`` for an empty column."""
     columns = list(dict.fromkeys(columns))
+    if not columns:
+        return {}
     sample = max(sample, SMALLEST_SAMPLE)
     first = df.agg(
         *[F.count(present(df, c)).alias(f"n_{c}") for c in columns],
