@@ -66,6 +66,20 @@ class Cells:
         grow(sample, leaves, np.full(dims, -np.inf), np.full(dims, np.inf))
         self.low, self.high = np.array(lows), np.array(highs)
 
+    def to_dict(self) -> dict:
+        """Plain lists; infinite box edges are written as None."""
+        edge = lambda box: [[v if np.isfinite(v) else None for v in row] for row in box.tolist()]
+        return {"axis": self.axis, "cut": self.cut, "left": self.left, "right": self.right,
+                "low": edge(self.low), "high": edge(self.high)}
+
+    @classmethod
+    def from_dict(cls, parts: dict) -> Cells:
+        cells = cls.__new__(cls)
+        cells.axis, cells.cut, cells.left, cells.right = (parts[n] for n in ("axis", "cut", "left", "right"))
+        fill = lambda box, empty: np.array([[empty if v is None else v for v in row] for row in box])
+        cells.low, cells.high = fill(parts["low"], -np.inf), fill(parts["high"], np.inf)
+        return cells
+
     @property
     def n_leaves(self) -> int:
         return len(self.low)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from lodgeworks.functions.columns import present
 
 SAMPLE = 50_000  # expected values per target that a pass brings to the driver
+DRIVER_VALUES = 2_000_000  # values that one pass may bring in for all targets together
 SMALLEST_SAMPLE = 500  # fewer could not narrow a bracket by much
 SPREAD = 6.0  # half width of a cut in standard errors of the sample rank
 
@@ -89,7 +90,7 @@ def exact_quantiles(
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    sample = max(sample, SMALLEST_SAMPLE)
+    sample = max(min(sample, DRIVER_VALUES // (len(columns) * len(probs))), SMALLEST_SAMPLE)
     first = df.agg(
         *[F.count(present(df, c)).alias(f"n_{c}") for c in columns],
         *[F.min(present(df, c)).alias(f"lo_{c}") for c in columns],

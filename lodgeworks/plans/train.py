@@ -13,8 +13,10 @@ from pyspark.sql import functions as F
 from lodgeworks.fields import DEPLOYMENT_THRESHOLD, MODEL_FEATURES, REQUEST_SCHEMA
 from lodgeworks.operators.metrics import accuracy, class_report
 from lodgeworks.operators.models import Fitted, best_of, presets, results_table, train_all
+from lodgeworks.operators.persistence import chain, load_model, save_model
 from lodgeworks.operators.split import Scaler, add_split, fit_scaler
 from lodgeworks.session import checkpointed
+from lodgeworks.sources.files import read_parquet
 
 
 @dataclass
@@ -61,17 +63,17 @@ def gate(model: Any, test: DataFrame, threshold: float = DEPLOYMENT_THRESHOLD) -
     return class_report(scored)
 
 
-def scoring_model(scaler: Scaler, model: PipelineModel | Any) -> PipelineModel:
+def scoring_model(scaler: Scaler, model: Any) -> Any:
     """Scaler and classifier as one model that takes raw request columns."""
-    return PipelineModel([*scaler.stages(), model])
+    return chain(scaler.stages(), model)
 
 
 def register(
-    spark: SparkSession, model: PipelineModel, name: str, root: str, version: int, score: float, run_ts: str
+    spark: SparkSession, model: Any, name: str, root: str, version: int, score: float, run_ts: str
 ) -> str:
     """Save the model under its version and add a row to the ``models`` table."""
     path = f"{root}/{name}/version={version}"
-    model.write().overwrite().save(path)
+    save_model(spark, model, path)
     row = spark.createDataFrame(
         [(name, version, path, float(score))], "model string, version int, path string, accuracy double"
     )
@@ -79,15 +81,15 @@ def register(
     return path
 
 
-def load_registered(spark: SparkSession, root: str, name: str | None = None) -> PipelineModel:
-    """The newest registered model (of ``name``, or the most accurate newest one)."""
-    models = spark.read.parquet(f"{root}/models")
+def load_registered(spark: SparkSession, root: str, name: str | None = None) -> Any:
+    """The newest registered model (of ``name``, or of any name)."""
+    models = read_parquet(spark, f"{root}/models")
     if name is not None:
         models = models.filter(F.col("model") == name)
     newest = models.orderBy(F.desc("registered"), F.desc("accuracy"), F.desc("version")).first()
     if newest is None:
         raise FileNotFoundError(f"no registered model under {root}")
-    return PipelineModel.load(newest["path"])
+    return load_model(spark, newest["path"])
 
 
 def save_splits(prepared: Prepared, path: str) -> None:
@@ -104,7 +106,7 @@ def request_frame(df: DataFrame) -> DataFrame:
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in REQUEST_SCHEMA])
 
 
-def score(model: PipelineModel, requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+def score(model: Any, requests: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Requests with ``booking_status`` as predicted; batch or stream."""
     scored = model.transform(requests)
     columns = [*keep, *REQUEST_SCHEMA.fieldNames()]

@@ -152,7 +152,7 @@ def test_gate(prepared):
 
 def test_register_load_and_score(spark, rows, prepared, tmp_path):
     root = str(tmp_path)
-    with pytest.raises(Exception):
+    with pytest.raises(FileNotFoundError):
         training.load_registered(spark, root)
     for version, name in ((1, "logistic_regression"), (2, "random_forest")):
         best, _ = training.train(prepared, [name], small=True)
@@ -170,6 +170,16 @@ def test_register_load_and_score(spark, rows, prepared, tmp_path):
     assert spark.read.parquet(f"{root}/splits").count() == rows.count()
 
 
+@pytest.mark.parametrize("name", ["ada_boost", "svc", "knn", "stacked_clf"])
+def test_every_kind_of_model_survives_saving(spark, rows, prepared, tmp_path, name):
+    best, _ = training.train(prepared, [name], small=True)
+    model = training.scoring_model(prepared.scaler, best.model)
+    training.register(spark, model, name, str(tmp_path), 1, best.accuracy, "2024-02-01 00:00:00")
+    some = rows.filter("booking_id < 300")
+    again = training.score(training.load_registered(spark, str(tmp_path)), some, ["booking_id"])
+    assert again.exceptAll(training.score(model, some, ["booking_id"])).isEmpty() and again.count() == 300
+
+
 def test_random_search(prepared):
     preset = models.presets(prepared.scaler.outputs, prepared.key, small=True)["logistic_regression"]
     run = lambda: tuning.random_search("logistic_regression", preset, prepared.parts["train"], prepared.key,
