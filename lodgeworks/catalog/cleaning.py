@@ -339,14 +339,14 @@ def means(spark, sf):
 
 def _quantile_rows(spark, sf, probs, names=("lead_time", "avg_price_per_room", "no_of_week_nights")):
     found = exact_quantiles(staged(bookings(spark, sf, names)), names, probs)
-    rows = [(c, float(p), round(q, 6)) for c, by in found.items() for p, q in by.items()]
+    rows = [(c, float(p), round(q, 8)) for c, by in found.items() for p, q in by.items()]
     return spark.createDataFrame(rows, "column string, prob double, value double")
 
 
 def _quantile_sql(probs, names=("lead_time", "avg_price_per_room", "no_of_week_nights")):
     return over_bookings(
         " UNION ALL ".join(
-            f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS prob, ROUND(QUANTILE_CONT({c}, {p}), 6)::DOUBLE AS value"
+            f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS prob, ROUND(QUANTILE_CONT({c}, {p}), 8)::DOUBLE AS value"
             " FROM bookings"
             for c in names
             for p in probs

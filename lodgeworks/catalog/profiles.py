@@ -58,8 +58,8 @@ _BOX = ("lead_time", "avg_price_per_room", "no_of_week_nights")
     "a18_box_stats",
     over_bookings(
         " UNION ALL ".join(
-            f"""SELECT '{c}' AS "column", ROUND(q1, 6)::DOUBLE AS q1, ROUND(m, 6)::DOUBLE AS median,
-            ROUND(q3, 6)::DOUBLE AS q3,
+            f"""SELECT '{c}' AS "column", ROUND(q1, 8)::DOUBLE AS q1, ROUND(m, 8)::DOUBLE AS median,
+            ROUND(q3, 8)::DOUBLE AS q3,
             MIN({c}) FILTER (WHERE {c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::DOUBLE AS whisker_low,
             MAX({c}) FILTER (WHERE {c} BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1))::DOUBLE AS whisker_high,
             COUNT(*) FILTER (WHERE {c} NOT BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)) AS n_fliers
@@ -71,14 +71,14 @@ _BOX = ("lead_time", "avg_price_per_room", "no_of_week_nights")
 )
 def box_stats(spark, sf):
     df = profile.box_stats(staged(bookings(spark, sf, _BOX)), _BOX)
-    return df.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
+    return df.withColumns({c: F.round(c, 8) for c in ("q1", "median", "q3")})
 
 
 def _box_by_sql(group: str) -> str:
     inside = "lead_time BETWEEN q1 - 1.5 * (q3 - q1) AND q3 + 1.5 * (q3 - q1)"
     return over_bookings(
-        f"""SELECT b.{group}, n, ROUND(q1, 6)::DOUBLE AS q1, ROUND(median, 6)::DOUBLE AS median,
-        ROUND(q3, 6)::DOUBLE AS q3, MIN(lead_time) FILTER (WHERE {inside})::DOUBLE AS whisker_low,
+        f"""SELECT b.{group}, n, ROUND(q1, 8)::DOUBLE AS q1, ROUND(median, 8)::DOUBLE AS median,
+        ROUND(q3, 8)::DOUBLE AS q3, MIN(lead_time) FILTER (WHERE {inside})::DOUBLE AS whisker_low,
         MAX(lead_time) FILTER (WHERE {inside})::DOUBLE AS whisker_high,
         COUNT(lead_time) FILTER (WHERE NOT ({inside})) AS n_fliers
         FROM bookings b JOIN (SELECT {group} AS g, COUNT(lead_time) AS n, QUANTILE_CONT(lead_time, 0.25) AS q1,
@@ -91,7 +91,7 @@ def _box_by(name: str, group: str) -> None:
     @query(name, _box_by_sql(group))
     def stats(spark, sf):
         df = profile.box_stats_by(bookings(spark, sf, [group, "lead_time"]), group)
-        return df.withColumns({c: F.round(c, 6) for c in ("q1", "median", "q3")})
+        return df.withColumns({c: F.round(c, 8) for c in ("q1", "median", "q3")})
 
 
 _box_by("a19_box_stats_by_segment", "market_segment_type")

@@ -95,7 +95,7 @@ _OUTLIER_COLUMNS = ("lead_time", "avg_price_per_room", "no_of_week_nights", "req
 
 def _outliers_sql(source: str, columns) -> str:
     return " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", ROUND(q1, 6)::DOUBLE AS q1, ROUND(q3, 6)::DOUBLE AS q3,
+        f"""SELECT '{c}' AS "column", ROUND(q1, 8)::DOUBLE AS q1, ROUND(q3, 8)::DOUBLE AS q3,
         (SELECT COUNT(*) FROM {source} WHERE {c} < q1 - 1.5 * (q3 - q1) OR {c} > q3 + 1.5 * (q3 - q1)) AS n_outliers
         FROM (SELECT QUANTILE_CONT({c}, 0.25) AS q1, QUANTILE_CONT({c}, 0.75) AS q3 FROM {source})"""
         for c in columns
@@ -105,7 +105,7 @@ def _outliers_sql(source: str, columns) -> str:
 @query("a11_iqr_outliers", over_bookings(_outliers_sql("bookings", _OUTLIER_COLUMNS)))
 def outliers(spark, sf):
     found = iqr_outliers(staged(bookings(spark, sf, _OUTLIER_COLUMNS)), _OUTLIER_COLUMNS)
-    return found.withColumns({c: F.round(c, 6) for c in ("q1", "q3")})
+    return found.withColumns({c: F.round(c, 8) for c in ("q1", "q3")})
 
 
 @query(

@@ -91,17 +91,20 @@ def fit_label_codes(
     is numbered by bucketed running totals and joined as a table.
     """
     labels = long_form(df, columns, "string").distinct()
-    sizes = {r["name"]: r["count"] for r in labels.groupBy("name").count().collect()}
-    fits = [c for c in columns if sizes.get(c, 0) <= driver_labels]
-    if len(fits) < len(columns):
-        labels = staged(labels, "labels")  # numbered and joined later, from several reads
-    small: dict[str, list[str] | None] = {c: None for c in columns}
-    if fits:
-        small.update({c: [] for c in fits})
-        for r in labels.filter(F.col("name").isin(*fits)).collect():
-            small[r["name"]].append(r["value"])
-        for c in fits:
-            small[c].sort(key=lambda v: v.encode())
+    first = labels.limit(driver_labels + 1).collect()
+    if len(first) <= driver_labels:  # the usual case: everything there is
+        small: dict[str, list[str] | None] = {c: [] for c in columns}
+    else:
+        labels = staged(labels, "labels")  # counted, numbered and joined from several reads
+        sizes = {r["name"]: r["count"] for r in labels.groupBy("name").count().collect()}
+        fits = [c for c in columns if sizes.get(c, 0) <= driver_labels]
+        small = {c: [] if c in fits else None for c in columns}
+        first = labels.filter(F.col("name").isin(*fits)).collect() if fits else []
+    for r in first:
+        small[r["name"]].append(r["value"])
+    for known in small.values():
+        if known is not None:
+            known.sort(key=str.encode)
     return LabelCodes(small, labels)
 
 

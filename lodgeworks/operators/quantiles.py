@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from lodgeworks.functions.columns import present
 
-SAMPLE = 50_000  # expected values per target that a pass brings to the driver
-DRIVER_VALUES = 2_000_000  # values that one pass may bring in for all targets together
+SAMPLE = 50_000  # expected values per target that a pass gathers
+PASS_VALUES = 2_000_000  # values that one pass may gather for all targets together
 SMALLEST_SAMPLE = 500  # fewer could not narrow a bracket by much
 SPREAD = 6.0  # half width of a cut in standard errors of the sample rank
 
@@ -49,33 +49,24 @@ class _Target:
         a, b = float(a), float(b)
         self.answer = a if a == b else a + (b - a) * ((self.n - 1) * self.prob - self.ranks[0])
 
-    def take(self, below: int, inside: int, values: Sequence[Any]) -> bool:
+    def take(self, below: int, inside: int, drawn: int, cut: tuple[Any, Any], ends: tuple[Any, Any]) -> bool:
         """Use one pass's result; False when the bracket can no longer be cut by sampling."""
         first, last = self.ranks
         if not (below <= first and last < below + inside):
             self.low, self.high, _, self.expected = self.known  # a missed cut: draw again
-            return True
-        if self.low == self.high:
+        elif self.low == self.high:
             self.interpolate(self.low, self.high)
-            return True
-        if len(values) == inside:
-            ordered = sorted(values)
-            self.interpolate(ordered[first - below], ordered[last - below])
-            return True
-        self.known = (self.low, self.high, below, inside)
-        if not values:
-            self.expected = inside
-            return True
-        ordered, m = sorted(values), len(values)
-        slack = SPREAD * math.sqrt(0.25 / m)
-        left = math.floor(((first - below) / inside - slack) * m)
-        right = math.ceil(((last + 1 - below) / inside + slack) * m)
-        low = self.low if left < 0 else ordered[left]
-        high = self.high if right >= m else ordered[right]
-        self.expected = inside * min(1.0, (right - left + 2) / m)
-        if (low, high) == (self.low, self.high):
-            return False
-        self.low, self.high = low, high
+        elif drawn == inside:
+            self.interpolate(*ends)
+        else:
+            self.known = (self.low, self.high, below, inside)
+            low = self.low if cut[0] is None else cut[0]
+            high = self.high if cut[1] is None else cut[1]
+            slack = SPREAD * math.sqrt(0.25 / max(drawn, 1))
+            self.expected = inside * min(1.0, 2 * slack + 2 / max(drawn, 1))
+            if drawn and (low, high) == (self.low, self.high):
+                return False
+            self.low, self.high = low, high
         return True
 
 
@@ -83,19 +74,61 @@ def _inside(df: DataFrame, t: _Target) -> Column:
     return present(df, t.name).between(F.lit(t.low), F.lit(t.high))
 
 
+def _pass(df: DataFrame, targets: Sequence[_Target], sample: int, seed: int) -> list[tuple]:
+    """One scan: per target the counts, the sample size, the next cut and the values at the ranks.
+
+    The samples are sorted and read where they are gathered; only a few numbers come back.
+    """
+    rated = df.withColumn("_u", F.rand(seed))
+    aggs, outs, shared = [], [], {}
+    for i, t in enumerate(targets):
+        rate = min(1.0, sample / max(t.expected, 1.0))
+        bracket = (t.name, t.low, t.high, rate)  # probabilities of one column start with the same one
+        if bracket not in shared:
+            shared[bracket] = i
+            hit = _inside(df, t) if rate >= 1.0 else _inside(df, t) & (F.col("_u") < rate)
+            aggs += [
+                F.count_if(present(df, t.name) < F.lit(t.low)).alias(f"b{i}"),
+                F.count_if(_inside(df, t)).alias(f"i{i}"),
+                # About ``sample`` values, whatever the bracket holds; all of them when they are few.
+                F.sort_array(F.collect_list(F.when(hit, present(df, t.name)))).alias(f"s{i}"),
+            ]
+        below, inside, values = (F.col(f"{c}{shared[bracket]}") for c in "bis")
+        m, (first, last) = F.size(values), t.ranks
+        slack = SPREAD * F.sqrt(F.try_divide(F.lit(0.25), m))
+        left = F.floor((F.try_divide(first - below, inside) - slack) * m).cast("int")
+        right = F.ceil((F.try_divide(last + 1 - below, inside) + slack) * m).cast("int")
+        at = lambda place, values=values: F.get(values, place.cast("int"))  # noqa: E731 - null outside
+        outs.append(
+            F.struct(below, inside, m.alias("m"), at(left).alias("low"), at(right).alias("high"),
+                     at(first - below).alias("a"), at(last - below).alias("z")).alias(f"t{i}")
+        )
+    row = rated.agg(*aggs).select(*outs).first()
+    return [(r[0], r[1], r["m"], (r["low"], r["high"]), (r["a"], r["z"])) for r in row]
+
+
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sample: int = SAMPLE, seed: int = 42
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sample: int = SAMPLE, seed: int = 42,
+    direct_values: int = PASS_VALUES,
 ) -> dict[str, dict[float, float | None]]:
-    """Linearly interpolated quantiles, null and NaN left out; ``None`` for an empty column."""
+    """Linearly interpolated quantiles, null and NaN left out; ``None`` for an empty column.
+
+    A frame whose columns hold at most ``direct_values`` values together, by count, is left to the
+    built-in aggregate.
+    """
     columns = list(dict.fromkeys(columns))
     if not columns:
         return {}
-    sample = max(min(sample, DRIVER_VALUES // (len(columns) * len(probs))), SMALLEST_SAMPLE)
+    sample = max(min(sample, PASS_VALUES // (len(columns) * len(probs))), SMALLEST_SAMPLE)
     first = df.agg(
         *[F.count(present(df, c)).alias(f"n_{c}") for c in columns],
         *[F.min(present(df, c)).alias(f"lo_{c}") for c in columns],
         *[F.max(present(df, c)).alias(f"hi_{c}") for c in columns],
     ).first()
+    if sum(first[f"n_{c}"] for c in columns) <= direct_values:
+        wanted = F.array(*[F.lit(float(p)) for p in probs])
+        row = df.agg(*[F.percentile(present(df, c), wanted).alias(c) for c in columns]).first()
+        return {c: dict(zip(probs, row[c] or [None] * len(probs))) for c in columns}
     targets = [
         _Target(c, p, first[f"n_{c}"], first[f"lo_{c}"], first[f"hi_{c}"], first[f"n_{c}"])
         for c in columns
@@ -105,20 +138,8 @@ def exact_quantiles(
     waiting, turn = targets, 0
     while waiting:
         turn += 1
-        drawn = df.withColumn("_u", F.rand(seed + turn))
-        aggs = []
-        for i, t in enumerate(waiting):
-            rate = min(1.0, sample / max(t.expected, 1.0))
-            hit = _inside(df, t) if rate >= 1.0 else _inside(df, t) & (F.col("_u") < rate)
-            aggs += [
-                F.count_if(present(df, t.name) < F.lit(t.low)).alias(f"b{i}"),
-                F.count_if(_inside(df, t)).alias(f"i{i}"),
-                # About ``sample`` values, whatever the bracket holds; all of them when they are few.
-                F.collect_list(F.when(hit, present(df, t.name))).alias(f"s{i}"),
-            ]
-        row = drawn.agg(*aggs).first()
-        for i, t in enumerate(waiting):
-            if not t.take(row[f"b{i}"], row[f"i{i}"], row[f"s{i}"]):
+        for t, seen in zip(waiting, _pass(df, waiting, sample, seed + turn)):
+            if not t.take(*seen):
                 _peel(df, t)
         waiting = [t for t in waiting if t.answer is None]
     found: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in columns}
