@@ -13,8 +13,8 @@ from lodgeworks.catalog.registry import (
     query,
     repaired,
 )
-from lodgeworks.fields import DATE_PARTS, ID_COLUMN, MODEL_FEATURES, RAW_SCHEMA, TARGET
-from lodgeworks.functions.columns import number_columns, present, string_columns
+from lodgeworks.fields import DATE_PARTS, FEATURE_TABLE, ID_COLUMN, MODEL_FEATURES, RAW_SCHEMA, TARGET
+from lodgeworks.functions.columns import absent_columns, number_columns, present, string_columns
 from lodgeworks.functions.dates import is_valid_date, parse_date, repair_date, strict_date
 from lodgeworks.operators import clean, features, profile, rules
 from lodgeworks.operators.quantiles import exact_quantiles
@@ -103,10 +103,7 @@ def subset_by_names(spark, sf):
 )
 def default_columns(spark, sf):
     df = bookings(spark, sf, ["lead_time"], key=True)
-    for c in ("no_of_special_requests", "arrival_month", "lead_time"):
-        if c not in df.columns:
-            df = df.withColumn(c, F.lit(0))
-    return df
+    return features.add_defaults(df, ["no_of_special_requests", "arrival_month", "lead_time"])
 
 
 @query(
@@ -431,6 +428,23 @@ def union_all(spark, sf):
     return profile.count_by(df.unionByName(df), "market_segment_type")
 
 
+@query(
+    "u2_absent_columns",
+    over_bookings(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS \"column\", COUNT(*) AS n_rows_without FROM bookings"
+            for c in FEATURE_TABLE
+            if c not in RAW and c != "booking_id"
+        )
+    ),
+)
+def absent(spark, sf):
+    df = bookings(spark, sf)
+    missing = [c for c in absent_columns(df, FEATURE_TABLE) if c != "booking_id"]
+    names = F.explode(F.array(*[F.lit(c) for c in missing]))
+    return df.agg(F.count(F.lit(1)).alias("n_rows_without")).select(names.alias("column"), "n_rows_without")
+
+
 # --- scalar functions -------------------------------------------------------------------------
 
 

@@ -253,3 +253,25 @@ def id_like(spark, sf):
     counts = df.agg(*[F.countDistinct(c).alias(c) for c in names])
     cells = [F.struct(F.lit(c).alias("column"), F.col(c).alias("n_distinct")) for c in names]
     return counts.select(F.explode(F.array(*cells)).alias("r")).select("r.*")
+
+
+@query(
+    "x5_custom_rules",
+    over_bookings(
+        """SELECT 'parking_needs_price' AS "check", NULL::VARCHAR AS "column", 'warning' AS severity,
+        COUNT(*) FILTER (WHERE required_car_parking_space = 1 AND avg_price_per_room IS NULL) AS n_rows FROM bookings
+        UNION ALL SELECT 'even_week_nights', 'no_of_week_nights', 'error', COUNT(*) FILTER (WHERE no_of_week_nights % 2 <> 0)
+        FROM bookings"""
+    ),
+)
+def custom_rules(spark, sf):
+    """User rules: a column predicate and an aggregate over the frame."""
+    mine = [
+        rules.TableRule(
+            "parking_needs_price", "parking without a price",
+            lambda df: F.count_if((F.col("required_car_parking_space") == 1) & F.col("avg_price_per_room").isNull()),
+            rules.WARNING,
+        ),
+        rules.Rule("no_of_week_nights", "even_week_nights", "odd number of nights", lambda c: c % 2 == 0),
+    ]
+    return rules.evaluate(bookings(spark, sf), mine).select(*_COLUMNS)

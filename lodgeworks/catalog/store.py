@@ -266,3 +266,19 @@ def online(spark, sf):
         as_of="2024-02-02 00:00:00",
     )
     return out.select("booking_id", "lead_time_current", F.col("lead_time").alias("stored_lead_time"))
+
+
+@query(
+    "x4_custom_transform",
+    _asof_sql().replace("SELECT s.event_id, s.user_id, s.ts,", "SELECT event_id, ROUND(value * 2 + 1, 6) AS doubled FROM (SELECT s.event_id, s.user_id, s.ts,") + ")",
+)
+def custom_transform(spark, sf):
+    """A user's frame-to-frame function as the request-time step of a service."""
+    view = store.FeatureView("event_values", store.Entity("user", ("user_id",)), ("value",), WEEK)
+    service = store.FeatureService(
+        "mine", ((view, ("value",)),), (lambda df: df.withColumn("doubled", F.col("value") * 2 + 1),)
+    )
+    rows = _events(spark, sf, "view").select("user_id", F.col("ts").alias("event_timestamp"), "value")
+    spine = _spine(spark, sf).withColumnRenamed("ts", "event_timestamp")
+    return store.historical_features(service, spine, {"event_values": rows}).select(
+        "event_id", F.round("doubled", 6).alias("doubled"))

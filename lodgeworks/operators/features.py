@@ -162,6 +162,12 @@ def split_target(df: DataFrame, target: str = TARGET, encode: bool = False) -> t
     return df, features
 
 
+def add_defaults(df: DataFrame, names: Sequence[str], default: float = 0) -> DataFrame:
+    """Add the named columns that are absent, filled with ``default``."""
+    absent = absent_columns(df, names)
+    return df.withColumns({c: F.lit(default) for c in absent}) if absent else df
+
+
 def to_feature_table(
     df: DataFrame,
     run_ts: str,
@@ -175,11 +181,10 @@ def to_feature_table(
     column that importance selection left out (``selected`` names the survivors).
     """
     require_columns(df, [key, "booking_date"])
-    fills = {c: F.lit(0) for c in absent_columns(df, FEATURE_TABLE) if c not in ("booking_id", "event_timestamp")}
+    df = add_defaults(df, [c for c in FEATURE_TABLE if c not in ("booking_id", "event_timestamp")])
     if zero_unselected and selected is not None:
         keep = {*selected, "booking_id", "event_timestamp", "booking_date", TARGET}
-        fills.update({c: F.lit(0) for c in FEATURE_TABLE if c not in keep})
-    df = df.withColumns(fills) if fills else df
+        df = df.withColumns({c: F.lit(0) for c in FEATURE_TABLE if c not in keep})
     target = (
         target_from_text()
         if isinstance(df.schema[TARGET].dataType, T.StringType)

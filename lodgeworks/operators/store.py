@@ -73,6 +73,7 @@ class FeatureService:
     views: tuple[tuple[FeatureView, tuple[str, ...]], ...]
     on_demand: tuple[Transform, ...] = ()
     log_path: str | None = None
+    request_fields: tuple[str, ...] = ()
 
 
 def price_per_request(price: str = "avg_price_per_room", requests: str = "no_of_special_requests") -> Column:
@@ -97,6 +98,7 @@ def request_time_features(prefix: str = "") -> Transform:
     return transform
 
 
+# View, service and field names that clients of the store use.
 STATS_FIELDS = ("lead_time", "arrival_month", "arrival_date", "avg_price_per_room", "no_of_special_requests")
 REQUEST_FIELDS = ("lead_time_current", "avg_price_per_room_current",
                   "no_of_special_requests_current", "current_promotion_discount")
@@ -129,10 +131,14 @@ def hotel_services(views: dict[str, FeatureView] | None = None) -> dict[str, Fea
     now, now_fresh = request_time_features(), request_time_features("fresh_")
     return {
         "hotel_prediction_v1": FeatureService(
-            "hotel_prediction_v1", ((stats, STATS_FIELDS),), (now,), "data/feature_logs"
+            "hotel_prediction_v1", ((stats, STATS_FIELDS),), (now,), "data/feature_logs", REQUEST_FIELDS
+        ),
+        "hotel_prediction_v2": FeatureService(
+            "hotel_prediction_v2", ((stats, stats.fields),), (now,), request_fields=REQUEST_FIELDS
+        ),
+        "hotel_prediction_v3": FeatureService(
+            "hotel_prediction_v3", ((fresh, fresh.fields),), (now_fresh,), request_fields=REQUEST_FIELDS
         ),
-        "hotel_prediction_v2": FeatureService("hotel_prediction_v2", ((stats, stats.fields),), (now,)),
-        "hotel_prediction_v3": FeatureService("hotel_prediction_v3", ((fresh, fresh.fields),), (now_fresh,)),
         "training": FeatureService("training", ((training, training.fields),)),
     }
 
@@ -148,7 +154,7 @@ def historical_features(
 
     All views of the service are joined in one pass over the keys. ``rows`` gives the feature rows
     per view name; views that are not listed are read from their source. Request-time transforms
-    run when the spine carries the request columns.
+    run when the spine carries the request columns the service names.
     """
     rows = rows or {}
     sets = []
@@ -161,7 +167,7 @@ def historical_features(
         sets.append(view.feature_set(table, fields))
     keys = service.views[0][0].entity.keys
     joined = as_of_join(spine, sets, keys, ts, hot_rows)
-    if set(REQUEST_FIELDS) <= set(joined.columns):
+    if set(service.request_fields) <= set(joined.columns):
         for transform in service.on_demand:
             joined = joined.transform(transform)
     return joined
