@@ -46,9 +46,12 @@ def clean_bookings(
     return set_types(filled if keep_id else drop_id_column(filled))
 
 
-def ingest(raw: DataFrame, path: str) -> None:
-    """Write the cleaned table, partitioned by arrival month so that readers can prune."""
-    write_parquet(clean_bookings(raw), path, partition_by=("arrival_year", "arrival_month"))
+def ingest(raw: DataFrame, path: str, keep_id: bool = False) -> None:
+    """Write the cleaned table, partitioned by arrival month so that readers can prune.
+
+    ``keep_id`` keeps the identifier as the stable key that feature building needs.
+    """
+    write_parquet(clean_bookings(raw, keep_id=keep_id), path, partition_by=("arrival_year", "arrival_month"))
 
 
 @dataclass
