@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeworks.fields import FEATURE_TABLE, ID_COLUMN, IMPORTANCE_THRESHOLD, TARGET
@@ -28,7 +28,7 @@ from lodgeworks.operators.models import feature_importance, important_features
 from lodgeworks.operators.ordering import number_rows
 from lodgeworks.operators.rules import ValidationResult, validate
 from lodgeworks.session import staged
-from lodgeworks.sources.files import write_csv, write_parquet
+from lodgeworks.sources.files import read_parquet, write_csv, write_parquet
 
 
 def clean_bookings(
@@ -54,6 +54,12 @@ def ingest(raw: DataFrame, path: str, keep_id: bool = False) -> None:
     write_parquet(clean_bookings(raw, keep_id=keep_id), path, partition_by=("arrival_year", "arrival_month"))
 
 
+def load_cleaned(spark: SparkSession, path: str) -> DataFrame:
+    """The cleaned table; partition values come back as 32-bit numbers and are widened again."""
+    table = read_parquet(spark, path)
+    return table.withColumns({c: F.col(c).cast("long") for c in ("arrival_year", "arrival_month")})
+
+
 @dataclass
 class FeatureOutput:
     features: DataFrame
@@ -102,7 +108,7 @@ def publish_features(features: DataFrame, directory: str, csv_target: bool = Tru
         write_parquet(target, f"{directory}/target.parquet")
 
 
-def load_training_rows(spark, directory: str) -> DataFrame:
+def load_training_rows(spark: SparkSession, directory: str) -> DataFrame:
     """Features and target joined on the key; times, dates and a second target are left out."""
     features = spark.read.parquet(f"{directory}/features.parquet").drop(
         "event_timestamp", TARGET, "booking_date"
