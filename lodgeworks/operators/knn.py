@@ -3,8 +3,9 @@
 Training rows collapse to distinct (point, label) rows with a count. A k-d partition, cut from a
 fixed-size sample, assigns every point to a leaf. A query first meets its home leaf, which bounds
 the distance of its k-th neighbour; then it visits exactly those other leaves whose cell reaches
-into that radius. Queries collapse to distinct points too, and those of a busy leaf are cut into
-chunks, so no task grows with a popular region or a repeated row.
+into that radius. Queries collapse to distinct points too; those of a busy leaf are cut into chunks
+and the points of a large leaf into parts, so no task grows with a popular region, a repeated row or
+the size of the table.
 """
 
 from __future__ import annotations
@@ -22,6 +23,7 @@ from lodgeworks.session import staged
 
 LEAF_ROWS = 20_000
 CHUNK_ROWS = 20_000
+PART_ROWS = 200_000  # a leaf with more points is met in parts
 MAX_LEAVES = 4_096
 SAMPLES_PER_LEAF = 20
 BLOCK_CELLS = 4_000_000
@@ -124,10 +126,11 @@ class KnnClassifier:
     """``weights`` is ``uniform`` or ``distance``; labels must be 0.0 and 1.0."""
 
     def __init__(self, k: int = 5, weights: str = "uniform", leaf_rows: int = LEAF_ROWS,
-                 chunk_rows: int = CHUNK_ROWS) -> None:
+                 chunk_rows: int = CHUNK_ROWS, part_rows: int = PART_ROWS) -> None:
         if weights not in ("uniform", "distance"):
             raise ValueError(f"unknown weights {weights!r}")
-        self.k, self.weights, self.leaf_rows, self.chunk_rows = k, weights, leaf_rows, chunk_rows
+        self.k, self.weights = k, weights
+        self.leaf_rows, self.chunk_rows, self.part_rows = leaf_rows, chunk_rows, part_rows
 
     def fit(self, df: DataFrame) -> KnnModel:
         points = staged(
@@ -141,7 +144,11 @@ class KnnClassifier:
         if not rows:
             raise ValueError("no training rows")
         leaves = max(1, min(MAX_LEAVES, -(-rows // self.leaf_rows)))
-        sample = points.orderBy("pid").limit(leaves * SAMPLES_PER_LEAF).select("x").collect()
+        # The ids are hashes of distinct rows: a remainder class is an even sample of known size.
+        share = max(1, rows // (leaves * SAMPLES_PER_LEAF))
+        sample = points.filter(F.pmod("pid", F.lit(share)) == 0).select("x").collect()
+        if not sample:
+            sample = points.select("x").limit(1).collect()
         cells = Cells(np.array([r["x"] for r in sample], dtype=float), leaves)
         return KnnModel(self, points, cells)
 
@@ -150,6 +157,9 @@ class KnnModel:
     def __init__(self, settings: KnnClassifier, points: DataFrame, cells: Cells) -> None:
         self.settings, self.cells, self.rows = settings, cells, points
         self.points = points.withColumn("leaf", self._leaf()("x"))
+        self.parts = self.points.groupBy("leaf").agg(
+            F.ceil(F.count(F.lit(1)) / settings.part_rows).alias("parts")
+        )
 
     def _leaf(self):
         cells = self.cells
@@ -176,10 +186,16 @@ class KnnModel:
         per_leaf = queries.groupBy("leaf").agg(
             F.ceil(F.count(F.lit(1)) / self.settings.chunk_rows).alias("chunks")
         )
-        plan = F.broadcast(per_leaf)  # at most MAX_LEAVES rows
-        asked = queries.join(plan, "leaf").withColumn("chunk", F.pmod(F.xxhash64("x"), "chunks"))
-        offered = self.points.join(plan, "leaf").withColumn(
-            "chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+        # At most MAX_LEAVES rows; a leaf without points still answers, with nothing.
+        plan = F.broadcast(
+            per_leaf.join(self.parts, "leaf", "left").withColumn("parts", F.coalesce("parts", F.lit(1).cast("long")))
+        )
+        upto = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), F.col(c) - 1))
+        asked = queries.join(plan, "leaf").withColumn("chunk", F.pmod(F.xxhash64("x"), "chunks")).withColumn(
+            "part", upto("parts")
+        )
+        offered = self.points.join(plan, "leaf").withColumn("part", F.pmod("pid", "parts")).withColumn(
+            "chunk", upto("chunks")
         )
 
         def meet(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
@@ -189,7 +205,7 @@ class KnnModel:
             d, label, n, pid = zip(*found)
             return pd.DataFrame({"x": q["x"].to_numpy(), "d": d, "label": label, "n": n, "pid": pid})
 
-        groups = ("leaf", "chunk")
+        groups = ("leaf", "chunk", "part")
         return (
             asked.select("x", "radius", *groups).groupBy(*groups)
             .cogroup(offered.select("x", "label", "n", "pid", *groups).groupBy(*groups))
@@ -201,12 +217,10 @@ class KnnModel:
         k = self.settings.k
         home = points.select("x").distinct().withColumn("leaf", self._leaf()("x"))
         inf = F.lit(float("inf"))
-        first = staged(
-            self._visit(home.withColumn("radius", inf)).withColumn("home", self._leaf()("x")), "knn-home"
-        )
+        first = staged(self._best(self._visit(home.withColumn("radius", inf))), "knn-home")
         # Squared distance at which the counts reach k; infinite while they do not.
         reach = F.aggregate(
-            F.arrays_zip("d", "n"),
+            "near",
             F.struct(F.lit(0).cast("long").alias("seen"), inf.alias("at")),
             lambda acc, r: F.when(acc["seen"] >= k, acc).otherwise(
                 F.struct((acc["seen"] + r["n"]).alias("seen"),
@@ -214,19 +228,21 @@ class KnnModel:
             ),
             lambda acc: acc["at"],
         )
-        more = first.withColumn("radius", reach).select(
-            "x", "radius", F.explode(self._others()("x", "radius", "home")).alias("leaf")
-        )
+        reached = first.withColumns({"radius": reach, "home": self._leaf()("x")})
+        more = reached.select("x", "radius", F.explode(self._others()("x", "radius", "home")).alias("leaf"))
+        return self._best(self._visit(more), first)
+
+    def _best(self, visited: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+        """``(x, near)``: the k nearest over all visits; a query makes a bounded number of them."""
         zipped = F.transform(
             F.arrays_zip("d", "pid", "label", "n"),
             lambda r: F.struct(r["d"].alias("d"), r["pid"].alias("pid"), r["label"].alias("label"), r["n"].alias("n")),
         )
-        found = first.select("x", zipped.alias("near")).unionByName(
-            self._visit(more).select("x", zipped.alias("near"))
-        )
-        # At most one list of k per leaf and query.
+        found = visited.select("x", zipped.alias("near"))
+        if earlier is not None:
+            found = earlier.select("x", "near").unionByName(found)
         return found.groupBy("x").agg(
-            F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, k).alias("near")
+            F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, self.settings.k).alias("near")
         )
 
     def transform(self, df: DataFrame) -> DataFrame:

@@ -54,7 +54,7 @@ def save_model(spark: SparkSession, model: Any, path: str) -> None:
         s = model.settings
         meta = {
             "kind": "knn", "k": s.k, "weights": s.weights, "leaf_rows": s.leaf_rows,
-            "chunk_rows": s.chunk_rows, "cells": model.cells.to_dict(),
+            "chunk_rows": s.chunk_rows, "part_rows": s.part_rows, "cells": model.cells.to_dict(),
         }
     elif is_native(model):
         whole = model if isinstance(model, PipelineModel) else PipelineModel([model])
@@ -75,5 +75,5 @@ def load_model(spark: SparkSession, path: str) -> Any:
     if kind == "stacked":
         base = {n: load_model(spark, f"{path}/base/{n}") for n in meta["base"]}
         return StackedModel(base, meta["inputs"], meta["key"], load_model(spark, f"{path}/final"))
-    settings = KnnClassifier(meta["k"], meta["weights"], meta["leaf_rows"], meta["chunk_rows"])
+    settings = KnnClassifier(meta["k"], meta["weights"], meta["leaf_rows"], meta["chunk_rows"], meta["part_rows"])
     return KnnModel(settings, spark.read.parquet(f"{path}/points"), Cells.from_dict(meta["cells"]))

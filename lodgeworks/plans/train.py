@@ -29,7 +29,7 @@ class Prepared:
 def prepare(df: DataFrame, label: str, columns: Sequence[str] = MODEL_FEATURES, key: str = "booking_id") -> Prepared:
     """Split by key, fit the scaler on the training part, build the vectors."""
     rows = add_split(
-        df.select(key, *columns, F.col(label).cast("double").alias("label")).dropna("any"), key
+        df.select(key, *columns, F.col(label).cast("double").alias("label")), key
     )
     scaler = fit_scaler(rows.filter("split = 'train'"), columns)
     # Many fits read these rows; the checkpoint keeps their lineage short and survives executors.

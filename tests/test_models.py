@@ -112,8 +112,8 @@ def _brute_knn(train, labels, query, k, weights="uniform"):
 
 
 @pytest.mark.parametrize("weights", ["uniform", "distance"])
-@pytest.mark.parametrize("leaf_rows, chunk_rows", [(10_000, 10_000), (40, 25)])
-def test_neighbours_equal_brute_force(spark, weights, leaf_rows, chunk_rows):
+@pytest.mark.parametrize("leaf_rows, chunk_rows, part_rows", [(10_000, 10_000, 10_000), (40, 25, 7)])
+def test_neighbours_equal_brute_force(spark, weights, leaf_rows, chunk_rows, part_rows):
     rng = np.random.default_rng(11)
     train = rng.normal(size=(600, 3))
     train[400:] = train[400]  # a third of the rows is one point
@@ -122,7 +122,7 @@ def test_neighbours_equal_brute_force(spark, weights, leaf_rows, chunk_rows):
     query = np.vstack([rng.normal(size=(150, 3)), np.repeat(train[400:401], 50, axis=0), [[9.0, 9.0, 9.0]]])
     as_df = lambda x, y: spark.createDataFrame(
         [(i, Vectors.dense(v.tolist()), float(l)) for i, (v, l) in enumerate(zip(x, y))], ["i", "features", "label"])
-    model = KnnClassifier(5, weights, leaf_rows, chunk_rows).fit(as_df(train, labels))
+    model = KnnClassifier(5, weights, leaf_rows, chunk_rows, part_rows).fit(as_df(train, labels))
     if leaf_rows == 40:
         assert model.cells.n_leaves > 5
     got = model.transform(as_df(query, np.zeros(len(query)))).orderBy("i").collect()
