@@ -33,8 +33,7 @@ def _pushed(spark, sf):
 
 @query("st1_push_features", _LATEST_SQL)
 def push(spark, sf):
-    rows = jobs.latest_pushed(spark, _pushed(spark, sf), ["user_id"], "ts")
-    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+    return jobs.latest_pushed(spark, _pushed(spark, sf), ["user_id"], "ts")
 
 
 @query(
@@ -92,9 +91,7 @@ def request_metrics(spark, sf):
     jobs.request_metrics_stream(
         log, "ts", "duration", f"{root}/slots", f"{root}/checkpoint", bounds=_BOUNDS
     ).awaitTermination()
-    return jobs.latest_metrics(spark, f"{root}/slots").withColumns(
-        {"slot": F.col("slot").cast("timestamp_ntz"), "total_seconds": F.round("total_seconds", 6)}
-    )
+    return jobs.latest_metrics(spark, f"{root}/slots").withColumn("total_seconds", F.round("total_seconds", 6))
 
 
 @query("st6_performance_stream")

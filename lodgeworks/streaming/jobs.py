@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
@@ -31,11 +31,25 @@ def file_stream(
     return reader.parquet(path)
 
 
-def _as_instant(df: DataFrame, ts: str) -> DataFrame:
+def _zoneless(df: DataFrame, ts: str) -> bool:
+    return df.schema[ts].dataType.simpleString() == "timestamp_ntz"
+
+
+def _instant(df: DataFrame, ts: str) -> Column:
     """A watermark needs an instant; a zone-less time is read as UTC whatever the session says."""
-    if df.schema[ts].dataType.simpleString() == "timestamp":
-        return df
-    return df.withColumn(ts, F.to_utc_timestamp(F.col(ts).cast("timestamp"), F.current_timezone()))
+    col = F.col(ts)
+    if not _zoneless(df, ts):
+        return col
+    return F.make_timestamp(
+        F.year(col), F.month(col), F.day(col), F.hour(col), F.minute(col), F.date_part(F.lit("SECOND"), col), F.lit("UTC")
+    )
+
+
+def _wall_clock(instant: Column) -> Column:
+    """The zone-less UTC time of an instant."""
+    seconds = (F.unix_micros(instant) / F.lit(1_000_000).cast("decimal(10,0)")).cast("decimal(18,6)")
+    zero = F.lit(0)
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz") + F.make_dt_interval(zero, zero, zero, seconds)
 
 
 def _start(writer, available_now: bool, every: str | None) -> StreamingQuery:
@@ -53,9 +67,9 @@ def push_features(
     """Keep the newest row per key and hour of a pushed stream; :func:`latest_pushed` reads it."""
     rest = [c for c in stream.columns if c not in (*keys, ts)]
     newest = (
-        _as_instant(stream, ts)
-        .withWatermark(ts, window)
-        .groupBy(F.window(ts, window).alias("_w"), *keys)
+        stream.withColumn("_instant", _instant(stream, ts))
+        .withWatermark("_instant", window)
+        .groupBy(F.window("_instant", window).alias("_w"), *keys)
         .agg(F.max(ts).alias(ts), F.max_by(F.struct(*rest), ts).alias("_row"))
         .select(*keys, ts, *[f"_row.{c}" for c in rest])
     )
@@ -77,7 +91,7 @@ def latest_pushed(
     rows = latest_by_key(spark.read.parquet(path).drop("batch"), keys, ts)
     if as_of is None or ttl is None:
         return rows
-    limit = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL '{int(ttl.total_seconds())}' SECOND")
+    limit = F.lit(as_of).cast(rows.schema[ts].dataType) - F.expr(f"INTERVAL '{int(ttl.total_seconds())}' SECOND")
     return rows.withColumns(
         {c: F.when(F.col(ts) >= limit, F.col(c)) for c in rows.columns if c not in (*keys, ts)}
     )
@@ -119,7 +133,10 @@ def request_metrics_stream(
     bounds: Sequence[float] = LATENCY_BUCKETS, available_now: bool = True, every: str | None = "15 seconds",
 ) -> StreamingQuery:
     """The metrics of a live log; rows later than ``late`` behind the newest are dropped."""
-    metrics = request_metrics(_as_instant(stream, ts).withWatermark(ts, late), ts, duration, bounds=bounds)
+    live = stream.withColumn("_instant", _instant(stream, ts)).withWatermark("_instant", late)
+    metrics = request_metrics(live, "_instant", duration, bounds=bounds)
+    if _zoneless(stream, ts):
+        metrics = metrics.withColumn("slot", _wall_clock(F.col("slot")))
 
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
