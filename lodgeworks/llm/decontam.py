@@ -115,13 +115,13 @@ def decontaminate(
     documents with hits meet the table.
     """
     hit = contamination(docs, benchmark, n, key=key, text=text).filter("contaminated")
-    hit = hit.select(F.col(key).alias("_hit_key"), F.col("text_hash").alias("_hit_hash"), "hits").dropDuplicates(["_hit_key", "_hit_hash"])
-    same = F.col(f"`{key}`").eqNullSafe(F.col("_hit_key")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("_hit_hash"))
+    hit = hit.select(F.col(key).alias("__lw_hit_key"), F.col("text_hash").alias("__lw_hit_hash"), F.col("hits").alias("__lw_hits")).dropDuplicates(["__lw_hit_key", "__lw_hit_hash"])
+    same = F.col(f"`{key}`").eqNullSafe(F.col("__lw_hit_key")) & (F.xxhash64(F.col(f"`{text}`")) == F.col("__lw_hit_hash"))
     if not spans:
         return docs.join(hit, same, "left_anti")
-    joined = docs.join(hit, same, "left").withColumn("_w", words_of(text))
-    covered = F.array_distinct(F.flatten(F.transform("hits", lambda h: F.sequence(h["start"], h["start"] + h["n"] - 1))))
-    kept = F.expr("filter(transform(_w, (w, i) -> CASE WHEN NOT array_contains(_c, i) THEN w END), w -> w IS NOT NULL)")
-    cleaned = joined.withColumn("_c", covered).withColumn(
-        text, F.when(F.col("hits").isNotNull(), F.array_join(kept, " ")).otherwise(F.col(text)))
+    joined = docs.join(hit, same, "left").withColumn("__lw_w", words_of(text))
+    covered = F.array_distinct(F.flatten(F.transform("__lw_hits", lambda h: F.sequence(h["start"], h["start"] + h["n"] - 1))))
+    kept = F.expr("filter(transform(__lw_w, (w, i) -> CASE WHEN NOT array_contains(__lw_c, i) THEN w END), w -> w IS NOT NULL)")
+    cleaned = joined.withColumn("__lw_c", covered).withColumn(
+        text, F.when(F.col("__lw_hits").isNotNull(), F.array_join(kept, " ")).otherwise(F.col(text)))
     return cleaned.select(*[F.col(f"`{c}`") for c in docs.columns])

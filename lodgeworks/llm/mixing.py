@@ -61,9 +61,9 @@ def frame_slots(spark, kinds: list[tuple[int, int, list[int]]]) -> DataFrame:
     before or behind its share. The fold is a SQL expression over one row per kind of frame; its
     result has at most (2 * sources + 1) * frame rows, whatever the data.
     """
-    rows = " UNION ALL ".join(
-        f"SELECT {k} AS kind, {_array(taken)} AS c, {sum(taken)}L AS n" for k, (_, _, taken) in enumerate(kinds)
-    )
+    taken = "array(" + ", ".join(_array(c) for _, _, c in kinds) + ")"
+    spark.range(0, len(kinds), 1, len(kinds)).createOrReplaceTempView("_frame_kinds")
+    rows = f"SELECT CAST(id AS INT) AS kind, c, aggregate(c, 0L, (a, x) -> a + x) AS n FROM (SELECT id, {taken}[id] AS c FROM _frame_kinds)"
     best = """array_min(transform(sequence(0, size(c) - 1), s ->
         CASE WHEN c[s] > acc.done[s] AND (acc.done[s] * n) div c[s] <= t
              THEN named_struct('due', ((acc.done[s] + 1) * n + c[s] - 1) div c[s], 's', s, 'j', acc.done[s],
@@ -113,7 +113,7 @@ def mix_sources(
     spark = docs.sparkSession
     added = ["block", "release", "deadline", "slot", "rank"]
     plain = docs.drop(*added)
-    tagged = plain.withColumns({"_h": F.xxhash64(F.col(key)), "_null": F.col(source).isNull()})
+    tagged = plain.withColumns({"__lw_h": F.xxhash64(F.col(key)), "__lw_null": F.col(source).isNull()})
     counts = {
         r[0]: r[1]
         for r in plain.groupBy(source).agg(F.count(F.lit(1))).limit(frame + 1).collect()
@@ -131,24 +131,24 @@ def mix_sources(
     kinds = frame_kinds(blocks, per_frame)
 
     buckets = max(1, sum(counts.values()) // bucket_rows)
-    placed = tagged.withColumn("_bucket", F.pmod(F.col("_h"), F.lit(buckets)))
-    sizes = placed.groupBy(source, "_null", "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    earlier = Window.partitionBy(source).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    placed = tagged.withColumn("__lw_bucket", F.pmod(F.col("__lw_h"), F.lit(buckets)))
+    sizes = placed.groupBy(source, "__lw_null", "__lw_bucket").agg(F.count(F.lit(1)).alias("__lw_n"))
+    earlier = Window.partitionBy(source).orderBy("__lw_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
-        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("_o_source"),
-        F.col("_null").alias("_o_null"),
-        F.col("_bucket").alias("_o_bucket"),
-        F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_skip"),
+        F.coalesce(F.col(source).cast("string"), F.lit("")).alias("__lw_o_source"),
+        F.col("__lw_null").alias("__lw_o_null"),
+        F.col("__lw_bucket").alias("__lw_o_bucket"),
+        F.coalesce(F.sum("__lw_n").over(earlier), F.lit(0)).alias("__lw_skip"),
     )
-    in_bucket = Window.partitionBy(source, "_bucket").orderBy("_h", key, *_tie(plain, source, key))
-    numbered = placed.withColumn("_i", F.row_number().over(in_bucket) - 1)
+    in_bucket = Window.partitionBy(source, "__lw_bucket").orderBy("__lw_h", key, *_tie(plain, source, key))
+    numbered = placed.withColumn("__lw_i", F.row_number().over(in_bucket) - 1)
     # One row per source and bucket; adaptive execution decides how to join it.
     joined = numbered.join(
         offsets,
-        (F.coalesce(F.col(source).cast("string"), F.lit("")) == F.col("_o_source"))
-        & (F.col("_null") == F.col("_o_null"))
-        & (F.col("_bucket") == F.col("_o_bucket")),
-    ).withColumn("_i", F.col("_i") + F.col("_skip"))
+        (F.coalesce(F.col(source).cast("string"), F.lit("")) == F.col("__lw_o_source"))
+        & (F.col("__lw_null") == F.col("__lw_o_null"))
+        & (F.col("__lw_bucket") == F.col("__lw_o_bucket")),
+    ).withColumn("__lw_i", F.col("__lw_i") + F.col("__lw_skip"))
 
     number = _by_source(source, {s: i for i, s in enumerate(per_frame)})
     share = _by_source(source, per_frame)
@@ -156,22 +156,22 @@ def mix_sources(
     lengths = F.expr(_array([sum(k[2]) for k in kinds]))
     starts = F.expr(_array([k[1] for k in kinds]))
     rows = joined.withColumns({
-        "block": F.floor(F.col("_i") / block_rows).cast("long"), "rank": (F.col("_i") % block_rows).cast("long"),
-        "_s": number.cast("int"), "_p": share.cast("long"),
+        "block": F.floor(F.col("__lw_i") / block_rows).cast("long"), "rank": (F.col("__lw_i") % block_rows).cast("long"),
+        "__lw_s": number.cast("int"), "__lw_p": share.cast("long"),
     })
-    rows = rows.withColumns({"_k": F.floor(F.col("block") / F.col("_p")).cast("long"), "_j": F.col("block") % F.col("_p")})
-    rows = rows.withColumn("_kind", F.size(F.filter(frames_first, lambda b: b <= F.col("_k"))) - 1)
-    rows = rows.withColumn("_start", F.get(starts, F.col("_kind"))
-                           + (F.col("_k") - F.get(frames_first, F.col("_kind"))) * F.get(lengths, F.col("_kind")))
+    rows = rows.withColumns({"__lw_k": F.floor(F.col("block") / F.col("__lw_p")).cast("long"), "__lw_j": F.col("block") % F.col("__lw_p")})
+    rows = rows.withColumn("__lw_kind", F.size(F.filter(frames_first, lambda b: b <= F.col("__lw_k"))) - 1)
+    rows = rows.withColumn("__lw_start", F.get(starts, F.col("__lw_kind"))
+                           + (F.col("__lw_k") - F.get(frames_first, F.col("__lw_kind"))) * F.get(lengths, F.col("__lw_kind")))
     slots = frame_slots(spark, kinds).select(
-        F.col("kind").alias("_kind"), F.col("s").alias("_s"), F.col("j").alias("_j"), "released", "due", "at")
-    out = rows.join(F.broadcast(slots), ["_kind", "_s", "_j"])
+        F.col("kind").alias("__lw_kind"), F.col("s").alias("__lw_s"), F.col("j").alias("__lw_j"), "released", "due", "at")
+    out = rows.join(F.broadcast(slots), ["__lw_kind", "__lw_s", "__lw_j"])
     return out.select(
         *[F.col(f"`{c}`") for c in plain.columns],
         F.col("block"),
-        (F.col("_start") + F.col("released")).alias("release"),
-        (F.col("_start") + F.col("due")).alias("deadline"),
-        (F.col("_start") + F.col("at")).alias("slot"),
+        (F.col("__lw_start") + F.col("released")).alias("release"),
+        (F.col("__lw_start") + F.col("due")).alias("deadline"),
+        (F.col("__lw_start") + F.col("at")).alias("slot"),
         F.col("rank"),
     )
 

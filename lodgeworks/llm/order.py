@@ -12,7 +12,7 @@ from pyspark.sql.types import LongType
 from lodgeworks.session import staged
 
 #: Names that the helpers add; a caller's columns of these names are replaced.
-SIZE, PART, ROW, BEFORE, TOTAL, TIE = "_size", "_part", "_row", "_before", "_total", "_tie"
+SIZE, PART, ROW, BEFORE, TOTAL, TIE = "__lw_size", "__lw_part", "__lw_row", "__lw_before", "__lw_total", "__lw_tie"
 
 
 @F.pandas_udf(LongType())
@@ -25,7 +25,7 @@ def _running(sizes: Iterator[pd.Series]) -> Iterator[pd.Series]:
 
 
 def with_prefix_sums(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
-    """``df`` with its row number ``_row``, the bytes before it ``_before``, its own ``_size`` and ``_total``.
+    """``df`` with its row number ``__lw_row``, the bytes before it ``__lw_before``, its own ``__lw_size`` and ``__lw_total``.
 
     Rows are dealt by range of ``keys`` (nulls first; equal keys keep the order of the input and may
     lie in several partitions) and sorted there. The only state between partitions is one total
@@ -47,17 +47,17 @@ def with_prefix_sums(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
         "ordered",
     )
     # One row per range partition.
-    totals = rows.groupBy(PART).agg(F.sum(SIZE).alias("_bytes"), F.count(F.lit(1)).alias("_rows"))
+    totals = rows.groupBy(PART).agg(F.sum(SIZE).alias("__lw_bytes"), F.count(F.lit(1)).alias("__lw_rows"))
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         PART,
-        F.coalesce(F.sum("_bytes").over(earlier), F.lit(0)).alias("_bytes_before"),
-        F.coalesce(F.sum("_rows").over(earlier), F.lit(0)).alias("_rows_before"),
-        F.sum("_bytes").over(Window.partitionBy()).alias(TOTAL),
+        F.coalesce(F.sum("__lw_bytes").over(earlier), F.lit(0)).alias("__lw_bytes_before"),
+        F.coalesce(F.sum("__lw_rows").over(earlier), F.lit(0)).alias("__lw_rows_before"),
+        F.sum("__lw_bytes").over(Window.partitionBy()).alias(TOTAL),
     )
     return (
         rows.join(F.broadcast(offsets), PART)
-        .withColumn(ROW, F.col(ROW) + F.col("_rows_before"))
-        .withColumn(BEFORE, F.col(BEFORE) - F.col(SIZE) + F.col("_bytes_before"))
-        .drop("_rows_before", "_bytes_before")
+        .withColumn(ROW, F.col(ROW) + F.col("__lw_rows_before"))
+        .withColumn(BEFORE, F.col(BEFORE) - F.col(SIZE) + F.col("__lw_bytes_before"))
+        .drop("__lw_rows_before", "__lw_bytes_before")
     )

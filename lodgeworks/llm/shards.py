@@ -35,6 +35,6 @@ def assign_shards(
     middle = (F.col(BEFORE) * 2 + F.col(SIZE)).cast(wide) * F.lit(n_shards)
     shard = F.floor(middle / (F.col(TOTAL).cast(wide) * 2)).cast("int")
     placed = rows.withColumn("shard", F.least(shard, F.lit(n_shards - 1)))
-    first = placed.groupBy("shard").agg(F.min(ROW).alias("_first"))  # at most n_shards rows
-    out = placed.join(F.broadcast(first), "shard").withColumn("slot", F.col(ROW) - F.col("_first"))
+    first = placed.groupBy("shard").agg(F.min(ROW).alias("__lw_first"))  # at most n_shards rows
+    out = placed.join(F.broadcast(first), "shard").withColumn("slot", F.col(ROW) - F.col("__lw_first"))
     return out.select(*[F.col(f"`{c}`") for c in plain.columns], "shard", "slot")

@@ -213,8 +213,8 @@ def near_duplicates(docs: DataFrame, distance: int = 2, *, key: str = "doc_id",
     named = classes.join(roots, classes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("_root"))
     least = named.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    labels = staged(named.join(least, "_root").select(F.col("fingerprint").alias("_print"), "component_id"), "labels")
-    return prints.join(labels, F.col("fingerprint") == F.col("_print")).drop("_print")
+    labels = staged(named.join(least, "_root").select(F.col("fingerprint").alias("__lw_print"), "component_id"), "labels")
+    return prints.join(labels, F.col("fingerprint") == F.col("__lw_print")).drop("__lw_print")
 
 
 def drop_near_duplicates(docs: DataFrame, distance: int = 2, *, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -225,15 +225,15 @@ def drop_near_duplicates(docs: DataFrame, distance: int = 2, *, key: str = "doc_
     """
     columns = docs.columns
     hashable = [f"`{c}`" for c, kind in docs.dtypes if not kind.startswith(("map", "variant"))]
-    marked = docs.withColumn("_row", F.xxhash64(*hashable))
-    ids = near_duplicates(marked.select(key, text, "_row"), distance, key=key, text=text)
+    marked = docs.withColumn("__lw_row", F.xxhash64(*hashable))
+    ids = near_duplicates(marked.select(key, text, "__lw_row"), distance, key=key, text=text)
     # A component without keys is told by a fingerprint of its own; all others by their id.
     group = [F.col("component_id"), F.when(F.col("component_id").isNull(), F.col("fingerprint"))]
     chosen = staged(
         ids.groupBy(*[g.alias(f"_g{i}") for i, g in enumerate(group)])
-        .agg(F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"), F.col("_row").alias("row"))).alias("_first"))
-        .select(F.col("_first.id").alias("_keep_id"), F.col("_first.row").alias("_keep_row")),
+        .agg(F.min(F.struct(F.col(key).isNull().alias("no"), F.col(key).alias("id"), F.col("__lw_row").alias("row"))).alias("__lw_first"))
+        .select(F.col("__lw_first.id").alias("__lw_keep_id"), F.col("__lw_first.row").alias("__lw_keep_row")),
         "chosen",
     )
-    out = marked.join(chosen, (F.col("_row") == F.col("_keep_row")) & F.col(key).eqNullSafe(F.col("_keep_id")))
-    return out.dropDuplicates(["_row", key]).select(*[F.col(f"`{c}`") for c in columns])
+    out = marked.join(chosen, (F.col("__lw_row") == F.col("__lw_keep_row")) & F.col(key).eqNullSafe(F.col("__lw_keep_id")))
+    return out.dropDuplicates(["__lw_row", key]).select(*[F.col(f"`{c}`") for c in columns])

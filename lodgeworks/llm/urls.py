@@ -154,7 +154,7 @@ def filter_urls(
 
     plain = pages.drop("host", "path", "rule", "verdict")
     host, path = split_url(url)
-    out = plain.withColumns({"host": host, "path": path}).withColumn("_judged", judged("host", "path"))
+    out = plain.withColumns({"host": host, "path": path}).withColumn("__lw_judged", judged("host", "path"))
     return out.withColumns({
-        "rule": F.col("_judged.rule"), "verdict": F.coalesce("_judged.verdict", F.lit(default)),
-    }).drop("_judged")
+        "rule": F.col("__lw_judged.rule"), "verdict": F.coalesce("__lw_judged.verdict", F.lit(default)),
+    }).drop("__lw_judged")
