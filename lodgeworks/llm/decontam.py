@@ -21,10 +21,10 @@ def words_of(text: str) -> Column:
     return F.filter(F.split(lowered, BETWEEN_WORDS), lambda w: w != "")
 
 
-def _grams(words: str, n: int) -> Column:
-    """All windows of ``n`` words, joined by blanks, in order of their start."""
+def _grams(words: str, n: int, count: str) -> Column:
+    """The first ``count`` windows of ``n`` words, joined by blanks, in order of their start."""
     return F.expr(
-        f"CASE WHEN size({words}) >= {n} THEN transform(sequence(0, size({words}) - {n}), "
+        f"CASE WHEN {count} > 0 THEN transform(sequence(0, {count} - 1), "
         f"i -> array_join(slice({words}, i + 1, {n}), ' ')) ELSE cast(array() AS array<string>) END")
 
 
@@ -35,7 +35,7 @@ def benchmark_windows(benchmark: DataFrame, n: int = 10, *, item: str = "item_id
     words have no windows.
     """
     worded = benchmark.select(F.col(item).cast("string").alias("item"), words_of(text).alias("w")).filter("size(w) > 0 AND item IS NOT NULL")
-    grams = F.when(F.size("w") >= n, _grams("w", n)).otherwise(F.array(F.array_join("w", " ")))
+    grams = F.when(F.size("w") >= n, _grams("w", n, f"(size(w) - {n} + 1)")).otherwise(F.array(F.array_join("w", " ")))
     rows = worded.select("item", F.least(F.size("w"), F.lit(n)).alias("n"), F.explode(grams).alias("gram"))
     return rows.groupBy("gram").agg(F.first("n").alias("n"), F.collect_set("item").alias("items"))
 
@@ -71,14 +71,15 @@ def contamination(
         lambda at: F.struct(
             at.alias("at"), F.least(F.size("_w") - at, F.lit(CHUNK_WORDS)).alias("own"),
             F.slice("_w", at + 1, CHUNK_WORDS + max(lengths, default=1) - 1).alias("w")))
+    # Windows that begin after a row's own words belong to the next row. Their numbers are settled
+    # here, below the generator, which then carries nothing but small columns.
+    words = F.col("_c.w")
     rows = worded.select("_key", "text_hash", F.explode(cut).alias("_c")).select(
-        "_key", "text_hash", "_c.at", "_c.own", F.col("_c.w").alias("_w"))
+        "_key", "text_hash", "_c.at", "_c.own", words.alias("_w"),
+        *[F.greatest(F.least(F.col("_c.own"), F.size(words) - m + 1), F.lit(0)).alias(f"_n{m}") for m in lengths])
     # The mark comes first, then the windows of every length that begin in this row.
-    grams = F.concat(F.array(mark), *[
-        # Windows that begin after this row's own words belong to the next one.
-        F.slice(_grams("_w", m), 1, F.greatest(F.col("own"), F.lit(1))) for m in lengths])
-    spread = rows.select("_key", "text_hash", "at", "own", *([F.size(F.slice(_grams("_w", m), 1, F.greatest(F.col("own"), F.lit(1)))).alias(f"_n{m}") for m in lengths[:-1]]),
-                         F.posexplode(grams).alias("_p", "gram"))
+    grams = F.concat(F.array(mark), *[_grams("_w", m, f"_n{m}") for m in lengths])
+    spread = rows.select("_key", "text_hash", "at", "own", *[f"_n{m}" for m in lengths[:-1]], F.posexplode(grams).alias("_p", "gram"))
     # Position of a window in its own list: what stands before it is the mark and the shorter lengths.
     start = F.col("_p") - 1
     offset = F.lit(0)
