@@ -24,6 +24,7 @@ from lodgeworks.llm.warc import archive_round_trip, read_archives, write_archive
 from tests.llm.helpers import awkward_docs, docs_frame, empty_frame, prose
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
+MEMO = WordMemo(VOCABULARY)
 
 
 def test_archives_round_trip(spark, tmp_path):
@@ -62,7 +63,7 @@ def test_variable_length_coding(values):
 @given(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x24F, exclude_categories=["Cs"]), st.sampled_from(" \n\t'stredvm.,!12é\u0301Σ\u212a\u2003中\u0130\u00ad"), st.characters(exclude_categories=["Cs"]))))
 @settings(max_examples=600, deadline=None)
 def test_words_encode_like_whole_texts(text):
-    memo = WordMemo(VOCABULARY)
+    memo = MEMO
     for t in (text, "<|endoftext|>" + text, text + " it's don't 3rd " + text):
         assert np.frombuffer(memo.ids(t), dtype="<u4").tolist() == memo.tokenizer.encode(t, add_special_tokens=False).ids
 
