@@ -24,29 +24,31 @@ def _running(sizes: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield sums
 
 
-def with_prefix_sums(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
-    """``df`` with its row number ``__lw_row``, the bytes before it ``__lw_before``, its own ``__lw_size`` and ``__lw_total``.
+def ordered_parts(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
+    """``df`` dealt by range of ``keys`` and sorted, with sums inside each partition only.
 
-    Rows are dealt by range of ``keys`` (nulls first; equal keys keep the order of the input and may
-    lie in several partitions) and sorted there. The only state between partitions is one total
-    each: a running sum inside the partition plus the totals of the partitions before it. The sorted
-    rows are staged once, because the bounds of a range shuffle come from a sample and a second
-    evaluation may cut elsewhere. Only the size travels to Python.
+    Nulls come first; equal keys keep the order of the input and may lie in several partitions.
+    ``__lw_part`` is the partition, ``__lw_row`` the row number in it, ``__lw_size`` the size and
+    ``__lw_before`` the bytes before the row in its partition. Write the result before using it twice:
+    the bounds of a range shuffle come from a sample, and a second evaluation may cut elsewhere. Only
+    the size travels to Python.
     """
     sized = df.withColumns({SIZE: size.cast("long"), TIE: F.monotonically_increasing_id()})
     order = [F.col(k).asc_nulls_first() for k in keys] + [F.col(TIE).asc()]
     sorted_parts = sized.repartitionByRange(*order).sortWithinPartitions(*order)
-    running = _running.asNondeterministic()
-    rows = staged(
-        sorted_parts.select(
-            *[F.col(f"`{c}`") for c in sorted_parts.columns if c != TIE],
-            F.spark_partition_id().alias(PART),
-            F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(ROW),
-            running(SIZE).alias(BEFORE),
-        ),
-        "ordered",
+    return sorted_parts.select(
+        *[F.col(f"`{c}`") for c in sorted_parts.columns if c != TIE],
+        F.spark_partition_id().alias(PART),
+        F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(ROW),
+        (_running.asNondeterministic()(SIZE) - F.col(SIZE)).alias(BEFORE),
     )
-    # One row per range partition.
+
+
+def with_offsets(rows: DataFrame) -> DataFrame:
+    """Written ``ordered_parts`` with the row number and the bytes before over all partitions, and ``__lw_total``.
+
+    The only state between partitions is one total each.
+    """
     totals = rows.groupBy(PART).agg(F.sum(SIZE).alias("__lw_bytes"), F.count(F.lit(1)).alias("__lw_rows"))
     earlier = Window.orderBy(PART).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -56,8 +58,13 @@ def with_prefix_sums(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
         F.sum("__lw_bytes").over(Window.partitionBy()).alias(TOTAL),
     )
     return (
-        rows.join(F.broadcast(offsets), PART)
+        rows.join(F.broadcast(offsets), PART)  # one row per range partition
         .withColumn(ROW, F.col(ROW) + F.col("__lw_rows_before"))
-        .withColumn(BEFORE, F.col(BEFORE) - F.col(SIZE) + F.col("__lw_bytes_before"))
+        .withColumn(BEFORE, F.col(BEFORE) + F.col("__lw_bytes_before"))
         .drop("__lw_rows_before", "__lw_bytes_before")
     )
+
+
+def with_prefix_sums(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
+    """``df`` in the global order of ``keys`` with its row number, size, bytes before and the total."""
+    return with_offsets(staged(ordered_parts(df, keys, size), "ordered"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lodgeworks.llm.order import BEFORE, PART, SIZE, with_prefix_sums
-from lodgeworks.session import fresh_path, staged
+from lodgeworks.llm.order import BEFORE, ordered_parts, with_offsets
+from lodgeworks.session import fresh_path
 
 #: A document's ids are stored in parts of at most so many.
 PART_IDS = 1 << 20
-#: Words whose ids a Python worker remembers; beyond it the memory starts anew.
-MEMO_WORDS = 400_000
+#: Words, and pieces of words, whose ids a Python worker remembers; beyond it either memory starts anew.
+MEMO_WORDS, MEMO_PIECES = 250_000, 300_000
 
 # Lengths in bytes of the four values of each control byte, from its four pairs of bits.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
@@ -49,6 +49,11 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def width_of(tokenizer: Tokenizer) -> str:
+    """Two bytes per id where the vocabulary allows it."""
+    return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+
 class WordMemo:
     """Ids of whole texts by way of their words, equal to encoding each text at once.
 
@@ -66,6 +71,7 @@ class WordMemo:
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
+        self.dtype = width_of(self.tokenizer)
         self.words: dict[bytes, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         # The byte alphabet of the model: printable Latin-1 stands for itself, the rest follows from 256 on.
@@ -73,29 +79,33 @@ class WordMemo:
         others = [b for b in range(256) if b not in plain]
         self.alphabet = {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(others)}
 
+    def _pack(self, ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
+
     def _piece(self, piece: str) -> bytes:
         found = self.pieces.get(piece)
         if found is None:
             spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
-            found = np.array([t.id for t in self.tokenizer.model.tokenize(spelled)], dtype="<u4").tobytes()
+            found = self._pack([t.id for t in self.tokenizer.model.tokenize(spelled)])
             self.pieces[piece] = found
         return found
 
     def _word(self, word: bytes) -> bytes:
         text = word.decode()
         if "<|" in text or not self.PLAIN.fullmatch(text):
-            found = np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+            found = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
         else:
             found = b"".join([self._piece(p) for p in self.PIECES.findall(text.lower())])
         self.words[word] = found
         return found
 
     def ids(self, text: str | None) -> bytes:
-        """Little-endian unsigned 32-bit ids of the whole text."""
+        """Ids of the whole text as little-endian numbers of the width ``dtype``."""
         if not text:
             return b""
-        if len(self.words) + len(self.pieces) > MEMO_WORDS:
+        if len(self.words) > MEMO_WORDS:
             self.words.clear()
+        if len(self.pieces) > MEMO_PIECES:
             self.pieces.clear()
         get, make = self.words.get, self._word
         # bytes.split cuts at ASCII white space, all of which the tokenizer drops.
@@ -106,27 +116,29 @@ _MEMO: dict[str, WordMemo] = {}
 
 
 def tokenize(docs: DataFrame, vocabulary: str, *, end_id: int = 2, text: str = "text") -> DataFrame:
-    """``docs`` without the text, with ``ids`` (little-endian unsigned 32-bit, ``end_id`` last) and ``n_tokens``."""
+    """``docs`` without the text, with ``ids`` (``end_id`` last, in the width of the vocabulary)."""
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    end = np.array([end_id], dtype="<u4").tobytes()
 
     @F.pandas_udf("binary")
     def encoded(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        memo = _MEMO.setdefault(vocabulary, WordMemo(vocabulary)) if vocabulary not in _MEMO else _MEMO[vocabulary]
+        if vocabulary not in _MEMO:
+            _MEMO[vocabulary] = WordMemo(vocabulary)
+        memo = _MEMO[vocabulary]
+        end = np.array([end_id], dtype=memo.dtype).tobytes()
         for texts in parts:
             yield pd.Series([memo.ids(t) + end for t in texts], dtype=object)
 
     return docs.withColumn("ids", encoded(text)).drop(text)
 
 
-def rank_table(tokens: DataFrame) -> np.ndarray:
+def rank_table(tokens: DataFrame, dtype: str) -> np.ndarray:
     """Ids by falling frequency (ties: smaller id first). The vocabulary bounds its length."""
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
             for raw in batch["ids"]:
-                n = np.bincount(np.frombuffer(raw, dtype="<u4"))
+                n = np.bincount(np.frombuffer(raw, dtype=dtype))
                 if len(n) > len(total):
                     total = np.pad(total, (0, len(n) - len(total)))
                 total[: len(n)] += n
@@ -142,14 +154,17 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end_id: int = 2
     """Encode ``docs`` and write their ids below ``path`` in ascending order of ``key``.
 
     ``path/ids``: per document (long ones in parts of ``PART_IDS``) the control bytes, the data bytes and
-    the number of ids, in files that follow the order; ``path/ranks``: the ids by frequency;
-    ``path/offsets``: the ids before each file's first document. Each document is encoded once: its ids
-    are staged, counted, and dealt by range of the key. Null keys come first; equal keys and repeated
+    the number of ids, in files that follow the order, with the ids before it in its file;
+    ``path/ranks``: the ids by frequency. Each document is encoded once: its ids are staged, counted,
+    and dealt by range of the key. Null keys come first; equal keys and repeated
     rows are written each; null and empty texts hold the end id alone.
     """
     spark = docs.sparkSession
-    ids = staged(tokenize(docs.select(key, "text"), vocabulary, end_id=end_id), "token-ids")
-    order = rank_table(ids)
+    dtype = width_of(Tokenizer.from_file(vocabulary))
+    encoded_at = fresh_path(spark, "token-ids")
+    tokenize(docs.select(key, "text"), vocabulary, end_id=end_id).write.option("compression", "zstd").parquet(encoded_at)
+    ids = spark.read.parquet(encoded_at)
+    order = rank_table(ids, dtype)
     ranks = np.zeros(int(order.max(initial=0)) + 1, dtype=np.uint32)
     ranks[order] = np.arange(len(order), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(ranks)
@@ -159,14 +174,16 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end_id: int = 2
         for series in parts:
             out = []
             for raw in series:
-                values = shared.value[np.frombuffer(raw, dtype="<u4")]
+                values = shared.value[np.frombuffer(raw, dtype=dtype)]
                 pieces = [values[i : i + PART_IDS] for i in range(0, len(values), PART_IDS)]
                 out.append([{"n": len(p), **dict(zip(("control", "data"), encode_ranks(p)))} for p in pieces])
             yield pd.Series(out, dtype=object)
 
-    sizes = ids.select(key, (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), packed("ids").alias("parts"))
-    rows = with_prefix_sums(sizes, [key], F.col("n_tokens"))
-    rows.select(F.col(key), F.col(BEFORE).alias("start"), F.col(SIZE).alias("n_tokens"), "parts").write.parquet(f"{path}/ids")
+    # Every file holds one range of keys in order; where its ids begin follows from the files before
+    # it. The ids are packed after the shuffle, so that sampling the range bounds packs nothing.
+    n_tokens = (F.octet_length("ids") / np.dtype(dtype).itemsize).cast("long")
+    parts = ordered_parts(ids.select(key, "ids"), [key], n_tokens)
+    parts.withColumn("parts", packed("ids")).drop("ids").write.parquet(f"{path}/ids")
     table = ", ".join(map(str, order.tolist()))
     spark.sql(f"SELECT posexplode(array({table})) AS (rank, id)" if len(order) else "SELECT 0 AS rank, 0 AS id WHERE false") \
         .coalesce(1).write.parquet(f"{path}/ranks")
@@ -184,7 +201,8 @@ def read_tokens(spark: SparkSession, path: str, *, key: str = "doc_id") -> DataF
                 b"".join(shared.value[decode_ranks(p["control"], p["data"], p["n"])].tobytes() for p in stored)
                 for stored in series], dtype=object)
 
-    return spark.read.parquet(f"{path}/ids").select(key, "start", unpacked("parts").alias("ids"))
+    rows = with_offsets(spark.read.parquet(f"{path}/ids"))
+    return rows.select(key, F.col(BEFORE).alias("start"), unpacked("parts").alias("ids"))
 
 
 def ids_round_trip(docs: DataFrame, vocabulary: str) -> DataFrame:

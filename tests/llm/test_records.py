@@ -65,7 +65,7 @@ def test_variable_length_coding(values):
 def test_words_encode_like_whole_texts(text):
     memo = MEMO
     for t in (text, "<|endoftext|>" + text, text + " it's don't 3rd " + text):
-        assert np.frombuffer(memo.ids(t), dtype="<u4").tolist() == memo.tokenizer.encode(t, add_special_tokens=False).ids
+        assert np.frombuffer(memo.ids(t), dtype=memo.dtype).tolist() == memo.tokenizer.encode(t, add_special_tokens=False).ids
 
 
 def test_token_files(spark, small, tmp_path, monkeypatch):
