@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodgeworks.catalog.registry import (
+    NUMBERS,
     REPAIRED_SAME_YEAR,
+    TEXTS,
     long_sql,
     mode_of,
     over_bookings,
@@ -324,23 +326,20 @@ def all_null(spark, sf):
 
 @query(
     "a7_means",
-    over_bookings(
-        """SELECT ROUND(AVG(lead_time), 6) AS lead_time, ROUND(AVG(avg_price_per_room), 6) AS avg_price_per_room
-        FROM bookings"""
-    ),
+    over_bookings("SELECT " + ", ".join(f"ROUND(AVG({c}), 6) AS {c}" for c in NUMBERS) + " FROM bookings"),
 )
 def means(spark, sf):
-    df = bookings(spark, sf, ["lead_time", "avg_price_per_room"])
+    df = bookings(spark, sf, NUMBERS)
     return df.agg(*[F.round(F.avg(present(df, c)), 6).alias(c) for c in df.columns])
 
 
-def _quantile_rows(spark, sf, probs, names=("lead_time", "avg_price_per_room", "no_of_week_nights")):
+def _quantile_rows(spark, sf, probs, names=NUMBERS):
     found = exact_quantiles(staged(bookings(spark, sf, names)), names, probs)
     rows = [(c, float(p), round(q, 8)) for c, by in found.items() for p, q in by.items()]
     return spark.createDataFrame(rows, "column string, prob double, value double")
 
 
-def _quantile_sql(probs, names=("lead_time", "avg_price_per_room", "no_of_week_nights")):
+def _quantile_sql(probs, names=NUMBERS):
     return over_bookings(
         " UNION ALL ".join(
             f"SELECT '{c}' AS \"column\", {p}::DOUBLE AS prob, ROUND(QUANTILE_CONT({c}, {p}), 8)::DOUBLE AS value"
@@ -362,13 +361,13 @@ def medians(spark, sf):
         " UNION ALL ".join(
             f"SELECT '{c}' AS name, v::VARCHAR AS mode, c AS n FROM (SELECT {c} AS v, COUNT(*) AS c FROM uniq"
             f" WHERE {c} IS NOT NULL GROUP BY 1 QUALIFY ROW_NUMBER() OVER (ORDER BY COUNT(*) DESC, {c}) = 1)"
-            for c in ("type_of_meal_plan", "booking_date", "market_segment_type")
+            for c in (*TEXTS, "booking_date")
         )
     ),
 )
 def modes(spark, sf):
     df = clean.drop_duplicate_rows(clean.add_booking_date(bookings(spark, sf)))
-    return clean.value_modes(df, ["type_of_meal_plan", "booking_date", "market_segment_type"])
+    return clean.value_modes(df, [*TEXTS, "booking_date"])
 
 
 @query("a10_quartiles", _quantile_sql((0.25, 0.75)))
@@ -515,14 +514,15 @@ def f2f(spark, sf):
     over_bookings(
         f"""SELECT k, ROUND(COALESCE(lead_time, (SELECT AVG(lead_time) FROM bookings))::DOUBLE, 6) AS lead_time,
         ROUND(COALESCE(avg_price_per_room, (SELECT AVG(avg_price_per_room) FROM bookings)), 6) AS avg_price_per_room,
+        ROUND(COALESCE(arrival_date, (SELECT AVG(arrival_date) FROM bookings))::DOUBLE, 6) AS arrival_date,
         COALESCE(type_of_meal_plan, {mode_of("type_of_meal_plan", "bookings")}) AS type_of_meal_plan FROM bookings"""
     ),
 )
 def fill_nulls(spark, sf):
     df = clean.fill_nulls(
-        bookings(spark, sf, ["lead_time", "avg_price_per_room", "type_of_meal_plan"], key=True)
+        bookings(spark, sf, ["lead_time", "avg_price_per_room", "arrival_date", "type_of_meal_plan"], key=True)
     )
-    return df.withColumns({c: F.round(c, 6) for c in ("lead_time", "avg_price_per_room")})
+    return df.withColumns({c: F.round(c, 6) for c in ("lead_time", "avg_price_per_room", "arrival_date")})
 
 
 @query(
@@ -530,15 +530,16 @@ def fill_nulls(spark, sf):
     over_bookings(
         f"""SELECT k, ROUND(COALESCE(lead_time, (SELECT MEDIAN(lead_time) FROM u))::DOUBLE, 6) AS lead_time,
         ROUND(COALESCE(avg_price_per_room, (SELECT MEDIAN(avg_price_per_room) FROM u)), 6) AS avg_price_per_room,
+        ROUND(COALESCE(arrival_date, (SELECT MEDIAN(arrival_date) FROM u))::DOUBLE, 6) AS arrival_date,
         COALESCE(type_of_meal_plan, {mode_of("type_of_meal_plan", "u")}) AS type_of_meal_plan FROM u""",
-        "u AS (SELECT DISTINCT k, lead_time, avg_price_per_room, type_of_meal_plan FROM bookings)",
+        "u AS (SELECT DISTINCT k, lead_time, avg_price_per_room, arrival_date, type_of_meal_plan FROM bookings)",
     ),
 )
 def auto_clean(spark, sf):
     df = clean.auto_clean(
-        staged(bookings(spark, sf, ["lead_time", "avg_price_per_room", "type_of_meal_plan"], key=True))
+        staged(bookings(spark, sf, ["lead_time", "avg_price_per_room", "arrival_date", "type_of_meal_plan"], key=True))
     )
-    return df.withColumns({c: F.round(c, 6) for c in ("lead_time", "avg_price_per_room")})
+    return df.withColumns({c: F.round(c, 6) for c in ("lead_time", "avg_price_per_room", "arrival_date")})
 
 
 @query("f10_set_types", over_bookings(f"SELECT * EXCLUDE (k, Booking_ID), {repaired()} AS booking_date FROM bookings"))

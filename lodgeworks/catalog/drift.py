@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lodgeworks.catalog.registry import over_bookings, query
+from lodgeworks.catalog.registry import NUMBERS, over_bookings, query
 from lodgeworks.operators import drift, metrics
 from lodgeworks.plans.monitor import monitor
 from lodgeworks.session import fresh_path
@@ -67,16 +67,15 @@ def feature_drift_shifted(spark, sf):
     return _rounded(drift.feature_drift(first, later, ["value"]))
 
 
-_NUMBERS = ("lead_time", "avg_price_per_room", "no_of_week_nights", "no_of_special_requests")
 _BOOKING_ROWS = " UNION ALL ".join(
     f"SELECT '{c}' AS feature, {c}::DOUBLE AS value, k % 2 = 0 AS is_ref FROM bookings WHERE {c} IS NOT NULL"
-    for c in _NUMBERS
+    for c in NUMBERS
 )
 
 
 @query("a24_feature_drift_bookings", over_bookings(_KS_OUT, *_ks_ctes(_BOOKING_ROWS)))
 def feature_drift_bookings(spark, sf):
-    df = bookings(spark, sf, _NUMBERS, key=True)
+    df = bookings(spark, sf, NUMBERS, key=True)
     even = F.col("k") % 2 == 0
     return _rounded(drift.feature_drift(df.filter(even).drop("k"), df.filter(~even).drop("k")))
 

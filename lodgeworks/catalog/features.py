@@ -187,7 +187,7 @@ def _importance(spark, sf):
     df = features.add_stay_features(cleaned(spark, sf))
     coded, _ = features.encode_categories(df, [*CATEGORICAL, TARGET])
     columns = [c for c in coded.columns if c not in ("Booking_ID", TARGET, "booking_date")]
-    return models.feature_importance(coded, columns, TARGET, trees=20, depth=8)
+    return models.feature_importance(coded, columns, TARGET)
 
 
 @query("m2_feature_importance")

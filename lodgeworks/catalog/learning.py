@@ -8,8 +8,8 @@ from pyspark.ml.feature import OneHotEncoder, UnivariateFeatureSelector, VectorA
 from pyspark.sql import functions as F
 
 from lodgeworks.catalog.cleaning import cleaned
-from lodgeworks.catalog.features import feature_rows
-from lodgeworks.catalog.registry import query
+from lodgeworks.catalog.features import _TABLE_SQL, feature_rows
+from lodgeworks.catalog.registry import over_cleaned, query
 from lodgeworks.fields import CATEGORICAL
 from lodgeworks.operators import features, models, tuning
 from lodgeworks.operators.models import presets
@@ -29,14 +29,37 @@ def prepared(spark, sf):
     return training.prepare(labelled(spark, sf), "likely")
 
 
+_PREPARED: dict = {}
+_FITTED: dict = {}
+
+
+def _shared(spark, sf):
+    """The prepared rows of a table; several queries of one session read the same checkpoint."""
+    at = (spark.sparkContext.applicationId, sf)
+    if at not in _PREPARED:
+        _PREPARED[at] = prepared(spark, sf)
+    return _PREPARED[at]
+
+
+def _fitted(spark, sf, names=None):
+    """The named classifiers (all eight by default) at their presets, each trained once per session and table."""
+    data = _shared(spark, sf)
+    names = list(names or presets(data.scaler.outputs, data.key))
+    at = (spark.sparkContext.applicationId, sf)
+    missing = [n for n in names if (*at, n) not in _FITTED]
+    if missing:
+        for result in training.train(data, missing)[1]:
+            _FITTED[*at, result.name] = result
+    return data, [_FITTED[*at, n] for n in names]
+
+
 def _fit_query(query_name: str, model_name: str) -> None:
     @query(query_name)
     def fit(spark, sf):
-        data = prepared(spark, sf)
-        best, _ = training.train(data, [model_name], small=True)
-        scored = best.model.transform(data.parts["valid"])
-        return scored.select("booking_id", F.col("label").cast("long").alias("label"),
-                             F.col("prediction").cast("long").alias("prediction"))
+        data, (best,) = _fitted(spark, sf, [model_name])
+        held = data.parts["valid"].unionByName(data.parts["test"])
+        return best.model.transform(held).select("booking_id", "split", F.col("label").cast("long").alias("label"),
+                                                 F.col("prediction").cast("long").alias("prediction"))
 
 
 _fit_query("m4_random_forest", "random_forest")
@@ -51,46 +74,45 @@ _fit_query("m11_stacking", "stacked_clf")
 
 @query("m12_train_and_rank")
 def train_and_rank(spark, sf):
-    names = ["random_forest", "gradient_boosting", "logistic_regression", "svc"]
-    _, results = training.train(prepared(spark, sf), names, small=True)
-    return models.results_table(spark, results)
+    return models.results_table(spark, _fitted(spark, sf)[1])
 
 
 @query("t6_best_model")
 def best_model(spark, sf):
-    best, _ = training.train(prepared(spark, sf), ["random_forest", "logistic_regression"], small=True)
+    best = models.best_of(_fitted(spark, sf)[1])
     return spark.createDataFrame([(best.name, best.accuracy)], "model string, accuracy double")
 
 
 @query("m13_random_search")
 def random_search(spark, sf):
-    data = prepared(spark, sf)
-    preset = presets(data.scaler.outputs, data.key, small=True)["logistic_regression"]
-    found = tuning.random_search("logistic_regression", preset, data.parts["train"], data.key,
-                                 data.parts["test"], draws=4, folds=3)
+    """Ten draws with five folds; the other spaces of ``tuning.SPACES`` are searched by the same call."""
+    data = _shared(spark, sf)
+    preset = presets(data.scaler.outputs, data.key)["logistic_regression"]
+    found = tuning.random_search("logistic_regression", preset, data.parts["train"], data.key, data.parts["test"])
     return spark.createDataFrame(
-        [(i, repr(t.params), t.mean, t is found.best) for i, t in enumerate(found.trials)],
-        "draw int, params string, accuracy double, best boolean",
+        [(i, repr(t.params), t.mean, t is found.best, t.error) for i, t in enumerate(found.trials)],
+        "draw int, params string, accuracy double, best boolean, error string",
     )
 
 
 @query("m14_deployment_gate")
 def deployment_gate(spark, sf):
-    data = prepared(spark, sf)
-    best, _ = training.train(data, ["random_forest"], small=True)
+    data, (best,) = _fitted(spark, sf, ["random_forest"])
     return training.gate(best.model, data.parts["test"])
 
 
 def _scored(spark, sf):
-    data = prepared(spark, sf)
-    best, _ = training.train(data, ["random_forest"], small=True)
+    data, (best,) = _fitted(spark, sf, ["random_forest"])
     root = fresh_path(spark, "registry")
     model = training.scoring_model(data.scaler, best.model)
     training.register(spark, model, best.name, root, 1, best.accuracy, RUN_TS)
     return model, training.load_registered(spark, root)
 
 
-@query("s11_model_save_and_load")
+_ALL_KEPT = over_cleaned(f"SELECT COUNT(*) AS n, COUNT(*) AS n_same FROM ({_TABLE_SQL})")
+
+
+@query("s11_model_save_and_load", _ALL_KEPT)
 def save_and_load(spark, sf):
     model, loaded = _scored(spark, sf)
     rows = staged(labelled(spark, sf), "labelled")
@@ -109,8 +131,7 @@ def predict(spark, sf):
 
 @query("m15_scaler_and_model")
 def scaler_and_model(spark, sf):
-    data = prepared(spark, sf)
-    best, _ = training.train(data, ["logistic_regression"], small=True)
+    data, (best,) = _fitted(spark, sf, ["logistic_regression"])
     model = training.scoring_model(data.scaler, best.model)
     return training.score(model, labelled(spark, sf), ["booking_id"]).groupBy("booking_status").agg(
         F.count(F.lit(1)).alias("n")

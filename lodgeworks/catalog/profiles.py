@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodgeworks.catalog.cleaning import cleaned
-from lodgeworks.catalog.registry import over_bookings, query
+from lodgeworks.catalog.registry import NUMBERS, over_bookings, query
 from lodgeworks.fields import CATEGORICAL, PCA_COLUMNS
 from lodgeworks.operators import features, profile
 from lodgeworks.session import staged
@@ -51,7 +51,7 @@ def density(spark, sf):
     return profile.density_curve(bookings(spark, sf, ["lead_time"]), "lead_time")
 
 
-_BOX = ("lead_time", "avg_price_per_room", "no_of_week_nights")
+_BOX = NUMBERS
 
 
 @query(

@@ -6,9 +6,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lodgeworks.fields import RAW_SCHEMA
 from lodgeworks.sources.bookings import BOOKINGS_SQL
 
 Query = Callable[[SparkSession, str], DataFrame]
+#: All number and all text columns of the bookings, without the identifier.
+NUMBERS = tuple(f.name for f in RAW_SCHEMA if f.dataType.typeName() != "string")
+TEXTS = tuple(f.name for f in RAW_SCHEMA if f.dataType.typeName() == "string" and f.name != "Booking_ID")
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodgeworks.catalog.cleaning import RAW, cleaned
-from lodgeworks.catalog.registry import long_sql, over_bookings, over_cleaned, query
+from lodgeworks.catalog.registry import NUMBERS, long_sql, over_bookings, over_cleaned, query
 from lodgeworks.functions.columns import number_columns
 from lodgeworks.operators import clean, features, rules
 from lodgeworks.operators.quantiles import iqr_outliers
@@ -90,7 +90,7 @@ def number_rules(spark, sf):
     return rules.evaluate(bookings(spark, sf, names), found).select(*_COLUMNS)
 
 
-_OUTLIER_COLUMNS = ("lead_time", "avg_price_per_room", "no_of_week_nights", "required_car_parking_space")
+_OUTLIER_COLUMNS = NUMBERS
 
 
 def _outliers_sql(source: str, columns) -> str:

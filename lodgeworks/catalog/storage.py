@@ -163,7 +163,7 @@ def split_sizes_two(spark, sf):
     return df.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
 
 
-_SCALED = MODEL_FEATURES[:3]
+_SCALED = MODEL_FEATURES
 
 
 @query(

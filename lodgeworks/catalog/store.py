@@ -45,7 +45,7 @@ def as_of(spark, sf):
 @query("j1_as_of_join_heavy_keys", _asof_sql())
 def as_of_heavy(spark, sf):
     """The same join with a row limit low enough that keys take the way for heavy ones."""
-    return as_of_join(_spine(spark, sf), _views(spark, sf), ["user_id"], "ts", hot_rows=25)
+    return as_of_join(_spine(spark, sf), _views(spark, sf), ["user_id"], "ts", ranges=25)
 
 
 @query("j1_as_of_join_one_day", _asof_sql(1))
@@ -268,6 +268,27 @@ def online(spark, sf):
     return out.select("booking_id", "lead_time_current", F.col("lead_time").alias("stored_lead_time"))
 
 
+@query(
+    "fs2_online_two_views",
+    """SELECT s.user_id, v.value AS viewed, p.value AS bought FROM (SELECT DISTINCT user_id FROM events) s
+    LEFT JOIN (SELECT user_id, value FROM events WHERE event_type = 'view'
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1) v USING (user_id)
+    LEFT JOIN (SELECT user_id, ts, value FROM events WHERE event_type = 'purchase'
+      QUALIFY ROW_NUMBER() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1) p
+      ON p.user_id = s.user_id AND p.ts >= TIMESTAMP '2024-01-28 00:00:00'""",
+)
+def online_two_views(spark, sf):
+    """A service over two views, the second of which keeps its rows for two days only."""
+    user = store.Entity("user", ("user_id",))
+    views, latest = [], {}
+    for kind, name, ttl in (("view", "viewed", timedelta(days=60)), ("purchase", "bought", timedelta(days=2))):
+        rows = _events(spark, sf, kind).select("user_id", F.col("ts").alias("event_timestamp"), F.col("value").alias(name))
+        latest[name] = latest_by_key(rows, ["user_id"], "event_timestamp")
+        views.append((store.FeatureView(name, user, (name,), ttl), (name,)))
+    requests = table(spark, sf, "events").select("user_id").distinct()
+    return store.online_features(store.FeatureService("both", tuple(views)), requests, latest, as_of="2024-01-30 00:00:00")
+
+
 @query(
     "x4_custom_transform",
     _asof_sql().replace("SELECT s.event_id, s.user_id, s.ts,", "SELECT event_id, ROUND(value * 2 + 1, 6) AS doubled FROM (SELECT s.event_id, s.user_id, s.ts,") + ")",

@@ -7,7 +7,7 @@ from datetime import timedelta
 from pyspark.sql import functions as F
 
 from lodgeworks.catalog.drift import predictions
-from lodgeworks.catalog.learning import labelled, prepared
+from lodgeworks.catalog.learning import _ALL_KEPT, _fitted as fitted, labelled
 from lodgeworks.catalog.registry import query
 from lodgeworks.plans import train as training
 from lodgeworks.session import fresh_path, staged
@@ -16,8 +16,8 @@ from lodgeworks.streaming import jobs
 
 
 def _event_stream(spark, sf):
-    schema = table(spark, sf, "events").schema
-    return jobs.file_stream(spark, sf, schema, glob="events.parquet")
+    # The pattern fits a single file as well as a folder of files.
+    return jobs.file_stream(spark, f"{sf}/events.parquet*", table(spark, sf, "events").schema)
 
 
 _LATEST_SQL = """SELECT user_id, ts, value FROM events WHERE event_type = 'view'
@@ -48,8 +48,7 @@ def push_ttl(spark, sf):
 
 
 def _scored_log(spark, sf):
-    data = prepared(spark, sf)
-    best, _ = training.train(data, ["logistic_regression"], small=True)
+    data, (best,) = fitted(spark, sf, ["logistic_regression"])
     model = training.scoring_model(data.scaler, best.model)
     root = fresh_path(spark, "scoring")
     requests = labelled(spark, sf).select("booking_id", *data.scaler.columns)
@@ -66,7 +65,7 @@ def stream_scoring(spark, sf):
     return _scored_log(spark, sf)[0]
 
 
-@query("st4_stream_log_equals_batch")
+@query("st4_stream_log_equals_batch", _ALL_KEPT)
 def stream_log(spark, sf):
     log, batch = _scored_log(spark, sf)
     both = log.select("booking_id", F.col("booking_status").alias("a")).join(

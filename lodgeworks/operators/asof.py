@@ -1,12 +1,10 @@
 """Point-in-time join with a time-to-live.
 
-Spine and features are merged in one ordered stream per key and the newest feature row so far is
-carried to each spine row: one shuffle, no row multiplication, any number of feature views.
-
-A key that holds a large part of all rows would be one sort in one task. Keys above a row limit
-are therefore found first (a count per key, combined before the shuffle) and take another way: the
-time axis of such a key is cut into slices of about equal size, each slice is a window partition,
-and the last feature row of the earlier slices is carried in.
+Spine and features are merged in one stream ordered by key and time, and the newest feature row so
+far is carried to each spine row: no row multiplication, any number of feature views. The stream is
+dealt by range of (key, time), so a key with any share of the rows spreads over as many ranges as
+its rows ask for, and no key needs to be known beforehand. A key that reaches into a range from
+an earlier one brings its last feature row along.
 """
 
 from __future__ import annotations
@@ -18,12 +16,7 @@ from datetime import timedelta
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeworks.operators.ordering import bucket_index
-
-HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000
-MAX_SLICES = 4_096
-NULL_KEY_SPREAD = 1_024
+from lodgeworks.session import staged
 
 
 @dataclass(frozen=True)
@@ -68,86 +61,51 @@ def as_of_join(
     features: FeatureSet | Sequence[FeatureSet],
     keys: Sequence[str],
     ts: str,
-    hot_rows: int | None = HOT_ROWS,
+    ranges: int | None = None,
 ) -> DataFrame:
     """Each spine row with the newest feature row at or before its time and within the TTL.
 
     Every spine row is kept, copies included; without a match the fields are null. An expired
-    newest row gives null, not an older row. ``hot_rows=None`` skips the search for heavy keys.
+    newest row gives null, not an older row. The number of ranges follows the size of the rows
+    unless ``ranges`` sets it. The dealt rows are staged once, because the bounds of the ranges come
+    from a sample and a second evaluation could cut elsewhere.
     """
     views = [features] if isinstance(features, FeatureSet) else list(features)
     keys = list(keys)
-    tables = [v.rows(keys, i) for i, v in enumerate(views)]
-    hot = _heavy_keys(spine, tables, keys, hot_rows) if hot_rows is not None else None
-    if hot is None:
-        return _merge(spine, tables, views, keys, ts)
-    # At most MAX_HOT_KEYS rows: a key only counts as heavy above 1/MAX_HOT_KEYS of all rows.
-    small = F.broadcast(hot.select(*keys))
-    match = _same_keys(keys)
-    cold = _merge(
-        spine.join(small.select(*_renamed(keys)), match, "left_anti"),
-        [t.join(small, keys, "left_anti") for t in tables],
-        views, keys, ts,
-    )
-    heavy = _sliced(
-        spine.join(small, keys, "left_semi"),
-        [t.join(small, keys, "left_semi") for t in tables],
-        views, keys, ts, hot, hot_rows,
-    )
-    return cold.unionByName(heavy)
-
-
-def _renamed(keys: Sequence[str]) -> list[Column]:
-    return [F.col(k).alias(f"_k_{k}") for k in keys]
-
-
-def _same_keys(keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & (F.col(k) == F.col(f"_k_{k}"))
-    return cond
-
-
-def _heavy_keys(
-    spine: DataFrame, tables: Sequence[DataFrame], keys: list[str], hot_rows: int
-) -> DataFrame | None:
-    """``keys, _n`` of the keys above the limit, or None when there are none."""
-    rows = spine.dropna("any", subset=keys).select(*keys)
-    for t in tables:
-        rows = rows.unionByName(t.select(*keys))
-    counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    top = counts.agg(F.sum("_n").alias("total"), F.max("_n").alias("largest")).first()
-    if not top["total"] or top["largest"] <= hot_rows:
-        return None
-    limit = max(hot_rows, top["total"] // MAX_HOT_KEYS)
-    heavy = counts.filter(F.col("_n") > limit).collect()  # fewer than MAX_HOT_KEYS rows
-    return spine.sparkSession.createDataFrame(heavy, counts.schema) if heavy else None
-
-
-def _merge(spine, tables, views, keys, ts) -> DataFrame:
     rest = [c for c in spine.columns if c not in (*keys, ts)]
-    left = spine.select(
-        *keys, F.col(ts).alias("_ts"), F.lit(1).alias("_side"),
+    merged = spine.select(
+        *keys, F.col(ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(None).cast("timestamp_ntz").alias("_created"),
         F.struct(*rest, F.lit(1).alias("_any")).alias("_rest"),
     )
-    merged = left
-    for t in tables:
-        merged = merged.unionByName(t.withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    # Spine rows without a key match nothing; spread them instead of sorting them in one task.
-    null_key = F.lit(False)
-    for k in keys:
-        null_key = null_key | F.col(k).isNull()
-    spread = F.when(null_key, F.pmod(F.xxhash64("_rest", "_ts"), F.lit(NULL_KEY_SPREAD))).otherwise(0)
-    so_far = (
-        Window.partitionBy(*keys, "_spread")
-        .orderBy("_ts", "_side", F.col("_created").asc_nulls_first())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    for i, view in enumerate(views):
+        merged = merged.unionByName(view.rows(keys, i).withColumn("_side", F.lit(0)), allowMissingColumns=True)
+    order = ["_ts", "_side", "_created"]
+    dealt = merged.repartitionByRange(*([ranges] if ranges else []), *keys, *order)
+    dealt = staged(dealt.withColumn("_range", F.spark_partition_id()), "as-of")
+
+    so_far = Window.partitionBy("_range", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     rows = [f"_row{i}" for i in range(len(views))]
-    carried = merged.withColumn("_spread", spread).withColumns(
-        {r: F.last(r, ignorenulls=True).over(so_far) for r in rows}
-    )
-    return _finish(carried.filter("_side = 1"), spine, views, keys, ts)
+    carried = dealt.withColumns({r: F.last(r, ignorenulls=True).over(so_far) for r in rows}).filter("_side = 1")
+    return _finish(_with_earlier(carried, dealt, rows, keys), spine, views, keys, ts)
+
+
+def _with_earlier(carried: DataFrame, dealt: DataFrame, rows: list[str], keys: list[str]) -> DataFrame:
+    """Where a range has no feature row of a key up to a spine row: the last one of the ranges before it."""
+    newest = [F.max_by(r, F.when(F.col(r).isNotNull(), F.struct("_ts", "_created"))).alias(r) for r in rows]
+    every = Window.partitionBy(*keys)
+    earlier = every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    ends = dealt.groupBy("_range", *keys).agg(*newest).select(
+        F.col("_range").alias("_r"),
+        *[F.col(k).alias(f"_k_{k}") for k in keys],
+        *[F.last(r, ignorenulls=True).over(earlier).alias(f"_earlier{r}") for r in rows],
+        F.count(F.lit(1)).over(every).alias("_ranges"),
+    ).filter("_ranges > 1")
+    match = F.col("_range") == F.col("_r")
+    for k in keys:
+        match = match & (F.col(k) == F.col(f"_k_{k}"))
+    # Of each range at most its first and its last key reach beyond it, so two rows per range.
+    joined = carried.join(F.broadcast(ends), match, "left")
+    return joined.withColumns({r: F.coalesce(r, f"_earlier{r}") for r in rows})
 
 
 def _finish(carried, spine, views, keys, ts) -> DataFrame:
@@ -159,64 +117,6 @@ def _finish(carried, spine, views, keys, ts) -> DataFrame:
     return carried.select(*kept, *outs)
 
 
-def _sliced(spine, tables, views, keys, ts, hot, hot_rows) -> DataFrame:
-    """The way for heavy keys; exact for any distribution of the times, equal times included."""
-    rows = [f"_row{i}" for i in range(len(views))]
-    largest = hot.agg(F.max("_n")).first()[0]
-    slices = max(2, min(MAX_SLICES, -(-largest // hot_rows)))
-
-    # One row per (key, time): copies collapse before the shuffle, the newest created row stays.
-    stamps = spine.select(*keys, F.col(ts).alias("_ts"))
-    for i, t in enumerate(tables):
-        newest = t.groupBy(*keys, "_ts").agg(
-            F.max_by(rows[i], F.coalesce("_created", F.lit("0001-01-01").cast("timestamp_ntz"))).alias(rows[i])
-        )
-        stamps = stamps.unionByName(newest, allowMissingColumns=True)
-    stamps = stamps.groupBy(*keys, "_ts").agg(*[F.first(r, ignorenulls=True).alias(r) for r in rows])
-
-    cuts = [i / slices for i in range(1, slices)]
-    bounds = stamps.groupBy(*keys).agg(
-        F.percentile_approx("_ts", cuts, 100 * slices).alias("_bounds")
-    )
-    # A key gets as many slices as its rows ask for, so all slices together stay near rows/hot_rows.
-    share = hot.select(*keys, F.ceil(F.col("_n") / hot_rows).alias("_share"))
-    plan = F.broadcast(bounds.join(F.broadcast(share), keys))  # one row per heavy key
-    cut = stamps.join(plan, keys).withColumn(
-        "_slice",
-        F.floor(
-            bucket_index(F.col("_ts"), F.col("_bounds"), len(cuts))
-            * F.least(F.col("_share"), F.lit(slices)) / slices
-        ),
-    ).drop("_bounds", "_share")
-
-    within = (
-        Window.partitionBy(*keys, "_slice").orderBy("_ts")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    ends = cut.groupBy(*keys, "_slice").agg(
-        *[
-            F.max_by(r, F.when(F.col(r).isNotNull(), F.col("_ts"))).alias(f"_end{i}")
-            for i, r in enumerate(rows)
-        ]
-    )
-    earlier = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    carry = ends.select(
-        *keys, "_slice",
-        *[F.last(f"_end{i}", ignorenulls=True).over(earlier).alias(f"_carry{i}") for i in range(len(rows))],
-    )
-    resolved = (
-        cut.withColumns({r: F.last(r, ignorenulls=True).over(within) for r in rows})
-        .join(F.broadcast(carry), [*keys, "_slice"], "left")  # one row per slice of a heavy key
-        .select(*keys, "_ts", *[F.coalesce(r, f"_carry{i}").alias(r) for i, r in enumerate(rows)])
-    )
-    rest = [c for c in spine.columns if c not in (*keys, ts)]
-    left = spine.select(
-        *keys, F.col(ts).alias("_ts"), F.struct(*rest, F.lit(1).alias("_any")).alias("_rest")
-    )
-    # Many spine rows may share (key, time): adaptive skew handling splits the spine side.
-    return _finish(left.join(resolved, [*keys, "_ts"], "left"), spine, views, keys, ts)
-
-
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], ts: str, created: str | None = None
 ) -> DataFrame:

@@ -52,6 +52,8 @@ def feature_drift(
 ) -> DataFrame:
     """``(feature, n_ref, n_cur, d, p_value)``: the two-sample Kolmogorov-Smirnov test per column.
 
+    A feature without values on one side keeps its row, with a null statistic.
+
     Both sides are counted per (feature, value) with a combine before the shuffle, so ties and
     frequent values are one row each. Cumulative counts then come from bucketed running totals:
     no window over a whole feature, whatever its size.
@@ -72,25 +74,33 @@ def feature_drift(
     )
     steps = running_totals(counts, ["value"], ["ref", "cur"], ["name"], buckets, totals=True)
     gap = F.abs(F.col("ref_upto") / F.col("ref_total") - F.col("cur_upto") / F.col("cur_total"))
-    return (
-        steps.filter("ref_total > 0 AND cur_total > 0")  # a feature absent on one side has no statistic
-        .groupBy("name", F.col("ref_total").alias("n_ref"), F.col("cur_total").alias("n_cur"))
-        .agg(F.max(gap).alias("d"))
+    both_sides = (F.col("ref_total") > 0) & (F.col("cur_total") > 0)
+    tested = (
+        steps.groupBy("name", F.col("ref_total").alias("n_ref"), F.col("cur_total").alias("n_cur"))
+        .agg(F.max(F.when(both_sides, gap)).alias("d"))
         .select(
             F.col("name").alias("feature"), "n_ref", "n_cur", "d",
-            kolmogorov_tail(F.col("d"), F.col("n_ref"), F.col("n_cur")).alias("p_value"),
+            F.when(F.col("d").isNotNull(), kolmogorov_tail(F.col("d"), F.col("n_ref"), F.col("n_cur"))).alias("p_value"),
         )
     )
+    # A column empty on both sides has no values to count, but is still a row of the report.
+    listed = reference.sparkSession.createDataFrame([(c,) for c in names], "feature string")
+    return listed.join(tested, "feature", "left").select(
+        "feature", F.coalesce("n_ref", F.lit(0)).alias("n_ref"), F.coalesce("n_cur", F.lit(0)).alias("n_cur"), "d", "p_value")
 
 
 def data_drift(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """One row ``score``: 1 minus the mean p-value; 1.0 when no column can be compared."""
-    return feature_drift(reference, current, columns, buckets).agg(
-        F.coalesce(1 - F.avg("p_value"), F.lit(1.0)).alias("score")
-    )
+    """One row ``score``: 1 minus the mean p-value; 1.0 when the frames share no column.
+
+    Null when any compared column is empty on one side: that is missing data, not drift.
+    """
+    if not drift_columns(reference, current, columns):
+        return reference.sparkSession.sql("SELECT 1.0D AS score")
+    tested = feature_drift(reference, current, columns, buckets)
+    return tested.agg(F.when(F.count("p_value") == F.count(F.lit(1)), 1 - F.avg("p_value")).alias("score"))
 
 
 def model_drift(reference: DataFrame, current: DataFrame, prediction: str = "prediction") -> DataFrame:
@@ -101,13 +111,19 @@ def model_drift(reference: DataFrame, current: DataFrame, prediction: str = "pre
     return sides.agg(F.abs(F.avg("r") - F.avg("c")).alias("score"))
 
 
-def log_row(kind: str, score: Column, run_ts: str, threshold: float, method: str) -> list[Column]:
+def log_row(
+    kind: str, score: Column, run_ts: str, threshold: float, method: str, details: dict[str, str] | None = None
+) -> list[Column]:
+    """One log record; ``details`` given by the caller stand beside the method, and a missing score says why."""
+    known = [F.lit(x) for pair in {"method": method, **(details or {})}.items() for x in pair]
+    reason = F.when(score.isNull(), F.create_map(F.lit("reason"), F.lit("no data on one side"))).otherwise(
+        F.create_map().cast("map<string,string>"))
     return [
         F.lit(run_ts).cast("timestamp_ntz").alias("ts"),
         F.lit(kind).alias("type"),
         score.cast("double").alias("score"),
         F.lit(float(threshold)).alias("threshold"),
-        F.create_map(F.lit("method"), F.lit(method)).alias("details"),
+        F.map_concat(F.create_map(*known), reason).alias("details"),
     ]
 
 
@@ -115,8 +131,12 @@ def monitor_rows(
     reference: DataFrame, current: DataFrame, run_ts: str, *,
     prediction: str = "prediction", label: str = "label",
     columns: Sequence[str] | None = None, thresholds: dict[str, float] | None = None,
+    details: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Three log rows with one schema: data drift, model drift and accuracy of the current frame."""
+    """Three log rows with one schema: data drift, model drift and accuracy of the current frame.
+
+    A score that cannot be computed for lack of data is null, and ``details`` of its row names the reason.
+    """
     limits = {**DRIFT_THRESHOLDS, **(thresholds or {})}
     names = columns
     if names is None:
@@ -129,7 +149,7 @@ def monitor_rows(
     ]
     rows = None
     for kind, frame, method in parts:
-        row = frame.select(*log_row(kind, F.col("score"), run_ts, limits[kind], method))
+        row = frame.select(*log_row(kind, F.col("score"), run_ts, limits[kind], method, details))
         rows = row if rows is None else rows.unionByName(row)
     return rows
 

@@ -1,9 +1,8 @@
 """Running totals, contiguous numbers and grouped quantiles over a global order.
 
-A window over the whole table runs in one task. Here the order is cut into buckets at sampled
-split points, each bucket is one window partition, and what the earlier buckets add up to is
-carried in from a table of at most two rows per bucket. The split points only balance the work:
-any split points give the same result.
+A window over the whole table runs in one task. Here the rows are dealt by range of the order, each
+partition is one window partition, and what the partitions before it add up to is carried in from
+a table of at most two rows per partition.
 """
 
 from __future__ import annotations
@@ -15,55 +14,6 @@ from pyspark.sql import functions as F
 
 from lodgeworks.session import staged
 
-SAMPLES_PER_BUCKET = 20
-MAX_BUCKETS = 2_000
-STRIDE = 32
-
-
-def default_buckets(df: DataFrame) -> int:
-    return min(MAX_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-
-
-def _literal_key(schema, row) -> Column:
-    parts = [F.lit(v).cast(f.dataType).alias(f.name) for f, v in zip(schema, row)]
-    return parts[0] if len(parts) == 1 else F.struct(*parts)
-
-
-def _key(names: Sequence[str]) -> Column:
-    return F.col(names[0]) if len(names) == 1 else F.struct(*names)
-
-
-def split_points(df: DataFrame, keys: Sequence[str], buckets: int) -> list[tuple]:
-    """Sorted keys that cut the key range into about equal parts.
-
-    The sample is the keys whose hash falls below a limit set from the row count: uniform over the
-    distinct keys, repeatable, spread over all tasks and of about the same size for any table.
-    """
-    if buckets < 2:
-        return []
-    rows = df.count()
-    wanted = buckets * SAMPLES_PER_BUCKET
-    picked = df.select(*keys)
-    if rows > wanted:
-        share = max(1, rows // wanted)
-        picked = picked.filter(F.pmod(F.xxhash64(*keys), F.lit(share)) == 0)
-    sample = picked.distinct().orderBy(*keys).collect()
-    step = len(sample) / buckets
-    picks = sorted({int(step * i) for i in range(1, buckets)}) if sample else []
-    return [tuple(sample[i]) for i in picks]
-
-
-def bucket_index(key: Column, bounds: Column, n_bounds: int) -> Column:
-    """How many of the sorted ``bounds`` lie below ``key``; two short searches when there are many."""
-    if n_bounds <= 2 * STRIDE:
-        return F.size(F.filter(bounds, lambda b: b < key))
-    marks = F.transform(
-        F.sequence(F.lit(STRIDE), F.lit(n_bounds), F.lit(STRIDE)), lambda i: F.get(bounds, i - 1)
-    )
-    skipped = F.size(F.filter(marks, lambda b: b < key)) * STRIDE
-    rest = F.slice(bounds, skipped + 1, F.lit(STRIDE))
-    return skipped + F.size(F.filter(rest, lambda b: b < key))
-
 
 def running_totals(
     df: DataFrame,
@@ -77,54 +27,42 @@ def running_totals(
 
     With ``totals``, also ``{name}_total``: its total over the group. ``df`` should hold one row per
     (group, order): aggregate first, so that a frequent value is one row here. Groups are not
-    partitions of their own, so a group of any size is spread over buckets. ``df`` is read several
-    times: stage it when it is expensive.
+    partitions of their own, so a group of any size is spread over ranges. The number of ranges
+    follows the size of the rows, unless ``buckets`` sets it. The dealt rows are staged once with the
+    number of their range: its bounds come from a sample, and a second evaluation could cut elsewhere.
     """
     group, order, sums = list(group), list(order), list(sums)
-    keys = group + order
-    points = split_points(df, keys, buckets or default_buckets(df))
-    if points:
-        schema = df.select(*keys).schema
-        bounds = F.array(*[_literal_key(schema, p) for p in points])
-        df = df.withColumn("_bucket", bucket_index(_key(keys), bounds, len(points)))
-    else:
-        df = df.withColumn("_bucket", F.lit(0))
+    names = df.columns
+    dealt = df.repartitionByRange(*([buckets] if buckets else []), *group, *order)
+    df = staged(dealt.withColumn("_bucket", F.spark_partition_id()), "ranges")
 
     part = Window.partitionBy("_bucket", *group)
     upto = part.orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     added = {f"{s}_upto": F.sum(s).over(upto) for s in sums}
     if totals:
         added.update({f"{s}_total": F.sum(s).over(part) for s in sums})
-    summed = df.withColumns(added)
-    if not points:
-        return summed.drop("_bucket")
-
-    # Only a group that a split point falls into can reach over several buckets.
-    spanning = df
-    if group:
-        names = df.select(*group).schema
-        heads = df.sparkSession.createDataFrame(sorted({p[: len(group)] for p in points}, key=repr), names)
-        heads = F.broadcast(heads.select(*[F.col(g).alias(f"_h_{g}") for g in group]))
-        spanning = df.join(heads, _null_safe(group, "_h_"), "left_semi")
+    # One row per range and group; only a group that reaches over several ranges carries anything.
     whole = Window.partitionBy(*group)
     before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     carry = (
-        spanning.groupBy("_bucket", *group)
+        df.groupBy("_bucket", *group)
         .agg(*[F.sum(s).alias(s) for s in sums])
         .select(
             F.col("_bucket").alias("_b"),
             *[F.col(g).alias(f"_g_{g}") for g in group],
             *[F.sum(s).over(before).alias(f"_before_{s}") for s in sums],
             *[F.sum(s).over(whole).alias(f"_whole_{s}") for s in sums],
+            F.count(F.lit(1)).over(whole).alias("_ranges"),
         )
+        .filter("_ranges > 1")
     )
     match = (F.col("_bucket") == F.col("_b")) & _null_safe(group, "_g_")
-    # At most len(points) + 1 buckets, each with at most one group carried in and one carried out.
-    joined = summed.join(F.broadcast(carry), match, "left")
+    # Of each range at most its first and its last group, so two rows per range.
+    joined = df.withColumns(added).join(F.broadcast(carry), match, "left")
     final = {f"{s}_upto": F.col(f"{s}_upto") + F.coalesce(f"_before_{s}", F.lit(0)) for s in sums}
     if totals:
         final.update({f"{s}_total": F.coalesce(f"_whole_{s}", f"{s}_total") for s in sums})
-    return joined.withColumns(final).select(*df.drop("_bucket").columns, *added)
+    return joined.withColumns(final).select(*names, *added)
 
 
 def _null_safe(group: Sequence[str], prefix: str) -> Column:
@@ -138,30 +76,33 @@ def number_rows(
     df: DataFrame, keys: Sequence[str], name: str = "booking_id", start: int = 0,
     buckets: int | None = None,
 ) -> DataFrame:
-    """Contiguous numbers from ``start`` in the order of ``keys``, which should be unique.
+    """Contiguous numbers from ``start`` in the order of ``keys``.
 
-    Rows with equal keys get numbers of their own, in an order that is not defined.
+    Rows with equal keys get numbers of their own, in the order of the input; many of them spread
+    over several ranges.
     """
     numbered = running_totals(
-        df.withColumn("_one", F.lit(1).cast("long")), keys, ["_one"], buckets=buckets
+        df.withColumns({"_one": F.lit(1).cast("long"), "_tie": F.monotonically_increasing_id()}),
+        [*keys, "_tie"], ["_one"], buckets=buckets,
     )
-    return numbered.withColumn(name, F.col("_one_upto") + (start - 1)).drop("_one", "_one_upto")
+    return numbered.withColumn(name, F.col("_one_upto") + (start - 1)).drop("_one", "_one_upto", "_tie")
 
 
-def grouped_quantiles(
-    df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
-    buckets: int | None = None,
-) -> DataFrame:
-    """``group`` columns, ``n`` and one column ``q0, q1, ...`` per probability; exact, interpolated."""
-    group = list(group)
-    counts = staged(
+def ranked_values(df: DataFrame, group: Sequence[str], value: str, buckets: int | None = None) -> DataFrame:
+    """Each distinct value ``_v`` of a group with its count ``_n``, the count up to it ``_n_upto`` and the group's ``n``."""
+    counts = (
         df.select(*group, F.col(value).cast("double").alias("_v"))
         .filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .groupBy(*group, "_v")
-        .agg(F.count(F.lit(1)).alias("_n")),
-        "counts",
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
     ranked = running_totals(counts, ["_v"], ["_n"], group, buckets, totals=True).withColumnRenamed("_n_total", "n")
+    return staged(ranked, "ranked")
+
+
+def quantiles_of(ranked: DataFrame, group: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``group`` columns, ``n`` and one column ``q0, q1, ...`` per probability; exact, interpolated."""
+    group = list(group)
     upto, start = F.col("_n_upto"), F.col("_n_upto") - F.col("_n")
     aggs = []
     for i, p in enumerate(probs):
@@ -175,3 +116,11 @@ def grouped_quantiles(
         a, b = F.col(f"_a{i}"), F.col(f"_b{i}")
         outs.append((a + (b - a) * (place - F.floor(place))).alias(f"q{i}"))
     return folded.select(*group, "n", *outs)
+
+
+def grouped_quantiles(
+    df: DataFrame, group: Sequence[str], value: str, probs: Sequence[float],
+    buckets: int | None = None,
+) -> DataFrame:
+    """Quantiles of ``value`` per group: equal values are counted first, so frequent ones are one row."""
+    return quantiles_of(ranked_values(df, group, value, buckets), group, probs)

@@ -10,11 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeworks.functions.columns import present
-from lodgeworks.operators.ordering import grouped_quantiles
+from lodgeworks.operators.ordering import quantiles_of, ranked_values
 from lodgeworks.operators.quantiles import exact_quantiles
-
-SALT = 32
-SMALL_SAMPLE = 1_000
+from lodgeworks.session import staged
 
 
 def count_by(df: DataFrame, *columns: str) -> DataFrame:
@@ -108,23 +106,16 @@ def box_stats(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def box_stats_by(df: DataFrame, group: str, value: str = "lead_time") -> DataFrame:
     """Box statistics of ``value`` per category, exact, for any number of categories."""
-    quartiles = grouped_quantiles(df, [group], value, [0.25, 0.5, 0.75]).select(
-        F.col(group).alias("_g"), "n",
-        F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"),
-    )
+    ranked = ranked_values(df, [group], value)
+    # Both sides are files, so adaptive execution broadcasts the quartiles or splits a large category.
+    quartiles = staged(quantiles_of(ranked, [group], [0.25, 0.5, 0.75]).select(
+        F.col(group).alias("_g"), F.col("q0").alias("q1"), F.col("q1").alias("median"), F.col("q2").alias("q3"),
+    ), "quartiles")
     iqr = F.col("q3") - F.col("q1")
     v = F.col("_v")
     inside = v.between(F.col("q1") - 1.5 * iqr, F.col("q3") + 1.5 * iqr)
-    # Counting equal values first leaves distinct (category, value) rows; the salt spreads those of
-    # a large category over several join keys.
-    salt = F.pmod(F.xxhash64("_v"), F.lit(SALT))
-    counts = (
-        df.select(group, present(df, value).cast("double").alias("_v")).filter(v.isNotNull())
-        .groupBy(group, "_v").agg(F.count(F.lit(1)).alias("_n")).withColumn("_salt", salt)
-    )
-    salted = quartiles.withColumn("_s", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALT - 1).cast("long"))))
     return (
-        counts.join(salted, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_salt") == F.col("_s")))
+        ranked.join(quartiles, F.col(group).eqNullSafe(F.col("_g")))
         .groupBy(group, "n", "q1", "median", "q3")
         .agg(
             F.min(F.when(inside, v)).alias("whisker_low"),
@@ -135,14 +126,14 @@ def box_stats_by(df: DataFrame, group: str, value: str = "lead_time") -> DataFra
 
 
 def sample_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows chosen by chance. A large sample is thinned first, so that the tasks together
-    hand on little more than ``n`` rows."""
-    drawn = df.withColumn("_r", F.rand(seed))
-    if n > SMALL_SAMPLE:
-        total = df.count()
-        if total > 2 * n:
-            drawn = drawn.filter(F.col("_r") < 1.3 * n / total)
-    return drawn.orderBy("_r").limit(n).drop("_r")
+    """``n`` rows chosen by chance, by one way for every ``n``.
+
+    A chance number per row is thinned to little more than ``n`` rows by the row count, whose bound
+    leaves fewer than ``n`` with a probability below one in a million; the smallest numbers stay.
+    """
+    total = df.count()
+    share = min(1.0, (n + 5 * (n + 1) ** 0.5 + 10) / max(total, 1))
+    return df.withColumn("_r", F.rand(seed)).filter(F.col("_r") < share).orderBy("_r").limit(n).drop("_r")
 
 
 def head(df: DataFrame, n: int, *keys: str) -> DataFrame:

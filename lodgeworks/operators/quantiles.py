@@ -1,175 +1,36 @@
-"""Exact quantiles of whole columns by selection: repeated scans, no shuffle of the values.
+"""Exact quantiles of whole columns and the outliers beyond them.
 
-Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here each pass is
-one scan with a small aggregate: it counts the rows below and inside a bracket of values, and draws
-a sample of fixed size from inside. The counts prove that the bracket holds the wanted rank, the
-sample says where to cut it next, and after a few passes the sample is the whole bracket. A cut that
-misses the rank, which the counts show, is drawn again; the result never depends on chance.
-
-Every pass reads ``df`` anew: a frame that is expensive to compute should be staged first.
+Spark's exact ``percentile`` keeps every distinct value of a group in one buffer. Here equal values
+are counted with a combine before the shuffle, the counted values are dealt by range and ranked by
+running totals, and each quantile is read off at its rank. One way for tables of every size; no task
+holds more than its range.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
-from dataclasses import dataclass
-from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeworks.functions.columns import present
-
-SAMPLE = 50_000  # expected values per target that a pass gathers
-PASS_VALUES = 2_000_000  # values that one pass may gather for all targets together
-SMALLEST_SAMPLE = 500  # fewer could not narrow a bracket by much
-SPREAD = 6.0  # half width of a cut in standard errors of the sample rank
-
-
-@dataclass
-class _Target:
-    """One (column, probability): the ranks around it and the bracket that may hold them."""
-
-    name: str
-    prob: float
-    n: int
-    low: Any
-    high: Any
-    expected: float  # rows the bracket should hold, for the sampling rate
-    known: tuple[Any, Any, int, int] | None = None  # last proven bracket: low, high, below, inside
-    answer: float | None = None
-
-    @property
-    def ranks(self) -> tuple[int, int]:
-        place = (self.n - 1) * self.prob
-        return math.floor(place), math.ceil(place)
-
-    def interpolate(self, a: Any, b: Any) -> None:
-        a, b = float(a), float(b)
-        self.answer = a if a == b else a + (b - a) * ((self.n - 1) * self.prob - self.ranks[0])
-
-    def take(self, below: int, inside: int, drawn: int, cut: tuple[Any, Any], ends: tuple[Any, Any]) -> bool:
-        """Use one pass's result; False when the bracket can no longer be cut by sampling."""
-        first, last = self.ranks
-        if not (below <= first and last < below + inside):
-            self.low, self.high, _, self.expected = self.known  # a missed cut: draw again
-        elif self.low == self.high:
-            self.interpolate(self.low, self.high)
-        elif drawn == inside:
-            self.interpolate(*ends)
-        else:
-            self.known = (self.low, self.high, below, inside)
-            low = self.low if cut[0] is None else cut[0]
-            high = self.high if cut[1] is None else cut[1]
-            slack = SPREAD * math.sqrt(0.25 / max(drawn, 1))
-            self.expected = inside * min(1.0, 2 * slack + 2 / max(drawn, 1))
-            if drawn and (low, high) == (self.low, self.high):
-                return False
-            self.low, self.high = low, high
-        return True
-
-
-def _inside(df: DataFrame, t: _Target) -> Column:
-    return present(df, t.name).between(F.lit(t.low), F.lit(t.high))
-
-
-def _pass(df: DataFrame, targets: Sequence[_Target], sample: int, seed: int) -> list[tuple]:
-    """One scan: per target the counts, the sample size, the next cut and the values at the ranks.
-
-    The samples are sorted and read where they are gathered; only a few numbers come back.
-    """
-    rated = df.withColumn("_u", F.rand(seed))
-    aggs, outs, shared = [], [], {}
-    for i, t in enumerate(targets):
-        rate = min(1.0, sample / max(t.expected, 1.0))
-        bracket = (t.name, t.low, t.high, rate)  # probabilities of one column start with the same one
-        if bracket not in shared:
-            shared[bracket] = i
-            hit = _inside(df, t) if rate >= 1.0 else _inside(df, t) & (F.col("_u") < rate)
-            aggs += [
-                F.count_if(present(df, t.name) < F.lit(t.low)).alias(f"b{i}"),
-                F.count_if(_inside(df, t)).alias(f"i{i}"),
-                # About ``sample`` values, whatever the bracket holds; all of them when they are few.
-                F.sort_array(F.collect_list(F.when(hit, present(df, t.name)))).alias(f"s{i}"),
-            ]
-        below, inside, values = (F.col(f"{c}{shared[bracket]}") for c in "bis")
-        m, (first, last) = F.size(values), t.ranks
-        slack = SPREAD * F.sqrt(F.try_divide(F.lit(0.25), m))
-        left = F.floor((F.try_divide(first - below, inside) - slack) * m).cast("int")
-        right = F.ceil((F.try_divide(last + 1 - below, inside) + slack) * m).cast("int")
-        at = lambda place, values=values: F.get(values, place.cast("int"))  # noqa: E731 - null outside
-        outs.append(
-            F.struct(below, inside, m.alias("m"), at(left).alias("low"), at(right).alias("high"),
-                     at(first - below).alias("a"), at(last - below).alias("z")).alias(f"t{i}")
-        )
-    row = rated.agg(*aggs).select(*outs).first()
-    return [(r[0], r[1], r["m"], (r["low"], r["high"]), (r["a"], r["z"])) for r in row]
+from lodgeworks.functions.columns import long_form, present
+from lodgeworks.operators.ordering import grouped_quantiles
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probs: Sequence[float], sample: int = SAMPLE, seed: int = 42,
-    direct_values: int = PASS_VALUES,
+    df: DataFrame, columns: Sequence[str], probs: Sequence[float], buckets: int | None = None
 ) -> dict[str, dict[float, float | None]]:
-    """Linearly interpolated quantiles, null and NaN left out; ``None`` for an empty column.
-
-    A frame whose columns hold at most ``direct_values`` values together, by count, is left to the
-    built-in aggregate.
-    """
+    """Linearly interpolated quantiles, null and NaN left out; ``None`` for an empty column."""
     columns = list(dict.fromkeys(columns))
-    if not columns:
-        return {}
-    sample = max(min(sample, PASS_VALUES // (len(columns) * len(probs))), SMALLEST_SAMPLE)
-    first = df.agg(
-        *[F.count(present(df, c)).alias(f"n_{c}") for c in columns],
-        *[F.min(present(df, c)).alias(f"lo_{c}") for c in columns],
-        *[F.max(present(df, c)).alias(f"hi_{c}") for c in columns],
-    ).first()
-    if sum(first[f"n_{c}"] for c in columns) <= direct_values:
-        wanted = F.array(*[F.lit(float(p)) for p in probs])
-        row = df.agg(*[F.percentile(present(df, c), wanted).alias(c) for c in columns]).first()
-        return {c: dict(zip(probs, row[c] or [None] * len(probs))) for c in columns}
-    targets = [
-        _Target(c, p, first[f"n_{c}"], first[f"lo_{c}"], first[f"hi_{c}"], first[f"n_{c}"])
-        for c in columns
-        for p in probs
-        if first[f"n_{c}"]
-    ]
-    waiting, turn = targets, 0
-    while waiting:
-        turn += 1
-        for t, seen in zip(waiting, _pass(df, waiting, sample, seed + turn)):
-            if not t.take(*seen):
-                _peel(df, t)
-        waiting = [t for t in waiting if t.answer is None]
     found: dict[str, dict[float, float | None]] = {c: {p: None for p in probs} for c in columns}
-    for t in targets:
-        found[t.name][t.prob] = t.answer
+    if columns:
+        values = long_form(df, columns, "double")
+        # One row per column.
+        for row in grouped_quantiles(values, ["name"], "value", probs, buckets).collect():
+            found[row["name"]] = {p: row[f"q{i}"] for i, p in enumerate(probs)}
     return found
 
 
-def _peel(df: DataFrame, t: _Target) -> None:
-    """Take the two end values off a bracket that they fill, or answer when a rank is on one."""
-    col, low, high = present(df, t.name), F.lit(t.low), F.lit(t.high)
-    row = df.agg(
-        F.count_if(col == low).alias("at_low"),
-        F.count_if(col == high).alias("at_high"),
-        F.min(F.when((col > low) & (col <= high), col)).alias("second"),
-        F.max(F.when((col >= low) & (col < high), col)).alias("last_but_one"),
-    ).first()
-    first, last = t.ranks
-    _, _, below, inside = t.known
-    low_end = below + row["at_low"]
-    high_start = below + inside - row["at_high"]
-    if first < low_end:
-        t.interpolate(t.low, t.low if last < low_end else row["second"])
-    elif last >= high_start:
-        t.interpolate(t.high if first >= high_start else row["last_but_one"], t.high)
-    else:
-        t.low, t.high = row["second"], row["last_but_one"]
-        t.expected = inside - row["at_low"] - row["at_high"]
-
-
 def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:
     """``(column, q1, q3, n_outliers)`` per number column; strictly outside the fences."""
     spark = df.sparkSession

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeworks.operators.asof import HOT_ROWS, FeatureSet, as_of_join, latest_by_key
+from lodgeworks.operators.asof import FeatureSet, as_of_join, latest_by_key
+from lodgeworks.session import staged
 
 Transform = Callable[[DataFrame], DataFrame]
 
@@ -47,7 +48,6 @@ class FeatureView:
     fields: tuple[str, ...]
     ttl: timedelta
     source: TableSource | PushSource | None = None
-    tags: dict[str, str] = field(default_factory=dict, hash=False)
 
     @property
     def table(self) -> TableSource | None:
@@ -111,11 +111,9 @@ def hotel_views(source: TableSource | None = None) -> dict[str, FeatureView]:
     return {
         "hotel_booking_stats": FeatureView(
             "hotel_booking_stats", BOOKING, STATS_FIELDS, timedelta(days=7), source,
-            {"team": "booking_ml", "model_use": "cancellation_prediction"},
         ),
         "hotel_booking_stats_fresh": FeatureView(
             "hotel_booking_stats_fresh", BOOKING, STATS_FIELDS, timedelta(hours=1), push,
-            {"team": "booking_ml", "data_freshness": "realtime"},
         ),
         "hotel_features": FeatureView(
             "hotel_features", BOOKING, (*STATS_FIELDS, "booking_status", "booking_date"),
@@ -148,7 +146,6 @@ def historical_features(
     spine: DataFrame,
     rows: dict[str, DataFrame] | None = None,
     ts: str = "event_timestamp",
-    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Point-in-time features of a service for a spine of (keys, ``ts``).
 
@@ -166,7 +163,7 @@ def historical_features(
             table = view.table.read(spine.sparkSession)
         sets.append(view.feature_set(table, fields))
     keys = service.views[0][0].entity.keys
-    joined = as_of_join(spine, sets, keys, ts, hot_rows)
+    joined = as_of_join(spine, sets, keys, ts)
     if set(service.request_fields) <= set(joined.columns):
         for transform in service.on_demand:
             joined = joined.transform(transform)
@@ -174,23 +171,35 @@ def historical_features(
 
 
 def online_features(
-    service: FeatureService, requests: DataFrame, latest: DataFrame, as_of: str | None = None,
+    service: FeatureService, requests: DataFrame, latest: DataFrame | dict[str, DataFrame], as_of: str | None = None,
+    on_demand: bool = True,
 ) -> DataFrame:
-    """Requests joined with the latest feature row of their key, then request-time transforms.
+    """Requests joined with the latest feature row of their key in every view, then request-time transforms.
 
-    With ``as_of`` a row older than the view's TTL reads as null.
+    ``latest`` gives the latest rows per view name, or those of the only view. With ``as_of`` a row older
+    than its view's TTL reads as null. Requests without the request columns that the service names
+    raise ValueError unless ``on_demand`` is off. A field that several views have comes from the first.
     """
-    view, fields = service.views[0]
-    ts = view.table.timestamp if view.table else "event_timestamp"
-    stored = latest.select(*view.entity.keys, F.col(ts).alias("_at"), *fields)
-    joined = requests.join(stored, list(view.entity.keys), "left")
-    if as_of is not None:
-        fresh = F.col("_at") >= F.lit(as_of).cast("timestamp_ntz") - F.expr(
-            f"INTERVAL '{int(view.ttl.total_seconds())}' SECOND"
-        )
-        joined = joined.withColumns({f: F.when(fresh, F.col(f)) for f in fields})
-    joined = joined.drop("_at")
-    for transform in service.on_demand:
+    given = latest if isinstance(latest, dict) else {service.views[0][0].name: latest}
+    if missing := [v.name for v, _ in service.views if v.name not in given]:
+        raise ValueError(f"no latest rows for the views {missing}")
+    if on_demand and (absent := sorted(set(service.request_fields) - set(requests.columns))):
+        raise ValueError(f"the requests lack {absent}")
+    joined = requests
+    for view, fields in service.views:
+        ts = view.table.timestamp if view.table else "event_timestamp"
+        chosen = [f for f in fields if f not in joined.columns]
+        stored = given[view.name].select(
+            *view.entity.keys, F.col(ts).alias("_at"), *[F.col(f).alias(f"_v_{f}") for f in chosen])
+        joined = joined.join(stored, list(view.entity.keys), "left")
+        kept = F.lit(True)
+        if as_of is not None:
+            kept = F.col("_at") >= F.lit(as_of).cast("timestamp_ntz") - F.expr(
+                f"INTERVAL '{int(view.ttl.total_seconds())}' SECOND"
+            )
+        joined = joined.withColumns({f: F.when(kept, F.col(f"_v_{f}")) for f in chosen}).drop(
+            "_at", *[f"_v_{f}" for f in chosen])
+    for transform in service.on_demand if on_demand else ():
         joined = joined.transform(transform)
     return joined
 
@@ -246,12 +255,13 @@ def training_set(
     service = service or hotel_services()["training"]
     view = service.views[0][0]
     spine = features.select(*view.entity.keys, "event_timestamp")
-    joined = historical_features(service, spine, {view.name: features})
-    if fallback is not None:
-        if joined.isEmpty():
-            joined = fallback
-    elif joined.isEmpty():
-        raise ValueError("no feature rows matched the spine")
+    joined = staged(historical_features(service, spine, {view.name: features}), "training")
+    # The spine's own times and keys are never null; only the features can tell whether anything matched.
+    found = [c for c in joined.columns if c not in (*view.entity.keys, "event_timestamp")]
+    if joined.filter(F.coalesce(*[F.col(c).cast("string") for c in found]).isNotNull()).isEmpty():
+        if fallback is None:
+            raise ValueError("no feature rows matched the spine")
+        joined = fallback
     if target not in joined.columns:
         raise ValueError(f"the service gives no {target}")
     return joined.drop("event_timestamp", "booking_date")

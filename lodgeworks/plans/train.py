@@ -15,7 +15,7 @@ from lodgeworks.operators.metrics import accuracy, class_report
 from lodgeworks.operators.models import Fitted, best_of, presets, results_table, train_all
 from lodgeworks.operators.persistence import chain, load_model, save_model
 from lodgeworks.operators.split import Scaler, add_split, fit_scaler
-from lodgeworks.session import checkpointed
+from lodgeworks.session import checkpointed, staged
 from lodgeworks.sources.files import read_parquet
 
 
@@ -28,9 +28,10 @@ class Prepared:
 
 def prepare(df: DataFrame, label: str, columns: Sequence[str] = MODEL_FEATURES, key: str = "booking_id") -> Prepared:
     """Split by key, fit the scaler on the training part, build the vectors."""
-    rows = add_split(
+    # The scaler and the vectors both read these rows.
+    rows = staged(add_split(
         df.select(key, *columns, F.col(label).cast("double").alias("label")), key
-    )
+    ), "prepared")
     scaler = fit_scaler(rows.filter("split = 'train'"), columns)
     # Many fits read these rows; the checkpoint keeps their lineage short and survives executors.
     data = checkpointed(PipelineModel(scaler.stages()).transform(rows))
@@ -38,12 +39,15 @@ def prepare(df: DataFrame, label: str, columns: Sequence[str] = MODEL_FEATURES,
 
 
 def train(
-    prepared: Prepared, names: Sequence[str] | None = None, select_on: str = "valid", small: bool = False,
-    threads: int = 4,
+    prepared: Prepared, names: Sequence[str] | None = None, select_on: str = "valid", threads: int = 4,
+    params: dict[str, dict[str, Any]] | None = None,
 ) -> tuple[Fitted, list[Fitted]]:
-    """Fit the named classifiers (all by default) and choose on ``select_on``."""
-    options = presets(prepared.scaler.outputs, prepared.key, small=small)
-    chosen = {n: options[n].make() for n in (names or options)}
+    """Fit the named classifiers (all by default) and choose on ``select_on``.
+
+    ``params`` gives parameters per classifier that replace those of its preset.
+    """
+    options = presets(prepared.scaler.outputs, prepared.key)
+    chosen = {n: options[n].make(**(params or {}).get(n, {})) for n in (names or options)}
     results = train_all(prepared.parts["train"], prepared.parts[select_on], chosen, threads)
     return best_of(results), results
 

@@ -60,15 +60,44 @@ def _start(writer, available_now: bool, every: str | None) -> StreamingQuery:
     return writer.start()
 
 
+def _empty_start(rows: DataFrame, path: str) -> None:
+    """A folder without rows, so that the result of a stream that has not written yet reads as empty."""
+    spark = rows.sparkSession
+    spark.createDataFrame([], rows.schema).write.mode("ignore").parquet(f"{path}/batch=-1")
+
+
+def compact(spark: SparkSession, path: str, keys: Sequence[str], newest: str) -> None:
+    """Replace the batches below ``path`` by one with the newest row per key; run it between two runs of the stream.
+
+    The rows are written under a negative number first and the batches they stand for are deleted
+    after that; an interruption leaves rows twice, which the readers resolve, but never loses one.
+    ``newest`` is the column that decides: the time of a push, or ``batch`` for metrics.
+    """
+    everything = spark.read.parquet(path)
+    numbers = [r.batch for r in everything.select("batch").distinct().collect()]
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    folders = [f.getPath() for f in files.listStatus(root) if f.isDirectory() and f.getPath().getName().startswith("batch=")]
+    # Below all numbers in use, so that later updates of a slot still rank higher.
+    number = min([-1, *numbers, *[int(f.getName().removeprefix("batch=")) for f in folders]]) - 1
+    latest_by_key(everything, keys, newest).drop("batch").write.mode("overwrite").parquet(f"{path}/batch={number}")
+    for folder in folders:
+        files.delete(folder, True)
+
+
 def push_features(
     stream: DataFrame, keys: Sequence[str], ts: str, path: str, checkpoint: str,
-    window: str = "1 hour", available_now: bool = True, every: str | None = None,
+    window: str = "1 hour", late: str = "1 hour", available_now: bool = True, every: str | None = None,
 ) -> StreamingQuery:
-    """Keep the newest row per key and hour of a pushed stream; :func:`latest_pushed` reads it."""
+    """Keep the newest row per key and ``window`` of a pushed stream; :func:`latest_pushed` reads it.
+
+    A push more than ``late`` behind the newest push of any key is dropped; the number dropped is in the
+    progress of the returned query (``numRowsDroppedByWatermark`` of its state operator).
+    """
     rest = [c for c in stream.columns if c not in (*keys, ts)]
     newest = (
         stream.withColumn("_instant", _instant(stream, ts))
-        .withWatermark("_instant", window)
+        .withWatermark("_instant", late)
         .groupBy(F.window("_instant", window).alias("_w"), *keys)
         .agg(F.max(ts).alias(ts), F.max_by(F.struct(*rest), ts).alias("_row"))
         .select(*keys, ts, *[f"_row.{c}" for c in rest])
@@ -77,6 +106,7 @@ def push_features(
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
+    _empty_start(newest, path)
     return _start(
         newest.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write),
         available_now, every,
@@ -141,6 +171,7 @@ def request_metrics_stream(
     def write(batch: DataFrame, number: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
+    _empty_start(metrics, path)
     return _start(
         metrics.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write),
         available_now, every,
@@ -159,8 +190,13 @@ def performance_stream(
     """Per batch of labelled predictions: drift and accuracy against the reference, and a decision."""
 
     def check(batch: DataFrame, number: int) -> None:
-        rows = monitor_rows(reference, batch, run_ts(number), **monitor)
-        rows.write.mode("overwrite").parquet(f"{path}/log/batch={number}")
+        # Several measures read the batch; without this the source is read for each of them.
+        batch.persist()
+        try:
+            rows = monitor_rows(reference, batch, run_ts(number), **monitor)
+            rows.write.mode("overwrite").parquet(f"{path}/log/batch={number}")
+        finally:
+            batch.unpersist()
         logged = batch.sparkSession.read.parquet(f"{path}/log/batch={number}")
         retrain_decision(logged).write.mode("overwrite").parquet(f"{path}/decision/batch={number}")
 

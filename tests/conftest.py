@@ -28,14 +28,15 @@ def small():
 
 @pytest.fixture
 def two_columns(spark):
-    """Five rows with one null number and one repeated row."""
-    rows = [(1.0, "A"), (2.0, "B"), (3.0, "C"), (None, "D"), (2.0, "B")]
+    """Seven rows: one number is null and one row stands there three times."""
+    rows = [(8.0, "oak"), (None, "elm"), (8.0, "oak"), (5.0, "ash"), (8.0, "oak"), (1.0, "fir"), (6.0, "yew")]
     return spark.createDataFrame(rows, "feature1 double, feature2 string")
 
 
 @pytest.fixture
 def processed(spark):
-    rows = [(i, i, 10 * i, i / 10) for i in range(1, 6)]
+    """Four rows of numbers; ``feature1`` orders them."""
+    rows = [(3, 12, -7, 2.5), (4, 11, 0, 0.25), (9, 2, 31, -1.0), (20, 2, 8, 4.0)]
     return spark.createDataFrame(rows, "feature1 long, feature2 long, feature3 long, feature4 double")
 
 

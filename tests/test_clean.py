@@ -11,10 +11,10 @@ from lodgeworks.operators.features import require_rows
 
 
 def test_duplicates(two_columns):
-    assert clean.drop_duplicate_rows(two_columns).count() == 4
+    assert clean.drop_duplicate_rows(two_columns).count() == 5
     once = clean.drop_duplicate_rows(two_columns)
-    assert clean.drop_duplicate_rows(once).count() == 4
-    assert clean.drop_duplicate_rows(two_columns.unionByName(two_columns)).count() == 4
+    assert clean.drop_duplicate_rows(once).count() == 5
+    assert clean.drop_duplicate_rows(two_columns.unionByName(two_columns)).count() == 5
 
 
 def test_duplicates_ignoring_a_column(spark):
@@ -25,14 +25,14 @@ def test_duplicates_ignoring_a_column(spark):
 
 def test_duplicate_summary(spark, two_columns):
     row = clean.duplicate_summary(two_columns).first()
-    assert (row.n_rows, row.n_distinct, row.n_duplicates, row.has_duplicates) == (5, 4, 1, True)
+    assert (row.n_rows, row.n_distinct, row.n_duplicates, row.has_duplicates) == (7, 5, 2, True)
     assert clean.duplicate_summary(two_columns.limit(0)).first().n_duplicates == 0
 
 
 def test_fill_nulls_uses_mean(two_columns):
     filled = clean.fill_nulls(two_columns)
     values = sorted(r.feature1 for r in filled.collect())
-    assert values == [1.0, 2.0, 2.0, 2.0, 3.0]
+    assert values == [1.0, 5.0, 6.0, 6.0, 8.0, 8.0, 8.0]
 
 
 def test_fill_nulls_without_nulls(two_columns):

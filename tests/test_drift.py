@@ -135,3 +135,17 @@ def test_principal_components(spark):
     means = model.transform(df).select(*[F.avg(vector_to_array("pca")[i]) for i in range(2)]).first()
     assert list(means) == pytest.approx([0.0, 0.0], abs=1e-9)  # centred before the projection
     assert profile.select_unique(df, ["wide", "narrow", "wide"]).columns == ["wide", "narrow"]
+
+
+def test_an_empty_side_is_missing_data_and_not_drift(spark):
+    df = spark.createDataFrame([(1.0, 2, 1.0, 1.0), (2.0, 3, 1.0, 1.0)], "x double, n long, prediction double, label double")
+    hollow = df.withColumn("n", F.lit(None).cast("long"))
+    rows = {r.feature: r for r in drift.feature_drift(df, hollow, ["x", "n"]).collect()}
+    assert rows["n"].p_value is None and rows["n"].n_cur == 0 and rows["x"].p_value == 1.0
+    assert drift.feature_drift(hollow, hollow, ["n"]).first().d is None
+    for current in (hollow, df.limit(0)):
+        logged = drift.monitor_rows(df, current, "2024-02-01 00:00:00", columns=["x", "n"], details={"run": "7"})
+        by_kind = {r.type: r for r in logged.collect()}
+        assert by_kind["data_drift"].score is None and by_kind["data_drift"].details["reason"]
+        assert by_kind["data_drift"].details["run"] == "7" and by_kind["data_drift"].details["method"] == "ks_2samp"
+        assert drift.retrain_decision(logged).first().retrain is False

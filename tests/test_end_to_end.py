@@ -26,7 +26,7 @@ def test_from_raw_csv_to_scored_requests(spark, small, tmp_path):
 
     labelled = rows.withColumn("likely", (F.col("lead_time") > 200).cast("int"))
     data = train.prepare(labelled, "likely")
-    best, results = train.train(data, ["random_forest", "logistic_regression"], small=True)
+    best, results = train.train(data, ["random_forest", "logistic_regression"], params={"random_forest": {"trees": 20, "depth": 8}})
     assert len(results) == 2
     train.gate(best.model, data.parts["test"])
     model = train.scoring_model(data.scaler, best.model)

@@ -1,3 +1,5 @@
+from functools import partial
+
 import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
@@ -9,6 +11,20 @@ from lodgeworks.operators.split import TRAIN_TEST, add_fold, add_split, fit_scal
 from lodgeworks.plans import train as training
 
 
+# Sizes that suit a few hundred rows; the presets themselves run in the catalog.
+QUICK = {
+    "random_forest": {"trees": 20, "depth": 8}, "gradient_boosting": {"rounds": 10}, "xgboost": {"rounds": 10, "depth": 4},
+    "ada_boost": {"rounds": 5}, "svc": {"dims": 32, "max_iter": 20},
+}
+
+
+def quick(prepared):
+    """``QUICK`` with the same sizes for the base models of the stack."""
+    options = models.presets(prepared.scaler.outputs, prepared.key)
+    base = {n: partial(p.make, **QUICK.get(n, {})) for n, p in options.items() if n != "stacked_clf"}
+    return {**QUICK, "stacked_clf": {"base": base}}
+
+
 @pytest.fixture(scope="module")
 def rows(spark):
     df = spark.range(1_500).select(
@@ -55,7 +71,7 @@ def test_scaler_uses_the_population_deviation(spark):
     ("logistic_regression", 0.75), ("svc", 0.85), ("knn", 0.85), ("stacked_clf", 0.95),
 ])
 def test_every_classifier_learns(prepared, name, floor):
-    best, results = training.train(prepared, [name], small=True)
+    best, results = training.train(prepared, [name], params=quick(prepared))
     assert results[0].error is None and best.accuracy >= floor
 
 
@@ -141,7 +157,7 @@ def test_cells_cover_every_point():
 
 
 def test_gate(prepared):
-    best, _ = training.train(prepared, ["random_forest"], small=True)
+    best, _ = training.train(prepared, ["random_forest"], params=quick(prepared))
     report = {r["class"] for r in training.gate(best.model, prepared.parts["test"]).collect()}
     assert "accuracy" in report
     with pytest.raises(ValueError, match="below"):
@@ -155,7 +171,7 @@ def test_register_load_and_score(spark, rows, prepared, tmp_path):
     with pytest.raises(FileNotFoundError):
         training.load_registered(spark, root)
     for version, name in ((1, "logistic_regression"), (2, "random_forest")):
-        best, _ = training.train(prepared, [name], small=True)
+        best, _ = training.train(prepared, [name], params=quick(prepared))
         model = training.scoring_model(prepared.scaler, best.model)
         training.register(spark, model, name, root, version, best.accuracy, f"2024-02-0{version} 00:00:00")
     loaded = training.load_registered(spark, root)
@@ -172,7 +188,7 @@ def test_register_load_and_score(spark, rows, prepared, tmp_path):
 
 @pytest.mark.parametrize("name", ["ada_boost", "svc", "knn", "stacked_clf"])
 def test_every_kind_of_model_survives_saving(spark, rows, prepared, tmp_path, name):
-    best, _ = training.train(prepared, [name], small=True)
+    best, _ = training.train(prepared, [name], params=quick(prepared))
     model = training.scoring_model(prepared.scaler, best.model)
     training.register(spark, model, name, str(tmp_path), 1, best.accuracy, "2024-02-01 00:00:00")
     some = rows.filter("booking_id < 300")
@@ -181,7 +197,7 @@ def test_every_kind_of_model_survives_saving(spark, rows, prepared, tmp_path, na
 
 
 def test_random_search(prepared):
-    preset = models.presets(prepared.scaler.outputs, prepared.key, small=True)["logistic_regression"]
+    preset = models.presets(prepared.scaler.outputs, prepared.key)["logistic_regression"]
     run = lambda: tuning.random_search("logistic_regression", preset, prepared.parts["train"], prepared.key,
                                        prepared.parts["test"], draws=3, folds=2, threshold=0.99)
     found = run()

@@ -95,3 +95,19 @@ def test_served_rows_are_logged(spark, rows, tmp_path):
     for _ in range(2):
         store.log_served(rows, str(tmp_path / "log"))
     assert spark.read.parquet(str(tmp_path / "log")).count() == 12
+
+
+def test_online_read_names_what_is_missing(spark):
+    user = store.Entity("user", ("k",))
+    views = [store.FeatureView(n, user, (n,), dt.timedelta(days=1)) for n in ("a", "b")]
+    service = store.FeatureService("both", tuple((v, v.fields) for v in views), (lambda d: d.withColumn("c", F.col("r") + 1),), request_fields=("r",))
+    at = dt.datetime(2024, 1, 1)
+    latest = {n: spark.createDataFrame([(1, at, 10 + i)], f"k long, event_timestamp timestamp_ntz, {n} long") for i, n in enumerate("ab")}
+    requests = spark.createDataFrame([(1, 5), (2, 6)], "k long, r long")
+    rows = {r.k: (r.a, r.b, r.c) for r in store.online_features(service, requests, latest).collect()}
+    assert rows == {1: (10, 11, 6), 2: (None, None, 7)}
+    with pytest.raises(ValueError):
+        store.online_features(service, requests.drop("r"), latest)
+    assert store.online_features(service, requests.drop("r"), latest, on_demand=False).columns == ["k", "a", "b"]
+    with pytest.raises(ValueError):
+        store.online_features(service, requests, {"a": latest["a"]})

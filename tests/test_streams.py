@@ -1,7 +1,10 @@
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
+from lodgeworks.catalog import QUERIES
 from lodgeworks.operators.asof import latest_by_key
 from lodgeworks.streaming import jobs
 
@@ -82,3 +85,36 @@ def test_performance_stream(spark, tmp_path):
                             lambda i: "2024-02-01 00:00:00").awaitTermination()
     decision = spark.read.parquet(str(tmp_path / "out" / "decision")).first()
     assert decision.retrain is True and decision.accuracy == 1.0 and decision.drift_score > 0.9
+
+
+def _folder_of_files(spark, small, tmp_path):
+    """The tables of ``small`` with ``events`` as a folder of several files."""
+    spark.read.parquet(f"{small}/events.parquet").repartition(3).write.parquet(str(tmp_path / "sf" / "events.parquet"))
+    return str(tmp_path / "sf")
+
+
+@pytest.mark.parametrize("name", ["st1_push_features", "s13_push_source_with_ttl", "st5_request_metrics"])
+def test_streams_over_several_files(spark, small, tmp_path, name):
+    sf = _folder_of_files(spark, small, tmp_path)
+    columns = sorted(QUERIES[name](spark, small).columns)
+    assert QUERIES[name](spark, sf).select(columns).exceptAll(QUERIES[name](spark, small).select(columns)).isEmpty()
+    assert QUERIES[name](spark, sf).count() == QUERIES[name](spark, small).count() > 0
+
+
+def test_compaction_keeps_the_newest_rows(spark, tmp_path):
+    path, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    for i, batches in enumerate(([[(1, _at(0), 1), (2, _at(1), 3)]], [[(1, _at(70), 4), (3, _at(65), 5)]], [[(3, _at(71), 6)]])):
+        rows = _pushes(spark, path, batches)
+        jobs.push_features(jobs.file_stream(spark, path, rows.schema), ["k"], "ts", out, mark).awaitTermination()
+        if i:
+            jobs.compact(spark, out, ["k"], "ts")
+            assert len(list((tmp_path / "out").glob("batch=*"))) == 1
+    got = {(r.k, r.v) for r in jobs.latest_pushed(spark, out, ["k"], "ts").collect()}
+    assert got == {(1, 4), (2, 3), (3, 6)}
+
+
+def test_a_stream_without_rows_reads_as_empty(spark, tmp_path):
+    path, out, mark = (str(tmp_path / n) for n in ("in", "out", "mark"))
+    rows = _pushes(spark, path, [[]])
+    jobs.push_features(jobs.file_stream(spark, path, rows.schema), ["k"], "ts", out, mark).awaitTermination()
+    assert jobs.latest_pushed(spark, out, ["k"], "ts").collect() == []
