@@ -90,7 +90,7 @@ def mix_sources(
     tempering: float = 0.5,
     block_rows: int = 16,
     frame: int = 1000,
-    bucket_rows: int = 100_000,
+    bucket_rows: int = 2_000,
 ) -> DataFrame:
     """``docs`` with their place in one sequence that follows the target weights from its first block on.
 
