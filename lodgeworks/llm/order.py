@@ -24,26 +24,32 @@ def _running(sizes: Iterator[pd.Series]) -> Iterator[pd.Series]:
         yield sums
 
 
-def ordered_parts(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
-    """``df`` dealt by range of ``keys`` and sorted, with sums inside each partition only.
+def dealt_in_order(df: DataFrame, keys: list[str]) -> DataFrame:
+    """``df`` dealt by range of ``keys`` and sorted, with the partition ``__lw_part`` and the row number in it, ``__lw_row``.
 
-    Nulls come first; equal keys keep the order of the input and may lie in several partitions.
-    ``__lw_part`` is the partition, ``__lw_row`` the row number in it, ``__lw_size`` the size and
-    ``__lw_before`` the bytes before the row in its partition. Write the result before using it twice:
-    the bounds of a range shuffle come from a sample, and a second evaluation may cut elsewhere. Only
-    the size travels to Python.
+    Nulls come first; equal keys keep the order of the input and may lie in several partitions. Write
+    the result before using it twice: the bounds of a range shuffle come from a sample, and a second
+    evaluation may cut elsewhere.
     """
-    sized = df.withColumns({SIZE: size.cast("long"), TIE: F.monotonically_increasing_id()})
     order = [F.col(k).asc_nulls_first() for k in keys] + [F.col(TIE).asc()]
-    sorted_parts = sized.repartitionByRange(*order).sortWithinPartitions(*order)
+    tied = df.withColumn(TIE, F.monotonically_increasing_id())
+    sorted_parts = tied.repartitionByRange(*order).sortWithinPartitions(*order)
     return sorted_parts.select(
-        *[F.col(f"`{c}`") for c in sorted_parts.columns if c != TIE],
+        *[F.col(f"`{c}`") for c in df.columns],
         F.spark_partition_id().alias(PART),
         F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias(ROW),
-        (_running.asNondeterministic()(SIZE) - F.col(SIZE)).alias(BEFORE),
     )
 
 
+def ordered_parts(df: DataFrame, keys: list[str], size: Column) -> DataFrame:
+    """``dealt_in_order`` with ``__lw_size`` and ``__lw_before``, the bytes before the row in its partition.
+
+    Only the size travels to Python.
+    """
+    rows = dealt_in_order(df.withColumn(SIZE, size.cast("long")), keys)
+    return rows.withColumn(BEFORE, _running.asNondeterministic()(SIZE) - F.col(SIZE))
+
+
 def with_offsets(rows: DataFrame) -> DataFrame:
     """Written ``ordered_parts`` with the row number and the bytes before over all partitions, and ``__lw_total``.
 

@@ -13,13 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from lodgeworks.llm.order import BEFORE, ordered_parts, with_offsets
+from lodgeworks.llm.order import BEFORE, PART, ROW, SIZE, dealt_in_order, with_offsets
 from lodgeworks.session import fresh_path
 
 #: A document's ids are stored in parts of at most so many.
 PART_IDS = 1 << 20
-#: Words, and pieces of words, whose ids a Python worker remembers; beyond it either memory starts anew.
-MEMO_WORDS, MEMO_PIECES = 250_000, 300_000
+#: Pieces, and words beyond the plain range, whose ids a Python worker remembers; beyond it either memory starts anew.
+MEMO_PIECES, MEMO_WORDS = 500_000, 50_000
 
 # Lengths in bytes of the four values of each control byte, from its four pairs of bits.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
@@ -55,24 +55,25 @@ def width_of(tokenizer: Tokenizer) -> str:
 
 
 class WordMemo:
-    """Ids of whole texts by way of their words, equal to encoding each text at once.
+    """Ids of whole texts by way of their pieces, equal to encoding each text at once.
 
-    The tokenizer never joins what white space parts, so a text's ids are those of its words in a
-    row. A word of plain Latin letters, digits and signs is cut into pieces as the tokenizer's own
-    rule cuts it and its model encodes each piece; any other word goes through the whole tokenizer.
-    ``tests/llm`` compares both ways.
+    The tokenizer lower-cases a text, drops its white space, cuts it into pieces by a rule and encodes
+    each piece on its own. A text of plain Latin letters, digits and signs is cut here by the same
+    rule, and the tokenizer's model encodes each new piece. In any other text the words (which the
+    tokenizer never joins) are taken one by one: plain ones likewise, the rest by the whole
+    tokenizer. ``tests/llm`` compares both ways.
     """
 
-    # The piece rule and the letters and numbers of the plain range.
-    PLAIN = re.compile(r"[!-~¡-įı-ſ]+")
+    # The plain range, the piece rule and the letters and numbers of that range.
+    PLAIN = re.compile(r"[\t-\r !-~¡-įı-ſ]*")
     PIECES = re.compile(
-        r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºÀ-ÖØ-öø-ſ]+|[0-9²³¹¼-¾]|[^a-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾]+"
+        r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºÀ-ÖØ-öø-ſ]+|[0-9²³¹¼-¾]|[^\sa-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾]+"
     )
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = width_of(self.tokenizer)
-        self.words: dict[bytes, bytes] = {}
+        self.words: dict[str, bytes] = {}
         self.pieces: dict[str, bytes] = {}
         # The byte alphabet of the model: printable Latin-1 stands for itself, the rest follows from 256 on.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
@@ -83,33 +84,35 @@ class WordMemo:
         return struct.pack(f"<{len(ids)}{'H' if self.dtype == '<u2' else 'I'}", *ids)
 
     def _piece(self, piece: str) -> bytes:
-        found = self.pieces.get(piece)
-        if found is None:
-            spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
-            found = self._pack([t.id for t in self.tokenizer.model.tokenize(spelled)])
-            self.pieces[piece] = found
+        spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
+        found = self._pack([t.id for t in self.tokenizer.model.tokenize(spelled)])
+        self.pieces[piece] = found
         return found
 
-    def _word(self, word: bytes) -> bytes:
-        text = word.decode()
-        if "<|" in text or not self.PLAIN.fullmatch(text):
-            found = self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        else:
-            found = b"".join([self._piece(p) for p in self.PIECES.findall(text.lower())])
-        self.words[word] = found
+    def _plain(self, text: str) -> bytes:
+        get, make = self.pieces.get, self._piece
+        return b"".join([get(p) or make(p) for p in self.PIECES.findall(text.lower())])
+
+    def _word(self, word: str) -> bytes:
+        if "<|" not in word and self.PLAIN.fullmatch(word):
+            return self._plain(word)
+        found = self.words.get(word)
+        if found is None:
+            found = self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
+            self.words[word] = found
         return found
 
     def ids(self, text: str | None) -> bytes:
         """Ids of the whole text as little-endian numbers of the width ``dtype``."""
         if not text:
             return b""
-        if len(self.words) > MEMO_WORDS:
-            self.words.clear()
-        if len(self.pieces) > MEMO_PIECES:
-            self.pieces.clear()
-        get, make = self.words.get, self._word
+        for memory, most in ((self.pieces, MEMO_PIECES), (self.words, MEMO_WORDS)):
+            if len(memory) > most:
+                memory.clear()
+        if "<|" not in text and self.PLAIN.fullmatch(text):
+            return self._plain(text)
         # bytes.split cuts at ASCII white space, all of which the tokenizer drops.
-        return b"".join([get(w) or make(w) for w in text.encode().split()])
+        return b"".join([self._word(w.decode()) for w in text.encode().split()])
 
 
 _MEMO: dict[str, WordMemo] = {}
@@ -169,21 +172,26 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end_id: int = 2
     ranks[order] = np.arange(len(order), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(ranks)
 
-    @F.pandas_udf("array<struct<n: int, control: binary, data: binary>>")
-    def packed(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for series in parts:
-            out = []
+    @F.pandas_udf("parts array<struct<n: int, control: binary, data: binary>>, upto long")
+    def packed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        upto = 0
+        for series in batches:
+            out, sums = [], []
             for raw in series:
                 values = shared.value[np.frombuffer(raw, dtype=dtype)]
                 pieces = [values[i : i + PART_IDS] for i in range(0, len(values), PART_IDS)]
                 out.append([{"n": len(p), **dict(zip(("control", "data"), encode_ranks(p)))} for p in pieces])
-            yield pd.Series(out, dtype=object)
+                upto += len(values)
+                sums.append(upto)
+            yield pd.DataFrame({"parts": pd.Series(out, dtype=object), "upto": pd.Series(sums, dtype="int64")})
 
     # Every file holds one range of keys in order; where its ids begin follows from the files before
-    # it. The ids are packed after the shuffle, so that sampling the range bounds packs nothing.
+    # it. The ids are packed after the shuffle, so that sampling the range bounds packs nothing, and
+    # one pass of Python packs and adds up.
     n_tokens = (F.octet_length("ids") / np.dtype(dtype).itemsize).cast("long")
-    parts = ordered_parts(ids.select(key, "ids"), [key], n_tokens)
-    parts.withColumn("parts", packed("ids")).drop("ids").write.parquet(f"{path}/ids")
+    rows = dealt_in_order(ids.select(key, "ids").withColumn(SIZE, n_tokens), [key])
+    rows = rows.withColumn("_p", packed.asNondeterministic()("ids"))
+    rows.select(key, SIZE, PART, ROW, (F.col("_p.upto") - F.col(SIZE)).alias(BEFORE), "_p.parts").write.parquet(f"{path}/ids")
     table = ", ".join(map(str, order.tolist()))
     spark.sql(f"SELECT posexplode(array({table})) AS (rank, id)" if len(order) else "SELECT 0 AS rank, 0 AS id WHERE false") \
         .coalesce(1).write.parquet(f"{path}/ranks")
