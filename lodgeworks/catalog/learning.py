@@ -3,18 +3,16 @@ is independent of them and no model could pass the gate on it."""
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.feature import OneHotEncoder, UnivariateFeatureSelector, VectorAssembler
 from pyspark.sql import functions as F
 
-from lodgeworks.catalog.cleaning import cleaned
 from lodgeworks.catalog.features import _TABLE_SQL, feature_rows
-from lodgeworks.catalog.registry import over_cleaned, query
+from lodgeworks.catalog.registry import over_bookings, over_cleaned, query
 from lodgeworks.fields import CATEGORICAL
 from lodgeworks.operators import features, models, tuning
 from lodgeworks.operators.models import presets
 from lodgeworks.plans import train as training
 from lodgeworks.session import fresh_path, staged
+from lodgeworks.sources.bookings import bookings
 
 RUN_TS = "2024-02-01 00:00:00"
 
@@ -138,21 +136,32 @@ def scaler_and_model(spark, sf):
     )
 
 
-@query("m17_one_hot_and_chi_square")
+_MEALS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+
+
+@query(
+    "m17_one_hot",
+    over_bookings("SELECT k, " + ", ".join(
+        f"COALESCE((type_of_meal_plan = '{v}')::INT, 0) AS \"type_of_meal_plan={v}\"" for v in _MEALS) + " FROM bookings"),
+)
 def one_hot(spark, sf):
-    df, _ = features.encode_categories(cleaned(spark, sf), CATEGORICAL)
-    df = df.withColumn("label", (F.col("booking_status") == "Canceled").cast("double"))
-    vectors = [f"{c}_vec" for c in CATEGORICAL]
-    model: PipelineModel = Pipeline(
-        stages=[
-            OneHotEncoder(inputCols=list(CATEGORICAL), outputCols=vectors, handleInvalid="keep", dropLast=False),
-            VectorAssembler(inputCols=[*CATEGORICAL, "no_of_week_nights", "repeated_guest"], outputCol="counts"),
-            UnivariateFeatureSelector(featuresCol="counts", outputCol="selected", labelCol="label",
-                                      selectionMode="numTopFeatures")
-            .setFeatureType("categorical").setLabelType("categorical").setSelectionThreshold(3),
-        ]
-    ).fit(df)
-    return model.transform(df).select(
-        "Booking_ID", *[F.col(v).cast("string").alias(v) for v in vectors],
-        F.col("selected").cast("string").alias("selected"),
-    )
+    df = bookings(spark, sf, ["type_of_meal_plan"], key=True)
+    return features.one_hot(df, {"type_of_meal_plan": _MEALS}).drop("type_of_meal_plan")
+
+
+@query(
+    "m17_chi_square",
+    over_bookings(" UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", ROUND(SUM((n - r * l / t) ** 2 / (r * l / t)), 6)::DOUBLE AS statistic,
+        ((COUNT(DISTINCT v) - 1) * (COUNT(DISTINCT b) - 1))::BIGINT AS degrees
+        FROM (SELECT v, b, COUNT(x.{c})::DOUBLE AS n, ANY_VALUE(r)::DOUBLE AS r, ANY_VALUE(l)::DOUBLE AS l,
+            (SELECT COUNT({c}) FROM bookings)::DOUBLE AS t
+          FROM (SELECT {c} AS v, COUNT(*) AS r FROM bookings WHERE {c} IS NOT NULL GROUP BY 1)
+          CROSS JOIN (SELECT booking_status AS b, COUNT({c}) AS l FROM bookings GROUP BY 1)
+          LEFT JOIN bookings x ON x.{c} = v AND x.booking_status = b GROUP BY v, b)"""
+        for c in CATEGORICAL)),
+)
+def chi_square(spark, sf):
+    df = bookings(spark, sf, [*CATEGORICAL, "booking_status"])
+    found = features.chi_square(df, CATEGORICAL, "booking_status")
+    return found.withColumn("statistic", F.round("statistic", 6))

@@ -141,6 +141,35 @@ def lookup(name: str, pairs: Mapping, default=None) -> Column:
     return out.cast("long") if kinds == {int} else out
 
 
+def one_hot(df: DataFrame, labels: Mapping[str, Sequence[str]]) -> DataFrame:
+    """One 0/1 column ``{column}={label}`` per given label; a null or another label is 0 in all of them."""
+    hits = {f"{c}={v}": F.coalesce((F.col(c) == v).cast("int"), F.lit(0)) for c, known in labels.items() for v in known}
+    return df.withColumns(hits)
+
+
+def chi_square(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """``(column, statistic, degrees)``: Pearson's test of each category column against ``label``.
+
+    Counts of (column, value, label) are combined before the shuffle; all else reads those counts.
+    Rows without a value or without a label are left out.
+    """
+    cells = staged(
+        long_form(df.filter(F.col(label).isNotNull()), columns, "string", [label])
+        .groupBy("name", "value", F.col(label).cast("string").alias("label")).agg(F.count(F.lit(1)).alias("n")),
+        "cells",
+    )
+    by_value = cells.groupBy("name", "value").agg(F.sum("n").alias("of_value"))
+    by_label = cells.groupBy("name", "label").agg(F.sum("n").alias("of_label"))
+    totals = by_label.groupBy("name").agg(F.sum("of_label").alias("total"), F.count(F.lit(1)).alias("n_labels"))
+    # Sum of (n - e)^2 / e over all cells is the sum of n^2 / e over those with rows, minus the total.
+    joined = cells.join(by_value, ["name", "value"]).join(by_label, ["name", "label"])
+    parts = joined.groupBy("name").agg(F.sum(F.col("n") * F.col("n") / (F.col("of_value") * F.col("of_label"))).alias("s"))
+    sizes = by_value.groupBy("name").agg(F.count(F.lit(1)).alias("n_values"))
+    return parts.join(totals, "name").join(sizes, "name").select(
+        F.col("name").alias("column"), (F.col("total") * (F.col("s") - 1)).alias("statistic"),
+        ((F.col("n_values") - 1) * (F.col("n_labels") - 1)).alias("degrees"))
+
+
 # Codes of the target when it reaches the feature table still as text.
 TARGET_CODES = {"Not_Canceled": 0, "Canceled": 1}
 

@@ -10,6 +10,7 @@ import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from functools import partial
 from typing import Any
 
 import numpy as np
@@ -21,7 +22,7 @@ from pyspark.ml.classification import (
     LogisticRegression,
     RandomForestClassifier,
 )
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml.feature import PolynomialExpansion, SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,20 +81,25 @@ class AdaBoost:
 
 
 class CalibratedSvm:
-    """Linear SVM with a logistic fit on its margin; ``rbf`` maps to random Fourier features first.
+    """Linear SVM with a logistic fit on its margin; ``rbf`` and ``poly`` map the inputs first.
 
-    The random features approximate the kernel of width ``gamma`` (default 1 / number of inputs,
-    which is what scaled inputs give) while the training stays linear in the rows.
+    Random Fourier features approximate the ``rbf`` kernel of width ``gamma`` (default 1 / number of
+    inputs, which is what scaled inputs give); ``poly`` expands to all products of up to ``degree``
+    inputs. The training stays linear in the rows.
     """
 
     def __init__(self, inputs: Sequence[str], C: float = 1.0, kernel: str = "rbf", gamma: float | None = None,
-                 dims: int = 128, max_iter: int = 100, seed: int = 42) -> None:
-        if kernel not in ("rbf", "linear"):
+                 dims: int = 128, max_iter: int = 100, seed: int = 42, degree: int = 3) -> None:
+        if kernel not in ("rbf", "linear", "poly"):
             raise ValueError(f"kernel {kernel!r} is not available")
         self.inputs, self.C, self.kernel, self.gamma = list(inputs), C, kernel, gamma
-        self.dims, self.max_iter, self.seed = dims, max_iter, seed
+        self.dims, self.max_iter, self.seed, self.degree = dims, max_iter, seed, degree
 
     def _mapping(self) -> list:
+        if self.kernel == "linear":
+            return []
+        if self.kernel == "poly":
+            return [PolynomialExpansion(degree=self.degree, inputCol="features", outputCol="_mapped")]
         rng = np.random.default_rng(self.seed)
         gamma = self.gamma or 1.0 / len(self.inputs)
         weights = rng.normal(0.0, math.sqrt(2 * gamma), (self.dims, len(self.inputs)))
@@ -110,7 +116,7 @@ class CalibratedSvm:
         ]
 
     def fit(self, df: DataFrame) -> PipelineModel:
-        stages = self._mapping() if self.kernel == "rbf" else []
+        stages = self._mapping()
         mapped = PipelineModel(stages).transform(df) if stages else df
         vector = "_mapped" if stages else "features"
         kept = checkpointed(mapped.select(vector, "label"))
@@ -224,7 +230,7 @@ def _boosted(rounds: int, depth: int, step: float, seed: int, min_leaf: int = 1,
 
 def presets(inputs: Sequence[str], key: str, seed: int = 42) -> dict[str, Preset]:
     """The eight classifiers by name. The forest's depth is bounded, as Spark grows whole levels in memory."""
-    base = {
+    options = {
         "random_forest": Preset(_forest, {"trees": 100, "depth": 15, "seed": seed}),
         "gradient_boosting": Preset(_boosted, {"rounds": 100, "depth": 3, "step": 0.1, "seed": seed}),
         "ada_boost": Preset(AdaBoost, {"rounds": 50, "learning_rate": 1.0, "seed": seed}),
@@ -234,10 +240,16 @@ def presets(inputs: Sequence[str], key: str, seed: int = 42) -> dict[str, Preset
                                       "dims": 128, "max_iter": 100}),
         "knn": Preset(KnnClassifier, {"k": 5, "weights": "uniform"}),
     }
-    makers = {n: p.make for n, p in base.items()}
+    makers = {n: p.make for n, p in options.items()}
+
+    # The final classifier by its name; it sees the inputs and the predictions of the base models.
+    def stacking(base: dict, inputs: Sequence[str], final: str = "logistic_regression", **params: Any) -> Stacking:
+        own = {"inputs": [*inputs, *[f"b_{n}" for n in base]]} if final == "svc" else {}
+        return Stacking(base, inputs, final=partial(options[final].make, **own), **params)
+
     return {
-        **base,
-        "stacked_clf": Preset(Stacking, {"base": makers, "inputs": inputs, "key": key, "folds": 2}),
+        **options,
+        "stacked_clf": Preset(stacking, {"base": makers, "inputs": inputs, "key": key, "folds": 2}),
     }
 
 

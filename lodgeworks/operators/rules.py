@@ -394,5 +394,15 @@ def validate(
     return df, result
 
 
+def validate_cleaned_data(df: DataFrame, strict: bool = True, auto_clean: bool = False) -> DataFrame:
+    """The frame after all stages; raises on errors when ``strict``, repairs copies and nulls first on request."""
+    return validate(df, strict, auto_clean)[0]
+
+
+def generate_validation_report(df: DataFrame) -> str:
+    """The quality report as text; never raises on findings."""
+    return validation_report(df)
+
+
 def validation_report(df: DataFrame) -> str:
     return quality_report(df).text

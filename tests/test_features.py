@@ -129,3 +129,15 @@ def test_default_columns_and_truncation(spark):
     df = spark.createDataFrame([(1, "2018-01-01", 3.9, "Canceled")], "booking_id long, booking_date string, lead_time double, booking_status string")
     row = features.to_feature_table(df, "2024-02-01").first()
     assert row.lead_time == 3 and row.arrival_month == 0 and row.booking_status == 1
+
+
+def test_one_hot_and_chi_square(spark):
+    rows = [("red", "y"), ("red", "n"), ("blue", "y"), (None, "y"), ("blue", "y"), ("red", None), ("red", "n")]
+    df = spark.createDataFrame(rows, "c string, label string")
+    hot = features.one_hot(df, {"c": ["red", "green"]}).collect()
+    assert [(r["c=red"], r["c=green"]) for r in hot] == [(int(c == "red"), 0) for c, _ in rows]
+    # Counts red: y 1, n 2; blue: y 2, n 0.
+    want = sum((n - e) ** 2 / e for n, e in ((1, 9 / 5), (2, 6 / 5), (2, 6 / 5), (0, 4 / 5)))
+    found = features.chi_square(df, ["c"], "label").first()
+    assert found.statistic == pytest.approx(want) and found.degrees == 1
+    assert features.chi_square(df.limit(0), ["c"], "label").collect() == []

@@ -218,4 +218,30 @@ def test_every_space_fits_its_classifier(prepared):
 
 def test_unavailable_kernel():
     with pytest.raises(ValueError):
-        models.CalibratedSvm(["x"], kernel="poly")
+        models.CalibratedSvm(["x"], kernel="sigmoid")
+
+
+def test_svm_with_polynomial_inputs(prepared):
+    svm = models.CalibratedSvm(prepared.scaler.outputs, kernel="poly", max_iter=20)
+    model = svm.fit(prepared.parts["train"])
+    assert training.accuracy(model.transform(prepared.parts["test"])).first()["accuracy"] > 0.85
+
+
+@pytest.mark.parametrize("final", ["svc", "knn"])
+def test_stacking_with_another_final_classifier(prepared, final):
+    options = models.presets(prepared.scaler.outputs, prepared.key)
+    base = {n: partial(options[n].make, **QUICK.get(n, {})) for n in ("logistic_regression", "random_forest")}
+    stack = options["stacked_clf"].make(base=base, final=final, folds=2)
+    model = stack.fit(prepared.parts["train"])
+    assert training.accuracy(model.transform(prepared.parts["test"])).first()["accuracy"] > 0.8
+
+
+def test_a_failing_draw_is_a_row(prepared):
+    values = iter([-1.0, 1.0])
+    preset = models.presets(prepared.scaler.outputs, prepared.key)["logistic_regression"]
+    found = tuning.random_search("logistic_regression", preset, prepared.parts["train"], prepared.key,
+                                 space={"C": lambda rng: next(values)}, draws=2, folds=2)
+    assert [t.error is None for t in found.trials] == [False, True] and found.best is found.trials[1]
+    with pytest.raises(ValueError):
+        tuning.random_search("logistic_regression", preset, prepared.parts["train"], prepared.key,
+                             space={"C": lambda rng: -1.0}, draws=1, folds=2)
