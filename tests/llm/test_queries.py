@@ -48,9 +48,10 @@ def test_pipeline(spark, small):
     assert all(abs(s - sum(sizes.values()) / 16) <= largest for s in sizes.values())
     for shard in sizes:
         assert sorted(r.slot for r in rows if r.shard == shard) == list(range(sum(r.shard == shard for r in rows)))
-    # Every shard is a stretch of the mix: sources alternate as they do in the whole.
-    whole = Counter(r.source for r in rows)
-    assert len(whole) > 10 and all(len({r.source for r in rows if r.shard == s}) > 1 for s in sizes)
+    # The order is that of the mix: a block of up to 16 documents of one source stands together.
+    ordered = [r.source for r in sorted(rows, key=lambda r: (r.shard, r.slot))]
+    changes = sum(a != b for a, b in zip(ordered, ordered[1:]))
+    assert changes < sum(-(-n // 16) for n in Counter(ordered).values())
 
 
 def test_stages_on_awkward_rows(spark, small):
