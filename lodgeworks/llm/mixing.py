@@ -2,10 +2,21 @@
 
 from __future__ import annotations
 
+import heapq
 import math
+from bisect import bisect_right
+from collections.abc import Iterator
+from fractions import Fraction
 
-from pyspark.sql import Column, DataFrame, Window
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
+
+from lodgeworks.session import fresh_path
+
+#: Slots of the schedule that the driver holds at a time.
+CHUNK = 1 << 18
 
 
 def quanta(weights: dict, frame: int) -> dict:
@@ -81,6 +92,75 @@ def frame_slots(spark, kinds: list[tuple[int, int, list[int]]]) -> DataFrame:
     )
 
 
+def schedule(weights: list, blocks: list[int]) -> Iterator[tuple[int, int, int, int]]:
+    """Source number, block, release and deadline of every slot in turn, for sources of ``weights`` with so many ``blocks``.
+
+    The ideal mix gives each source its exact share of every slot; once a source has ended, the others
+    share its slots in proportion. Block ``j`` is released in the slot in which the ideal begins it and due
+    when the ideal has ended it. Slot by slot, the released block with the earliest deadline is taken.
+    The ideal itself fits these windows, so earliest deadline first does too, and no source is ever a
+    block or more before or behind its exact share, at any length. All numbers are whole; nothing is rounded.
+    """
+    if any(not w > 0 or math.isinf(w) for w in weights):
+        raise ValueError("positive finite weights are needed")
+    exact = [Fraction(w) for w in weights]
+    scale = math.lcm(*(w.denominator for w in exact))
+    share = [int(w * scale) for w in exact]
+    # In the order in which the ideal ends them: blocks ended before, and the weight that remains.
+    ends = sorted(range(len(share)), key=lambda s: Fraction(blocks[s], share[s]))
+    at = [blocks[s] / float(exact[s]) for s in ends]
+    ended, left = [0], [sum(share)]
+    for s in ends:
+        ended.append(ended[-1] + blocks[s])
+        left.append(left[-1] - share[s])
+
+    def window(s: int, j: int) -> tuple[int, int]:
+        """Floor of the time at which the ideal has given ``j`` blocks to ``s``, and ceiling of that for ``j + 1``."""
+        times = []
+        for n in (j, j + 1):
+            # The quotient of floats finds the place, whole numbers settle it.
+            i = bisect_right(at, n / float(exact[s]))
+            while i < len(ends) and blocks[ends[i]] * share[s] <= n * share[ends[i]]:
+                i += 1
+            while i > 0 and blocks[ends[i - 1]] * share[s] > n * share[ends[i - 1]]:
+                i -= 1
+            times.append((ended[i], left[i] * n))
+        (a, x), (b, y) = times
+        return a + x // share[s], b - (-y // share[s])
+
+    waiting = [(*window(s, 0), s, 0) for s in range(len(share)) if blocks[s]]
+    heapq.heapify(waiting)
+    ready: list[tuple[int, int, int, int]] = []
+    for slot in range(sum(blocks)):
+        while waiting and waiting[0][0] <= slot:
+            release, due, s, j = heapq.heappop(waiting)
+            heapq.heappush(ready, (due, s, j, release))
+        due, s, j, release = heapq.heappop(ready)
+        yield s, j, release, due
+        if j + 1 < blocks[s]:
+            heapq.heappush(waiting, (*window(s, j + 1), s, j + 1))
+
+
+def schedule_table(spark: SparkSession, weights: list, blocks: list[int], frame: int) -> DataFrame:
+    """The schedule with a row per slot: ``s``, ``j``, ``released``, ``due`` and ``at``.
+
+    The driver makes it in turn and hands over ``CHUNK`` slots at a time to the shared folder, a row per
+    ``frame`` slots; it keeps no more than one chunk and one block per source.
+    """
+    path, slots, total = fresh_path(spark, "schedule"), schedule(weights, blocks), sum(blocks)
+    kind = "first long, s array<long>, j array<long>, released array<long>, due array<long>"
+    for start in range(0, total, CHUNK):
+        rows = []
+        for first in range(start, min(total, start + CHUNK), frame):
+            size = min(frame, total - first, start + CHUNK - first)
+            rows.append((first, *(list(c) for c in zip(*(next(slots) for _ in range(size))))))
+        part = pd.DataFrame(rows, columns=["first", "s", "j", "released", "due"])
+        spark.createDataFrame(part, kind).write.mode("append").parquet(path)
+    packed = spark.read.schema(kind).parquet(path)
+    return packed.select("first", F.posexplode(F.arrays_zip("s", "j", "released", "due")).alias("i", "p")).select(
+        "p.s", "p.j", "p.released", "p.due", (F.col("first") + F.col("i")).alias("at"))
+
+
 def mix_sources(
     docs: DataFrame,
     weights: dict | None = None,
@@ -102,8 +182,8 @@ def mix_sources(
 
     Per source and bucket of a key hash one row count is kept, so a source with most of the rows
     spreads over as many tasks as its rows ask for. Order within a source is by that hash. The
-    sources (at most ``frame``) and the slots of the kinds of frames are broadcast; neither grows with
-    the rows.
+    driver holds one count and one weight per source, and makes the schedule of the blocks in turn;
+    ``frame`` is the number of slots in a row of it and has no influence on the result.
 
     A null source is a source of its own; a null key is a key like others; equal keys and repeated
     rows are ordered by an additional hash of the row and each keeps a place of its own; empty
@@ -114,10 +194,7 @@ def mix_sources(
     added = ["block", "release", "deadline", "slot", "rank"]
     plain = docs.drop(*added)
     tagged = plain.withColumns({"__lw_h": F.xxhash64(F.col(key)), "__lw_null": F.col(source).isNull()})
-    counts = {
-        r[0]: r[1]
-        for r in plain.groupBy(source).agg(F.count(F.lit(1))).limit(frame + 1).collect()
-    }
+    counts = {r[0]: r[1] for r in plain.groupBy(source).agg(F.count(F.lit(1))).limit(frame + 1).collect()}
     if len(counts) > frame:
         raise ValueError(f"more than {frame} sources; raise frame")
     if not counts:
@@ -126,15 +203,18 @@ def mix_sources(
         weights = {s: n**tempering for s, n in counts.items()}
     if missing := [s for s in counts if s not in weights]:
         raise ValueError(f"no weight for {missing}")
-    per_frame = quanta({s: weights[s] for s in sorted(counts, key=lambda s: (s is not None, s or ""))}, frame)
-    blocks = {s: -(-counts[s] // block_rows) for s in per_frame}
-    kinds = frame_kinds(blocks, per_frame)
+    sources = sorted(counts, key=lambda s: (s is not None, s or ""))
+    blocks = [-(-counts[s] // block_rows) for s in sources]
+    slots = schedule_table(spark, [weights[s] for s in sources], blocks, frame)
+    kind = StructType([StructField("__lw_s", LongType()), StructField("__lw_n_source", plain.schema[source].dataType)])
+    numbers = spark.createDataFrame(list(enumerate(sources)), kind)
 
     buckets = max(1, sum(counts.values()) // bucket_rows)
     placed = tagged.withColumn("__lw_bucket", F.pmod(F.col("__lw_h"), F.lit(buckets)))
     sizes = placed.groupBy(source, "__lw_null", "__lw_bucket").agg(F.count(F.lit(1)).alias("__lw_n"))
     earlier = Window.partitionBy(source).orderBy("__lw_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
+    offsets = sizes.join(numbers, F.col(source).eqNullSafe(F.col("__lw_n_source"))).select(
+        "__lw_s",
         F.coalesce(F.col(source).cast("string"), F.lit("")).alias("__lw_o_source"),
         F.col("__lw_null").alias("__lw_o_null"),
         F.col("__lw_bucket").alias("__lw_o_bucket"),
@@ -150,29 +230,18 @@ def mix_sources(
         & (F.col("__lw_bucket") == F.col("__lw_o_bucket")),
     ).withColumn("__lw_i", F.col("__lw_i") + F.col("__lw_skip"))
 
-    number = _by_source(source, {s: i for i, s in enumerate(per_frame)})
-    share = _by_source(source, per_frame)
-    frames_first = F.expr(_array([k[0] for k in kinds]))
-    lengths = F.expr(_array([sum(k[2]) for k in kinds]))
-    starts = F.expr(_array([k[1] for k in kinds]))
     rows = joined.withColumns({
         "block": F.floor(F.col("__lw_i") / block_rows).cast("long"), "rank": (F.col("__lw_i") % block_rows).cast("long"),
-        "__lw_s": number.cast("int"), "__lw_p": share.cast("long"),
     })
-    rows = rows.withColumns({"__lw_k": F.floor(F.col("block") / F.col("__lw_p")).cast("long"), "__lw_j": F.col("block") % F.col("__lw_p")})
-    rows = rows.withColumn("__lw_kind", F.size(F.filter(frames_first, lambda b: b <= F.col("__lw_k"))) - 1)
-    rows = rows.withColumn("__lw_start", F.get(starts, F.col("__lw_kind"))
-                           + (F.col("__lw_k") - F.get(frames_first, F.col("__lw_kind"))) * F.get(lengths, F.col("__lw_kind")))
-    slots = frame_slots(spark, kinds).select(
-        F.col("kind").alias("__lw_kind"), F.col("s").alias("__lw_s"), F.col("j").alias("__lw_j"), "released", "due", "at")
-    out = rows.join(F.broadcast(slots), ["__lw_kind", "__lw_s", "__lw_j"])
+    # A source with most of the rows is dealt by its blocks.
+    out = rows.join(slots, (F.col("__lw_s") == F.col("s")) & (rows["block"] == F.col("j")))
     return out.select(
-        *[F.col(f"`{c}`") for c in plain.columns],
-        F.col("block"),
-        (F.col("__lw_start") + F.col("released")).alias("release"),
-        (F.col("__lw_start") + F.col("due")).alias("deadline"),
-        (F.col("__lw_start") + F.col("at")).alias("slot"),
-        F.col("rank"),
+        *[rows[f"`{c}`"] for c in plain.columns],
+        rows["block"],
+        F.col("released").alias("release"),
+        F.col("due").alias("deadline"),
+        F.col("at").alias("slot"),
+        rows["rank"],
     )
 
 
@@ -182,13 +251,6 @@ def _tie(plain: DataFrame, source: str, key: str) -> list[Column]:
     return [F.xxhash64(*[F.col(f"`{c}`") for c in rest])] if rest else []
 
 
-def _by_source(source: str, values: dict) -> Column:
-    """A value per source as an expression; the number of sources is bounded by the frame."""
-    pairs = [x for s, v in values.items() if s is not None for x in (F.lit(s), F.lit(v))]
-    known = F.create_map(*pairs)[F.col(source)] if pairs else F.lit(None)
-    return F.coalesce(known, F.lit(values[None])) if None in values else known
-
-
 def in_mixed_order(mixed: DataFrame, columns: list[str]) -> DataFrame:
     """The documents dealt and sorted by their place, so that files in name order hold the sequence."""
     order = [F.col("slot"), F.col("rank")]

@@ -6,7 +6,7 @@ from fractions import Fraction
 
 import pytest
 
-from lodgeworks.llm.mixing import frame_kinds, frame_slots, in_mixed_order, mix_sources, quanta
+from lodgeworks.llm.mixing import frame_kinds, frame_slots, in_mixed_order, mix_sources, quanta, schedule
 from lodgeworks.llm.shards import assign_shards
 from lodgeworks.llm.catalog import QUERIES
 from tests.llm.helpers import awkward_docs, docs_frame, empty_frame
@@ -137,3 +137,26 @@ def test_mixed_files_follow_the_sequence(spark, small, tmp_path):
     back = spark.read.parquet(str(tmp_path / "mixed")).select("doc_id", "_metadata.file_name", "_metadata.row_index").collect()
     want = [r.doc_id for r in sorted(mixed.collect(), key=lambda r: (r.slot, r.rank))]
     assert [r.doc_id for r in sorted(back, key=lambda r: (r.file_name, r.row_index))] == want
+
+
+@pytest.mark.parametrize("hot", [1, 7])
+def test_schedule_follows_unrounded_weights(hot):
+    """Weights that no frame of 1,000 holds, over many frames: windows are kept, less than one block off at every slot."""
+    counts = [hot * 9_000] + [1_000] * 19
+    weights = [n**0.5 for n in counts]
+    total, blocks = sum(map(Fraction, weights)), [int(60_000 * w / sum(weights)) + 1 for w in weights]
+    done = Counter()
+    for t, (s, j, release, due) in enumerate(schedule(weights, blocks)):
+        assert release <= t < due and j == done[s]
+        done[s] += 1
+        if t < 58_000 and t % 97 == 0:
+            assert all(abs(done[x] - Fraction(w) / total * (t + 1)) < 1 for x, w in enumerate(weights))
+    assert [done[s] for s in range(20)] == blocks
+
+
+def test_schedule_after_ends_and_small_shares():
+    """Beyond the end of a source the others keep their proportion; a share below 1/1000 is not raised."""
+    rows = [s for s, *_ in schedule([1, 1, 2], [100, 3000, 6000])]
+    assert all(abs(rows[1000:t].count(2) - Fraction(2, 3) * (t - 1000)) < 2 for t in range(1000, 9000, 50))
+    rows = [s for s, *_ in schedule([0.0001, 1.0], [2, 30_000])]
+    assert rows[:9_000].count(0) <= 1 and len(rows) == 30_002
