@@ -194,9 +194,7 @@ def mix_sources(
     added = ["block", "release", "deadline", "slot", "rank"]
     plain = docs.drop(*added)
     tagged = plain.withColumns({"__lw_h": F.xxhash64(F.col(key)), "__lw_null": F.col(source).isNull()})
-    counts = {r[0]: r[1] for r in plain.groupBy(source).agg(F.count(F.lit(1))).limit(frame + 1).collect()}
-    if len(counts) > frame:
-        raise ValueError(f"more than {frame} sources; raise frame")
+    counts = {r[0]: r[1] for r in plain.groupBy(source).agg(F.count(F.lit(1))).collect()}
     if not counts:
         return plain.select("*", *[F.lit(None).cast("long").alias(c) for c in added])
     if weights is None:

@@ -160,3 +160,13 @@ def test_schedule_after_ends_and_small_shares():
     assert all(abs(rows[1000:t].count(2) - Fraction(2, 3) * (t - 1000)) < 2 for t in range(1000, 9000, 50))
     rows = [s for s, *_ in schedule([0.0001, 1.0], [2, 30_000])]
     assert rows[:9_000].count(0) <= 1 and len(rows) == 30_002
+
+
+def test_mix_of_more_sources_than_a_frame(spark):
+    """2,500 sources, one of them with a third of the rows: every row has a place in its window."""
+    docs = spark.range(7_500).selectExpr("id AS doc_id", "IF(id % 3 = 0, 'hot', concat('site', id % 2499)) AS source")
+    rows = mix_sources(docs, block_rows=2).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(7_500))
+    slots = {(r.source, r.block): (r.release, r.slot, r.deadline) for r in rows}
+    assert sorted(s for _, s, _ in slots.values()) == list(range(len(slots))) and len({s for s, _ in slots}) > 1_000
+    assert all(a <= s < d for a, s, d in slots.values())
