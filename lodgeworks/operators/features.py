@@ -74,10 +74,14 @@ class LabelCodes:
         return joined.withColumn(name, F.col("_code")).select(*order)
 
     def decode(self, df: DataFrame, name: str) -> DataFrame:
-        """Back from codes to labels, for a column whose dictionary fits the driver."""
+        """Back from codes to labels; a dictionary that is not held on the driver is joined on the code."""
         labels = self.small[name]
         if labels is None:
-            raise ValueError(f"the dictionary of {name} is a table; join it")
+            book = self.table().filter(F.col("name") == name).select(
+                F.col("value").alias("_label"), F.col("code").alias("_code")
+            )
+            joined = df.join(book, F.col(name) == F.col("_code"), "left")
+            return joined.withColumn(name, F.col("_label")).select(*df.columns)
         pairs = {i: v for i, v in enumerate(labels)}
         return df.withColumn(name, lookup(name, pairs))
 

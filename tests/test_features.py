@@ -141,3 +141,11 @@ def test_one_hot_and_chi_square(spark):
     found = features.chi_square(df, ["c"], "label").first()
     assert found.statistic == pytest.approx(want) and found.degrees == 1
     assert features.chi_square(df.limit(0), ["c"], "label").collect() == []
+
+
+def test_decode_joins_a_dictionary_that_is_a_table(spark):
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(["b", "a", None, "c", "b"])], "id long, v string")
+    codes = features.fit_label_codes(df, ["v"], driver_labels=1)
+    assert codes.small["v"] is None
+    back = codes.decode(codes.encode(df), "v")
+    assert back.columns == df.columns and sorted(back.collect()) == sorted(df.collect())
