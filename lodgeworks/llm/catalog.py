@@ -1,18 +1,23 @@
-"""Queries ``op1_`` to ``op10_`` and their SQL, where SQL can express them."""
+"""Queries ``op1_`` to ``op13_`` and their SQL, where SQL can express them."""
 
 from __future__ import annotations
 
+import zlib
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodgeworks.llm.decontam import contamination
+from lodgeworks.llm.dialogue import repair
 from lodgeworks.llm.knn_join import voronoi_topk
+from lodgeworks.llm.minhash import edited_fingerprints
 from lodgeworks.llm.mixing import mix_sources
 from lodgeworks.llm.quality import fit_quality, held_out, score_quality
 from lodgeworks.llm.secrets import BASE_KINDS, find_secrets, of_kinds
 from lodgeworks.llm.shards import assign_shards, text_bytes
 from lodgeworks.llm.simhash import as_hex, near_duplicates
+from lodgeworks.llm.spelling import group_variants, word_counts
 from lodgeworks.llm.tokens import ids_round_trip
 from lodgeworks.llm.urls import filter_urls
 from lodgeworks.llm.warc import archive_round_trip
@@ -172,3 +177,45 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def worn(doc: str, run: str) -> str:
+    """The run without one code point, for one occurrence in 199."""
+    h = zlib.crc32(f"{doc}:{run}".encode())
+    if h % 199:
+        return run
+    at = h % len(run)
+    return run[:at] + run[at + 1 :]
+
+
+@_query("op11_spelling_variants")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    words = word_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"), alter=worn)
+    return group_variants(words)
+
+
+@_query("op12_document_fingerprints")
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return edited_fingerprints(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with rows dropped, emptied, cut, repeated and given to the user, by a checksum of id and turn."""
+    word = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", word("conv_id"), word("turn")).cast("binary")) % 20
+    hit = rows.select("conv_id", "turn", word("role").alias("role"), word("text").alias("text"), kind.alias("kind")).filter("kind <> 0")
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    out = hit.select("conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), "kind")
+    return out.select("*", F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))).drop("kind", "col")
+
+
+@_query("op13_conversation_repair")
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report = repair(damaged(rows)).report()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    every = rows.select("conv_id").distinct().alias("l")
+    found = every.join(report.alias("r"), F.col("l.conv_id").eqNullSafe(F.col("r.conv_id")), "left")
+    return found.select(
+        "l.conv_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in counts], F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
