@@ -73,7 +73,8 @@ def edited_text(text: str, following: str) -> str:
     return text[: len(text) - quarter] + following[:quarter]
 
 
-_ROW = "n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
+# Digests and fingerprints travel and are staged as bytes, which take half the room of hexadecimal text.
+_ROW = "n_chars long, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
 _NAMES = [field.split()[0] for field in _ROW.split(", ")]
 
 
@@ -81,7 +82,7 @@ def _compared(text: str, mine: np.ndarray, following: str, theirs: np.ndarray, w
     """The values of ``_ROW`` for one document and the one after it."""
     edited = edited_text(text, following)
     after = mine if edited == text else signature(shingle_hashes(edited, words, memo))
-    return [len(text), hashlib.sha256(edited.encode()).hexdigest(), mine.tobytes().hex(), after.tobytes().hex(),
+    return [len(text), hashlib.sha256(edited.encode()).digest(), mine.tobytes(), after.tobytes(),
             likeness(mine, after), likeness(mine, theirs)]
 
 
@@ -118,9 +119,10 @@ def edited_fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "te
     done = staged(ordered.mapInPandas(run, f"__lw_key string, {PART} int, {_ROW}, first boolean, last boolean, edge string"), "fingerprints")
     # One row per range partition from here on.
     order = sorted(r[0] for r in done.filter("first").select(PART).collect())
-    back = F.col("__lw_key").cast(docs.schema[key].dataType).alias(key)
+    told = [F.lower(F.hex(c)).alias(c) if f"{c} binary" in _ROW else F.col(c) for c in _NAMES]
+    told = [F.col("__lw_key").cast(docs.schema[key].dataType).alias(key), *told]
     if not order:
-        return done.select(back, *_NAMES)
+        return done.select(*told)
     turns = docs.sparkSession.createDataFrame(list(zip(order, order[1:] + order[:1])), f"{PART} int, __lw_after int")
     fronts = done.filter("first").select(F.col(PART).alias("__lw_after"), F.col("edge").alias("following"))
     lasts = done.filter("last").select("__lw_key", PART, "edge").join(turns, PART).join(fronts, "__lw_after").select("__lw_key", "edge", "following")
@@ -133,5 +135,5 @@ def edited_fingerprints(docs: DataFrame, *, key: str = "doc_id", text: str = "te
                  for k, a, b in zip(part["__lw_key"], part["edge"], part["following"])], columns=["__lw_key", *_NAMES])
 
     closed = lasts.mapInPandas(close, f"__lw_key string, {_ROW}")
-    return done.filter("NOT last").select("__lw_key", *_NAMES).unionAll(closed).select(back, *_NAMES)
+    return done.filter("NOT last").select("__lw_key", *_NAMES).unionAll(closed).select(*told)
 
