@@ -19,79 +19,6 @@ from lodgeworks.session import fresh_path
 CHUNK = 1 << 18
 
 
-def quanta(weights: dict, frame: int) -> dict:
-    """Whole blocks per frame for each source, at least one; the largest remainders round up."""
-    total = sum(weights.values())
-    if not weights or len(weights) > frame or any(not w > 0 or math.isinf(w) for w in weights.values()):
-        raise ValueError(f"between 1 and {frame} sources with positive finite weights are needed")
-    exact = {s: frame * w / total for s, w in weights.items()}
-    out = {s: max(1, int(x)) for s, x in exact.items()}
-    order = sorted(exact, key=lambda s: (out[s] - exact[s], s is not None, s or ""))
-    while (gap := frame - sum(out.values())) != 0:
-        for s in order if gap > 0 else reversed(order):
-            if gap and (gap > 0 or out[s] > 1):
-                out[s] += 1 if gap > 0 else -1
-                gap += -1 if gap > 0 else 1
-    return out
-
-
-def frame_kinds(blocks: dict, per_frame: dict) -> list[tuple[int, int, list[int]]]:
-    """(first frame, first slot, blocks of each source) of every run of equal frames.
-
-    Frame ``k`` takes from each source its blocks ``k*p .. (k+1)*p - 1`` as far as it has them, so
-    the content changes at most twice per source: when it has less than ``p`` left and when it ends.
-    """
-    sources = list(per_frame)
-    cuts = {0}
-    for s in sources:
-        full, rest = divmod(blocks[s], per_frame[s])
-        cuts |= {full, full + (rest > 0)}
-    last = max(cuts)
-    kinds, slot = [], 0
-    ordered = sorted(cuts)
-    for at, first in enumerate(ordered):
-        if first >= last:
-            break
-        taken = [max(0, min(per_frame[s], blocks[s] - first * per_frame[s])) for s in sources]
-        kinds.append((first, slot, taken))
-        slot += sum(taken) * (ordered[at + 1] - first)
-    return kinds
-
-
-def _array(values: list) -> str:
-    return "array(" + ", ".join(f"{int(v)}L" for v in values) + ")"
-
-
-def frame_slots(spark, kinds: list[tuple[int, int, list[int]]]) -> DataFrame:
-    """For every kind of frame, source number ``s`` and block ``j`` in the frame: its release,
-    deadline and slot, all counted from the start of the frame.
-
-    With ``c`` blocks in a frame of ``n`` slots, block ``j`` is released at ``floor(j*n/c)`` and due at
-    ``ceil((j+1)*n/c)``. Slot by slot, the released block with the earliest deadline is taken. Unit
-    blocks with whole release times always fit that way, so no source is ever a block or more
-    before or behind its share. The fold is a SQL expression over one row per kind of frame; its
-    result has at most (2 * sources + 1) * frame rows, whatever the data.
-    """
-    taken = "array(" + ", ".join(_array(c) for _, _, c in kinds) + ")"
-    spark.range(0, len(kinds), 1, len(kinds)).createOrReplaceTempView("_frame_kinds")
-    rows = f"SELECT CAST(id AS INT) AS kind, c, aggregate(c, 0L, (a, x) -> a + x) AS n FROM (SELECT id, {taken}[id] AS c FROM _frame_kinds)"
-    best = """array_min(transform(sequence(0, size(c) - 1), s ->
-        CASE WHEN c[s] > acc.done[s] AND (acc.done[s] * n) div c[s] <= t
-             THEN named_struct('due', ((acc.done[s] + 1) * n + c[s] - 1) div c[s], 's', s, 'j', acc.done[s],
-                               'released', (acc.done[s] * n) div c[s]) END))"""
-    fold = f"""aggregate(sequence(0L, n - 1L),
-        named_struct('done', transform(c, x -> 0L),
-                     'picks', cast(array() AS array<struct<due: bigint, s: int, j: bigint, released: bigint>>)),
-        (acc, t) -> transform(array({best}), b -> named_struct(
-            'done', transform(acc.done, (x, i) -> CASE WHEN i = b.s THEN x + 1L ELSE x END),
-            'picks', concat(acc.picks, array(b))))[0],
-        acc -> acc.picks)"""
-    return spark.sql(
-        f"""SELECT kind, p.s AS s, p.j AS j, p.released AS released, p.due AS due, CAST(at AS BIGINT) AS at
-            FROM (SELECT kind, posexplode(picks) AS (at, p) FROM (SELECT kind, {fold} AS picks FROM ({rows})))"""
-    )
-
-
 def schedule(weights: list, blocks: list[int]) -> Iterator[tuple[int, int, int, int]]:
     """Source number, block, release and deadline of every slot in turn, for sources of ``weights`` with so many ``blocks``.
 
@@ -142,7 +69,7 @@ def schedule(weights: list, blocks: list[int]) -> Iterator[tuple[int, int, int,
 
 
 def schedule_table(spark: SparkSession, weights: list, blocks: list[int], frame: int) -> DataFrame:
-    """The schedule with a row per slot: ``s``, ``j``, ``released``, ``due`` and ``at``.
+    """The schedule with a row per slot: ``__lw_slot_s``, ``__lw_slot_j``, ``__lw_released``, ``__lw_due`` and ``__lw_at``.
 
     The driver makes it in turn and hands over ``CHUNK`` slots at a time to the shared folder, a row per
     ``frame`` slots; it keeps no more than one chunk and one block per source.
@@ -158,7 +85,8 @@ def schedule_table(spark: SparkSession, weights: list, blocks: list[int], frame:
         spark.createDataFrame(part, kind).write.mode("append").parquet(path)
     packed = spark.read.schema(kind).parquet(path)
     return packed.select("first", F.posexplode(F.arrays_zip("s", "j", "released", "due")).alias("i", "p")).select(
-        "p.s", "p.j", "p.released", "p.due", (F.col("first") + F.col("i")).alias("at"))
+        F.col("p.s").alias("__lw_slot_s"), F.col("p.j").alias("__lw_slot_j"), F.col("p.released").alias("__lw_released"),
+        F.col("p.due").alias("__lw_due"), (F.col("first") + F.col("i")).alias("__lw_at"))
 
 
 def mix_sources(
@@ -201,7 +129,7 @@ def mix_sources(
         weights = {s: n**tempering for s, n in counts.items()}
     if missing := [s for s in counts if s not in weights]:
         raise ValueError(f"no weight for {missing}")
-    sources = sorted(counts, key=lambda s: (s is not None, s or ""))
+    sources = sorted(counts, key=lambda s: (s is not None, str(s)))
     blocks = [-(-counts[s] // block_rows) for s in sources]
     slots = schedule_table(spark, [weights[s] for s in sources], blocks, frame)
     kind = StructType([StructField("__lw_s", LongType()), StructField("__lw_n_source", plain.schema[source].dataType)])
@@ -232,13 +160,13 @@ def mix_sources(
         "block": F.floor(F.col("__lw_i") / block_rows).cast("long"), "rank": (F.col("__lw_i") % block_rows).cast("long"),
     })
     # A source with most of the rows is dealt by its blocks.
-    out = rows.join(slots, (F.col("__lw_s") == F.col("s")) & (rows["block"] == F.col("j")))
+    out = rows.join(slots, (F.col("__lw_s") == F.col("__lw_slot_s")) & (rows["block"] == F.col("__lw_slot_j")))
     return out.select(
         *[rows[f"`{c}`"] for c in plain.columns],
         rows["block"],
-        F.col("released").alias("release"),
-        F.col("due").alias("deadline"),
-        F.col("at").alias("slot"),
+        F.col("__lw_released").alias("release"),
+        F.col("__lw_due").alias("deadline"),
+        F.col("__lw_at").alias("slot"),
         rows["rank"],
     )
 

@@ -6,7 +6,7 @@ from fractions import Fraction
 
 import pytest
 
-from lodgeworks.llm.mixing import frame_kinds, frame_slots, in_mixed_order, mix_sources, quanta, schedule
+from lodgeworks.llm.mixing import in_mixed_order, mix_sources, schedule
 from lodgeworks.llm.shards import assign_shards
 from lodgeworks.llm.catalog import QUERIES
 from tests.llm.helpers import awkward_docs, docs_frame, empty_frame
@@ -51,32 +51,44 @@ def test_shard_query(spark, small):
         slots[shard] += 1
 
 
-def brute_edf(counts):
-    """Slot by slot: of the released blocks that with the earliest deadline, ties to the first source."""
-    n, done, out = sum(counts), [0] * len(counts), []
-    for t in range(n):
-        ready = [(-(-(done[s] + 1) * n // c), s) for s, c in enumerate(counts) if done[s] < c and done[s] * n // c <= t]
+def brute_schedule(weights, blocks):
+    """The ideal followed from end to end of a source, then slot by slot the released block with the earliest deadline."""
+    left, now, times = [Fraction(b) for b in blocks], Fraction(0), [{0: Fraction(0)} for _ in blocks]
+    while any(left):
+        active = [s for s, b in enumerate(left) if b]
+        total = sum(Fraction(weights[s]) for s in active)
+        ends = {s: left[s] * total / Fraction(weights[s]) for s in active}
+        span = min(ends.values())
+        for s in active:
+            rate, done = Fraction(weights[s]) / total, blocks[s] - left[s]
+            for n in range(int(done), blocks[s] + 1):
+                if done < n <= done + rate * span:
+                    times[s][n] = now + (n - done) / rate
+            left[s] -= rate * span
+        now += span
+    window = lambda s, j: (int(times[s][j]), -int(-times[s][j + 1] // 1))
+    done, out = [0] * len(blocks), []
+    for t in range(sum(blocks)):
+        ready = [(window(s, j)[1], s) for s, j in enumerate(done) if j < blocks[s] and window(s, j)[0] <= t]
         due, s = min(ready)
-        assert due > t
-        out.append((s, done[s], t))
+        out.append((s, done[s], window(s, done[s])[0], due))
         done[s] += 1
     return out
 
 
-@pytest.mark.parametrize("counts", [[1], [3, 5], [1, 1, 98], [7, 0, 13, 80], [333, 333, 334], [1] * 30 + [70]])
-def test_frames_are_earliest_deadline_first(spark, counts):
-    got = sorted((r.s, r.j, r["at"]) for r in frame_slots(spark, [(0, 0, counts)]).collect())
-    assert got == sorted(brute_edf(counts))
+@pytest.mark.parametrize("weights, blocks", [
+    ([1], [5]), ([3, 5], [3, 5]), ([1, 1, 98], [4, 1, 70]), ([7, 13, 80], [70, 1, 30]), ([1, 1, 1], [40, 41, 39]), ([0.1, 0.7, 2.5], [11, 30, 25]),
+    ([1] * 20 + [70], [3] * 20 + [90]), ([5, 3], [0, 4])])
+def test_schedule_equals_brute_force(weights, blocks):
+    assert list(schedule(weights, blocks)) == brute_schedule(weights, blocks)
 
 
-def test_quanta():
-    assert quanta({"a": 1, "b": 1, "c": 1}, 100) in ({"a": 34, "b": 33, "c": 33},)
-    assert quanta({"a": 1e-9, "b": 1.0}, 1000) == {"a": 1, "b": 999}
+def test_weights_must_be_positive():
     with pytest.raises(ValueError):
-        quanta({"a": 0.0}, 10)
+        list(schedule([0.0], [10]))
 
 
-def check_mix(rows, per_frame, block_rows, columns):
+def check_mix(rows, weights, block_rows, columns):
     """Every block in its window, slots without gaps, less than one block from the share while all sources last."""
     slots = {(r[columns["source"]], r.block): (r.release, r.slot, r.deadline) for r in rows}
     assert sorted(s for _, s, _ in slots.values()) == list(range(len(slots)))
@@ -86,14 +98,14 @@ def check_mix(rows, per_frame, block_rows, columns):
     for source, block in sizes:
         last[source] = max(last.get(source, 0), block)
     assert all(n == block_rows or b == last[s] for (s, b), n in sizes.items())
-    total, frame = len(slots), sum(per_frame.values())
-    full = min((last[s] + 1) // p for s, p in per_frame.items()) * frame
+    total, weight = len(slots), sum(map(Fraction, weights.values()))
+    full = min((last[s] + 1) * weight / Fraction(w) for s, w in weights.items())
     at = {slot: s for (s, _), (_, slot, _) in slots.items()}
     done = Counter()
-    for t in range(min(total, full)):
+    for t in range(min(total, int(full))):
         done[at[t]] += 1
-        for s, p in per_frame.items():
-            assert abs(done[s] - Fraction(p, frame) * (t + 1)) < 1
+        for s, w in weights.items():
+            assert abs(done[s] - Fraction(w) / weight * (t + 1)) < 1
 
 
 def test_mix_query(spark, small):
@@ -101,11 +113,11 @@ def test_mix_query(spark, small):
     for weights, block_rows, frame in (({f"src{i}": 1 + i for i in range(20)}, 1, 210), ({f"src{i}": 1 for i in range(20)}, 3, 20)):
         rows = mix_sources(docs, weights, block_rows=block_rows, frame=frame, bucket_rows=40).collect()
         assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in docs.collect())
-        check_mix(rows, quanta(weights, frame), block_rows, {"source": "source"})
+        check_mix(rows, weights, block_rows, {"source": "source"})
     again = QUERIES["op1_mix_sources"](spark, small).collect()
     assert len(again) == docs.count()
     counts = Counter(r.source for r in again)
-    check_mix(again, quanta({s: n**0.5 for s, n in counts.items()}, 1000), 16, {"source": "source"})
+    check_mix(again, {s: n**0.5 for s, n in counts.items()}, 16, {"source": "source"})
 
 
 def test_mix_keeps_awkward_rows(spark):
@@ -123,11 +135,18 @@ def test_mix_keeps_awkward_rows(spark):
         mix_sources(docs, {"s1": 1.0})
 
 
-def test_frame_kinds_cover_all_blocks():
-    blocks, per = {"a": 25, "b": 7, "c": 100}, {"a": 5, "b": 3, "c": 2}
-    kinds = frame_kinds(blocks, per)
-    ends = [k[0] for k in kinds[1:]] + [50]
-    assert sum(sum(c) * (e - f) for (f, _, c), e in zip(kinds, ends)) == 132
+@pytest.mark.parametrize("name", ["s", "j", "released", "due", "at", "first", "i", "p", "id", "n", "h", "bucket"])
+def test_mix_beside_clashing_columns(spark, name):
+    docs = spark.range(40).selectExpr("id AS doc_id", "concat('s', id % 3) AS source", f"id + 7 AS `{name}`")
+    rows = mix_sources(docs, block_rows=2).collect()
+    assert sorted((r.doc_id, r[name]) for r in rows) == [(i, i + 7) for i in range(40)]
+    assert sorted({r.slot for r in rows}) == list(range(21))
+
+
+def test_mix_of_whole_number_sources(spark):
+    docs = spark.range(60).selectExpr("id AS doc_id", "IF(id < 3, NULL, id % 4) AS source")
+    rows = mix_sources(docs, block_rows=2).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(60)) and {r.source for r in rows} == {None, 0, 1, 2, 3}
 
 
 def test_mixed_files_follow_the_sequence(spark, small, tmp_path):
