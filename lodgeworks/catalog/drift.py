@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodgeworks.catalog.registry import NUMBERS, over_bookings, query
-from lodgeworks.operators import drift, metrics
+from lodgeworks.operators import drift, metrics, sketches
 from lodgeworks.plans.monitor import monitor
-from lodgeworks.session import fresh_path
+from lodgeworks.session import fresh_path, staged
 from lodgeworks.sources.bookings import bookings, table
 
 RUN_TS = "2024-02-01 00:00:00"
@@ -80,6 +80,21 @@ def feature_drift_bookings(spark, sf):
     return _rounded(drift.feature_drift(df.filter(even).drop("k"), df.filter(~even).drop("k")))
 
 
+@query(
+    "a24_sketched_drift_bookings",
+    over_bookings("SELECT feature, n_ref, n_cur, true AS within_error FROM ks", *_ks_ctes(_BOOKING_ROWS)),
+)
+def sketched_drift_bookings(spark, sf):
+    """Statistics of merged sketches, each within its error of the exact one."""
+    df = staged(bookings(spark, sf, NUMBERS, key=True), "bookings")
+    even = F.col("k") % 2 == 0
+    parts = sketches.sketch(df.withColumns({"side": even, "part": F.col("k") % 5}), NUMBERS, by=["side", "part"])
+    merged = staged(sketches.merge(parts, by=["side"]), "sketches")
+    found = sketches.sketched_drift(merged.filter("side").drop("side"), merged.filter("NOT side").drop("side"))
+    exact = drift.feature_drift(df.filter(even).drop("k"), df.filter(~even).drop("k")).select("feature", F.col("d").alias("exact"))
+    return found.join(exact, "feature").select("feature", "n_ref", "n_cur", (F.abs(F.col("d") - F.col("exact")) <= F.col("error")).alias("within_error"))
+
+
 @query("a24_data_drift_score", _events_ks("value") + "SELECT ROUND(1 - AVG(p_value), 6)::DOUBLE AS score FROM ks")
 def data_drift_score(spark, sf):
     return drift.data_drift(*_halves(spark, sf), ["value"]).select(F.round("score", 6).alias("score"))

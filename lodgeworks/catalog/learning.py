@@ -51,6 +51,12 @@ def _fitted(spark, sf, names=None):
     return data, [_FITTED[*at, n] for n in names]
 
 
+def forget() -> None:
+    """Drop the shared rows and models, so that the next query fits its own."""
+    _PREPARED.clear()
+    _FITTED.clear()
+
+
 def _fit_query(query_name: str, model_name: str) -> None:
     @query(query_name)
     def fit(spark, sf):
@@ -81,16 +87,33 @@ def best_model(spark, sf):
     return spark.createDataFrame([(best.name, best.accuracy)], "model string, accuracy double")
 
 
-@query("m13_random_search")
-def random_search(spark, sf):
-    """Ten draws with five folds; the other spaces of ``tuning.SPACES`` are searched by the same call."""
-    data = _shared(spark, sf)
-    preset = presets(data.scaler.outputs, data.key)["logistic_regression"]
-    found = tuning.random_search("logistic_regression", preset, data.parts["train"], data.key, data.parts["test"])
-    return spark.createDataFrame(
-        [(i, repr(t.params), t.mean, t is found.best, t.error) for i, t in enumerate(found.trials)],
-        "draw int, params string, accuracy double, best boolean, error string",
-    )
+@query("m6_gain_importance")
+def gain_importance(spark, sf):
+    """The share of each input in the gain of all splits of the second-order trees."""
+    data, (best,) = _fitted(spark, sf, ["xgboost"])
+    return spark.createDataFrame(list(zip(data.scaler.columns, best.model.importance())), "feature string, importance double")
+
+
+def _search_query(query_name: str, model_name: str) -> None:
+    @query(query_name)
+    def search(spark, sf):
+        """Ten draws with five folds."""
+        data = _shared(spark, sf)
+        preset = presets(data.scaler.outputs, data.key)[model_name]
+        found = tuning.random_search(model_name, preset, data.parts["train"], data.key, data.parts["test"], threads=4)
+        return spark.createDataFrame(
+            [(i, repr(t.params), t.mean, t is found.best, t.error) for i, t in enumerate(found.trials)],
+            "draw int, params string, accuracy double, best boolean, error string",
+        )
+
+
+_search_query("m13_random_search", "logistic_regression")
+_search_query("m13_search_gradient_boosting", "gradient_boosting")
+_search_query("m13_search_second_order", "xgboost")
+_search_query("m13_search_ada_boost", "ada_boost")
+_search_query("m13_search_nearest_neighbours", "knn")
+_search_query("m13_search_support_vectors", "svc")
+_search_query("m13_search_random_forest", "random_forest")
 
 
 @query("m14_deployment_gate")
@@ -136,17 +159,46 @@ def scaler_and_model(spark, sf):
     )
 
 
-_MEALS = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
+# Every label of the data with each booking; a missing label is none of them.
+_ONE_HOT_SQL = " UNION ALL ".join(
+    f"""SELECT k, booking_status, '{c}=' || v AS feature, COALESCE(({c} = v)::INT, 0) AS hit
+    FROM bookings CROSS JOIN (SELECT DISTINCT {c} AS v FROM bookings WHERE {c} IS NOT NULL)"""
+    for c in CATEGORICAL)
+
+
+def _one_hot(spark, sf, *more):
+    df = bookings(spark, sf, [*CATEGORICAL, *more], key=True)
+    labels = features.fit_label_codes(df, CATEGORICAL).known()
+    hot = features.one_hot(df, labels)
+    return hot, [f"{c}={v}" for c, known in labels.items() for v in known]
+
+
+@query("m17_one_hot", over_bookings(f"SELECT k, feature, hit FROM ({_ONE_HOT_SQL})"))
+def one_hot(spark, sf):
+    """All category columns; the labels are those of the data. One row per booking and label."""
+    hot, names = _one_hot(spark, sf)
+    cells = F.array(*[F.struct(F.lit(n).alias("feature"), F.col(f"`{n}`").alias("hit")) for n in names])
+    return hot.select("k", F.explode(cells).alias("c")).select("k", "c.feature", "c.hit")
+
+
+_K_BEST = 5
 
 
 @query(
-    "m17_one_hot",
-    over_bookings("SELECT k, " + ", ".join(
-        f"COALESCE((type_of_meal_plan = '{v}')::INT, 0) AS \"type_of_meal_plan={v}\"" for v in _MEALS) + " FROM bookings"),
+    "m17_k_best",
+    over_bookings(
+        f"""SELECT feature, ROUND(SUM((n - e) ** 2 / e), 6)::DOUBLE AS statistic FROM (
+          SELECT feature, SUM(hit)::DOUBLE AS n, SUM(SUM(hit)) OVER (PARTITION BY feature)::DOUBLE
+            * COUNT(*) / SUM(COUNT(*)) OVER (PARTITION BY feature) AS e
+          FROM ({_ONE_HOT_SQL}) WHERE booking_status IS NOT NULL
+          GROUP BY feature, booking_status)
+        GROUP BY feature ORDER BY statistic DESC, feature LIMIT {_K_BEST}"""),
 )
-def one_hot(spark, sf):
-    df = bookings(spark, sf, ["type_of_meal_plan"], key=True)
-    return features.one_hot(df, {"type_of_meal_plan": _MEALS}).drop("type_of_meal_plan")
+def k_best(spark, sf):
+    """The one-hot columns that depend most on the target."""
+    hot, names = _one_hot(spark, sf, "booking_status")
+    best = features.k_best(features.chi2_scores(hot, names, "booking_status"), _K_BEST)
+    return best.select("feature", F.round("statistic", 6).alias("statistic"))
 
 
 @query(

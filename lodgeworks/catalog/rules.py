@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 
 from lodgeworks.catalog.cleaning import RAW, cleaned
 from lodgeworks.catalog.registry import NUMBERS, long_sql, over_bookings, over_cleaned, query
-from lodgeworks.functions.columns import number_columns
-from lodgeworks.operators import clean, features, rules
+from lodgeworks.fields import ID_NAME_PATTERNS
+from lodgeworks.functions.columns import long_form, number_columns
+from lodgeworks.operators import clean, features, rules, sketches
 from lodgeworks.operators.quantiles import iqr_outliers
 from lodgeworks.session import staged
 from lodgeworks.sources.bookings import bookings
@@ -117,6 +118,30 @@ def shape(spark, sf):
     return df.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(len(df.columns)).cast("long").alias("n_columns"))
 
 
+_SHARES = (0.01, 0.25, 0.5, 0.75, 0.99)
+
+
+@query(
+    "a10_sketched_quantiles",
+    over_bookings(" UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", p.p AS share, (SELECT COUNT({c}) FROM bookings) AS n, true AS within_error "
+        f"FROM (SELECT UNNEST([{', '.join(f'{s}::DOUBLE' for s in _SHARES)}]) AS p) p" for c in NUMBERS)),
+)
+def sketched_quantiles(spark, sf):
+    """Quantiles from merged sketches; the exact rank of each answer is within the stated error."""
+    df = staged(bookings(spark, sf, NUMBERS, key=True).withColumn("part", F.col("k") % 7), "bookings")
+    merged = sketches.merge(sketches.sketch(df, NUMBERS, by=["part"]))
+    found = sketches.sketched_quantiles(merged, _SHARES)
+    answers = F.array(*[F.struct(F.lit(s).alias("share"), F.col(f"q{i}").alias("v")) for i, s in enumerate(_SHARES)])
+    asked = staged(found.select("name", "n", "error", F.explode(answers).alias("a")).select("name", "n", "error", "a.*"), "answers")
+    # A row per column and share meets the values of its column.
+    ranks = long_form(df, NUMBERS, "double").filter(F.col("value").isNotNull()).join(F.broadcast(asked), "name").groupBy(
+        "name", "n", "error", "share").agg(
+        F.count_if(F.col("value") < F.col("v")).alias("below"), F.count_if(F.col("value") <= F.col("v")).alias("upto"))
+    low, high = F.col("below") / F.col("n") - F.col("error"), F.col("upto") / F.col("n") + F.col("error")
+    return ranks.select(F.col("name").alias("column"), "share", "n", ((low <= F.col("share")) & (F.col("share") <= high)).alias("within_error"))
+
+
 @query("a25_business_counts", over_bookings(_findings_sql("bookings", _BUSINESS_CHECKS)))
 def business_counts(spark, sf):
     df = bookings(spark, sf)
@@ -177,14 +202,17 @@ def quality(spark, sf):
         + " + ".join(f"COUNT(*) - COUNT({c})" for c in RAW)
         + """)::BIGINT FROM bookings
         UNION ALL SELECT 'not_categorical', 'warning', 0 FROM RANGE(3)
-        UNION ALL SELECT 'id_like', 'info', 0)"""
+        UNION ALL SELECT 'id_like', 'info', 0 FROM (SELECT UNNEST(["""
+        + ", ".join(f"'{c}'" for c in RAW)
+        + """]) AS c) WHERE """
+        + " OR ".join(f"CONTAINS(c, '{p}')" for p in ID_NAME_PATTERNS)
+        + ")"
     ),
 )
 def post_ingestion(spark, sf):
     found = rules.check_post_ingestion(staged(bookings(spark, sf))).findings
-    keep = [f for f in found if f.check != "id_like" or f.column == "Booking_ID"]
     return spark.createDataFrame(
-        [(f.check, f.severity, f.n_rows) for f in keep], "check string, severity string, n_rows long"
+        [(f.check, f.severity, f.n_rows) for f in found], "check string, severity string, n_rows long"
     )
 
 

@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 from lodgeworks.catalog.cleaning import cleaned
 from lodgeworks.catalog.features import _TABLE_SQL, feature_rows
 from lodgeworks.catalog.registry import over_cleaned, query
-from lodgeworks.operators import store
+from lodgeworks.operators import registry, store
 from lodgeworks.operators.asof import FeatureSet, as_of_join, latest_by_key
+from lodgeworks.operators.online import OnlineStore
 from lodgeworks.session import fresh_path, staged
 from lodgeworks.sources.bookings import table
 
@@ -105,12 +106,12 @@ def _requests(rows):
     )
 
 
-def _service_sql(hours: int, prefix: str = "") -> str:
+def _service_sql(hours: int, prefix: str = "", own_time: bool = False) -> str:
     fresh = f"t.event_timestamp >= r.event_timestamp - INTERVAL {hours} HOUR"
     pick = lambda c: f"CASE WHEN {fresh} THEN t.{c} END"
     return over_cleaned(
         f"""SELECT r.booking_id, r.event_timestamp, {pick("lead_time")} AS lead_time,
-        {pick("arrival_month")} AS arrival_month, {pick("arrival_date")} AS arrival_date,
+        {pick("event_timestamp") + " AS hotel_booking_stats__event_timestamp," if own_time else ""} {pick("arrival_month")} AS arrival_month, {pick("arrival_date")} AS arrival_date,
         ROUND(({pick("avg_price_per_room")})::DOUBLE, 3) AS avg_price_per_room,
         {pick("no_of_special_requests")} AS no_of_special_requests,
         ROUND(({pick("avg_price_per_room")})::DOUBLE / (({pick("no_of_special_requests")}) + 0.001::DOUBLE), 3)
@@ -130,14 +131,15 @@ def _served(spark, sf, name):
     prefix = "fresh_" if name.endswith("v3") else ""
     df = store.historical_features(service, _requests(rows), {view.name: rows})
     outs = {f"{prefix}price_per_night_per_request": 3, f"{prefix}discounted_price_per_room": 6}
+    own_time = [c for c in df.columns if c.endswith("__event_timestamp")]
     return df.select(
-        "booking_id", "event_timestamp", "lead_time", "arrival_month", "arrival_date",
+        "booking_id", "event_timestamp", *own_time, "lead_time", "arrival_month", "arrival_date",
         F.round(F.col("avg_price_per_room").cast("double"), 3).alias("avg_price_per_room"),
         "no_of_special_requests", *[F.round(c, n).alias(c) for c, n in outs.items()],
     )
 
 
-@query("p13_service_v1", _service_sql(7 * 24))
+@query("p13_service_v1", _service_sql(7 * 24, own_time=True))
 def service_v1(spark, sf):
     return _served(spark, sf, "hotel_prediction_v1")
 
@@ -235,6 +237,48 @@ def incremental(spark, sf):
     return store.materialize(spark, view, f"{root}/online", second, start=first, version=1)
 
 
+@query("fs5_bucketed_materialization", _SNAPSHOT_SQL)
+def bucketed(spark, sf):
+    """Three runs into a store of buckets; each rewrites the buckets that it touches."""
+    rows = staged(_events(spark, sf, "view").select("user_id", "ts", "value"), "views")
+    stored = OnlineStore(spark, fresh_path(spark, "online"), ["user_id"], "ts")
+    ends = ("2024-01-10 00:00:00", "2024-01-15 00:00:00", "2024-01-20 00:00:00")
+    for start, end in zip((None, *ends), ends):
+        stored.materialize(rows, end, start)
+    return stored.read()
+
+
+@query(
+    "fs5_bucketed_lookup",
+    f"""SELECT r.event_id, r.user_id, l.value AS stored FROM (SELECT * FROM events WHERE event_type = 'click' AND user_id % 97 = 5) r
+    LEFT JOIN ({_SNAPSHOT_SQL}) l USING (user_id)""",
+)
+def bucketed_lookup(spark, sf):
+    """Point reads of a few users: only their buckets are read."""
+    rows = _events(spark, sf, "view").select("user_id", "ts", "value")
+    stored = OnlineStore(spark, fresh_path(spark, "online"), ["user_id"], "ts")
+    stored.materialize(rows, "2024-01-20 00:00:00")
+    asked = _events(spark, sf, "click").filter("user_id % 97 = 5").select("event_id", "user_id")
+    return stored.lookup(asked, ["value"]).withColumnRenamed("value", "stored")
+
+
+@query(
+    "fs5_registry_apply",
+    over_cleaned(f"SELECT booking_id, lead_time, booking_status FROM ({_TABLE_SQL})"),
+)
+def registry_apply(spark, sf):
+    """Definitions are applied to a registry; the training service, loaded by name, reads the feature table."""
+    root = fresh_path(spark, "registry")
+    feature_rows(spark, sf).write.parquet(f"{root}/rows")
+    services = store.hotel_services(store.hotel_views(store.TableSource(f"{root}/rows", "event_timestamp")))
+    known = registry.Registry(spark, f"{root}/definitions")
+    known.apply(services.values())
+    service = known.service("training")
+    rows = service.views[0][0].table.read(spark)
+    found = store.historical_features(service, rows.select("booking_id", "event_timestamp"))
+    return found.select("booking_id", "lead_time", "booking_status")
+
+
 @query(
     "s14_serving_log",
     over_cleaned(f"SELECT COUNT(*) * 2 AS n_logged, COUNT(DISTINCT booking_id) AS n_bookings FROM ({_TABLE_SQL})"),

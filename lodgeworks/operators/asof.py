@@ -21,7 +21,7 @@ from lodgeworks.session import staged
 
 @dataclass(frozen=True)
 class FeatureSet:
-    """Feature rows for an as-of join. ``created`` orders rows of equal time, newest wins."""
+    """Feature rows for an as-of join. ``created`` orders rows of equal time, newest wins; ``names`` replaces the names of the fields."""
 
     df: DataFrame
     fields: tuple[str, ...]
@@ -29,6 +29,7 @@ class FeatureSet:
     ttl: timedelta | None = None
     created: str | None = None
     prefix: str = ""
+    names: tuple[str, ...] | None = None
 
     def rows(self, keys: Sequence[str], index: int) -> DataFrame:
         """Keys, ``_ts``, ``_created`` and the fields in one struct ``_row{index}``."""
@@ -40,6 +41,7 @@ class FeatureSet:
             *keys,
             F.col(self.ts).alias("_ts"),
             created.alias("_created"),
+            F.xxhash64(*self.fields).alias("_tie"),
             F.struct(F.col(self.ts).alias("_at"), *self.fields).alias(f"_row{index}"),
         )
 
@@ -48,7 +50,7 @@ class FeatureSet:
         fresh = row.isNotNull()
         if self.ttl is not None:
             fresh = fresh & (row["_at"] >= spine_ts - _interval(self.ttl))
-        return [F.when(fresh, row[f]).alias(self.prefix + f) for f in self.fields]
+        return [F.when(fresh, row[f]).alias(self.prefix + n) for f, n in zip(self.fields, self.names or self.fields)]
 
 
 def _interval(span: timedelta) -> Column:
@@ -66,7 +68,8 @@ def as_of_join(
     """Each spine row with the newest feature row at or before its time and within the TTL.
 
     Every spine row is kept, copies included; without a match the fields are null. An expired
-    newest row gives null, not an older row. The number of ranges follows the size of the rows
+    newest row gives null, not an older row. Of rows of equal time the newest created one counts, then the
+    one of the largest hash of its fields, whatever the partitions. The number of ranges follows the size of the rows
     unless ``ranges`` sets it. The dealt rows are staged once, because the bounds of the ranges come
     from a sample and a second evaluation could cut elsewhere.
     """
@@ -75,11 +78,11 @@ def as_of_join(
     rest = [c for c in spine.columns if c not in (*keys, ts)]
     merged = spine.select(
         *keys, F.col(ts).alias("_ts"), F.lit(1).alias("_side"), F.lit(None).cast("timestamp_ntz").alias("_created"),
-        F.struct(*rest, F.lit(1).alias("_any")).alias("_rest"),
+        F.lit(None).cast("long").alias("_tie"), F.struct(*rest, F.lit(1).alias("_any")).alias("_rest"),
     )
     for i, view in enumerate(views):
         merged = merged.unionByName(view.rows(keys, i).withColumn("_side", F.lit(0)), allowMissingColumns=True)
-    order = ["_ts", "_side", "_created"]
+    order = ["_ts", "_side", "_created", "_tie"]
     dealt = merged.repartitionByRange(*([ranges] if ranges else []), *keys, *order)
     dealt = staged(dealt.withColumn("_range", F.spark_partition_id()), "as-of")
 
@@ -91,7 +94,7 @@ def as_of_join(
 
 def _with_earlier(carried: DataFrame, dealt: DataFrame, rows: list[str], keys: list[str]) -> DataFrame:
     """Where a range has no feature row of a key up to a spine row: the last one of the ranges before it."""
-    newest = [F.max_by(r, F.when(F.col(r).isNotNull(), F.struct("_ts", "_created"))).alias(r) for r in rows]
+    newest = [F.max_by(r, F.when(F.col(r).isNotNull(), F.struct("_ts", "_created", "_tie"))).alias(r) for r in rows]
     every = Window.partitionBy(*keys)
     earlier = every.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     ends = dealt.groupBy("_range", *keys).agg(*newest).select(
@@ -120,9 +123,13 @@ def _finish(carried, spine, views, keys, ts) -> DataFrame:
 def latest_by_key(
     df: DataFrame, keys: Sequence[str], ts: str, created: str | None = None
 ) -> DataFrame:
-    """The newest row per key; combined before the shuffle, so a heavy key is one row per task."""
+    """The newest row per key; combined before the shuffle, so a heavy key is one row per task.
+
+    Of equal times the newest created row counts, then that of the largest hash, so partitions and order do not matter.
+    """
     rest = [c for c in df.columns if c not in keys]
-    order = [F.col(ts)] + ([F.col(created)] if created else [])
+    hashed = [c for c in rest if not df.schema[c].dataType.simpleString().startswith(("map", "variant"))]
+    order = [F.col(ts)] + ([F.col(created)] if created else []) + [F.xxhash64(*[F.col(f"`{c}`") for c in hashed])]
     newest = df.groupBy(*keys).agg(
         F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
     )

@@ -15,6 +15,36 @@ from lodgeworks.session import staged
 
 LOG_SCHEMA = "ts timestamp_ntz, type string, score double, threshold double, details map<string,string>"
 SERIES_TERMS = 100
+#: Up to this size of both samples the p-value is exact.
+EXACT_ROWS = 1_000
+
+
+def exact_tail(d: Column, n: Column, m: Column) -> Column:
+    """Two-sided p-value of a two-sample statistic ``d``: the share of all orders of ``n`` and ``m`` values that reach it.
+
+    An order is a lattice path. Step by step, an array holds for each number ``i`` of values of the first sample the
+    chance that a random path gets there with all distances so far below ``d``; what remains at the end is the chance to
+    stay below it. Distances are compared as whole numbers ``|i m - j n|``. The arrays have ``n + 1`` entries,
+    the steps are ``n + m``; callers bound both by ``EXACT_ROWS``. Ties are not accounted for.
+    """
+    reach = F.round(d * n * m).cast("long")
+    total = n + m
+
+    def step(held: Column, k: Column) -> Column:
+        left = (total - k + 1).cast("double")
+
+        def chance(i: Column) -> Column:
+            j = k - i
+            from_first = F.coalesce(F.try_element_at(held, i.cast("int")), F.lit(0.0)) * (n - i + 1) / left
+            from_second = F.try_element_at(held, (i + 1).cast("int")) * (m - j + 1) / left
+            come = F.when(i == 0, 0.0).otherwise(from_first) + F.when(j == 0, 0.0).otherwise(from_second)
+            return F.when((j >= 0) & (j <= m) & (F.abs(i * m - j * n) < reach), come).otherwise(0.0)
+
+        return F.transform(F.sequence(F.lit(0).cast("long"), n), chance)
+
+    start = F.transform(F.sequence(F.lit(0).cast("long"), n), lambda i: F.when(i == 0, 1.0).otherwise(0.0))
+    below = F.aggregate(F.sequence(F.lit(1).cast("long"), total), start, step, lambda held: F.element_at(held, -1))
+    return F.when(reach <= 0, F.lit(1.0)).otherwise(F.greatest(F.least(1 - below, F.lit(1.0)), F.lit(0.0)))
 
 
 def kolmogorov_tail(d: Column, n: Column, m: Column) -> Column:
@@ -39,6 +69,14 @@ def kolmogorov_tail(d: Column, n: Column, m: Column) -> Column:
     )
 
 
+def two_sample_tail(d: Column, n: Column, m: Column) -> Column:
+    """The exact p-value where both samples have at most ``EXACT_ROWS`` values, else the limiting series."""
+    small = (n <= EXACT_ROWS) & (m <= EXACT_ROWS)
+    # Large samples never reach the arrays.
+    exact = exact_tail(d, F.when(small, n).otherwise(1), F.when(small, m).otherwise(1))
+    return F.when(small, exact).otherwise(kolmogorov_tail(d, n, m))
+
+
 def drift_columns(reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None) -> list[str]:
     """64-bit number columns of the reference, or ``columns``, that the current frame also has."""
     chosen = number_columns(reference) if columns is None else list(columns)
@@ -50,7 +88,7 @@ def feature_drift(
     reference: DataFrame, current: DataFrame, columns: Sequence[str] | None = None,
     buckets: int | None = None,
 ) -> DataFrame:
-    """``(feature, n_ref, n_cur, d, p_value)``: the two-sample Kolmogorov-Smirnov test per column.
+    """``(feature, n_ref, n_cur, d, p_value)``: the two-sample Kolmogorov-Smirnov test per column, exact for small samples.
 
     A feature without values on one side keeps its row, with a null statistic.
 
@@ -80,7 +118,7 @@ def feature_drift(
         .agg(F.max(F.when(both_sides, gap)).alias("d"))
         .select(
             F.col("name").alias("feature"), "n_ref", "n_cur", "d",
-            F.when(F.col("d").isNotNull(), kolmogorov_tail(F.col("d"), F.col("n_ref"), F.col("n_cur"))).alias("p_value"),
+            F.when(F.col("d").isNotNull(), two_sample_tail(F.col("d"), F.col("n_ref"), F.col("n_cur"))).alias("p_value"),
         )
     )
     # A column empty on both sides has no values to count, but is still a row of the report.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -56,6 +56,12 @@ class LabelCodes:
         """``(name, value, code)`` of every column, numbered without fetching a label."""
         return label_table(self.labels)
 
+    def known(self) -> dict[str, list[str]]:
+        """The labels of every column, which must all fit the driver."""
+        if large := [c for c, labels in self.small.items() if labels is None]:
+            raise ValueError(f"too many labels in {large}")
+        return dict(self.small)
+
     def _encode_one(self, df: DataFrame, name: str) -> DataFrame:
         labels = self.small[name]
         if labels is not None and len(labels) <= LITERAL_LABELS:
@@ -174,6 +180,27 @@ def chi_square(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
         ((F.col("n_values") - 1) * (F.col("n_labels") - 1)).alias("degrees"))
 
 
+def chi2_scores(df: DataFrame, columns: Sequence[str], label: str) -> DataFrame:
+    """``(feature, statistic)``: for columns of counts or 0/1, how far their sums per class are from the class shares.
+
+    One aggregate by class; a class is a row of sums. A column whose sum is 0 scores null; rows without a
+    label are left out, a null counts as 0.
+    """
+    sums = df.filter(F.col(label).isNotNull()).groupBy(F.col(label).alias("_label")).agg(
+        F.count(F.lit(1)).alias("_rows"), *[F.coalesce(F.sum(F.col(f"`{c}`").cast("double")), F.lit(0.0)).alias(f"_s{i}") for i, c in enumerate(columns)])
+    cells = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"_s{i}").alias("n")) for i, c in enumerate(columns)])
+    per_class = sums.select("_label", "_rows", F.explode(cells).alias("c")).select("_label", "_rows", "c.feature", "c.n")
+    whole = Window.partitionBy("feature")
+    expected = F.sum("n").over(whole) * F.col("_rows") / F.sum("_rows").over(whole)
+    parts = per_class.select("feature", "n", expected.alias("e"))
+    return parts.groupBy("feature").agg(F.sum(F.try_divide((F.col("n") - F.col("e")) ** 2, F.col("e"))).alias("statistic"))
+
+
+def k_best(scores: DataFrame, k: int) -> DataFrame:
+    """The ``k`` features of the largest ``statistic``, ties by name; null scores come last."""
+    return scores.orderBy(F.col("statistic").desc_nulls_last(), "feature").limit(k)
+
+
 # Codes of the target when it reaches the feature table still as text.
 TARGET_CODES = {"Not_Canceled": 0, "Canceled": 1}
 

@@ -245,31 +245,39 @@ class KnnModel:
             F.slice(F.array_sort(F.flatten(F.collect_list("near"))), 1, self.settings.k).alias("near")
         )
 
+    def with_neighbours(self, df: DataFrame) -> DataFrame:
+        """``df`` with ``_x``, its point, and ``near``, its nearest rows."""
+        queries = df.withColumn("_x", vector_to_array("features"))
+        near = self.neighbours(queries.select(F.col("_x").alias("x"))).withColumnRenamed("x", "_x")
+        return queries.join(near, "_x", "left")
+
     def transform(self, df: DataFrame) -> DataFrame:
-        k = self.settings.k
         queries = df.withColumn("_x", vector_to_array("features"))
         near = self.neighbours(queries.select(F.col("_x").alias("x")))
-        if self.settings.weights == "uniform":
-            weight = lambda r: F.lit(1.0)
-        else:
-            exact = F.exists("near", lambda r: r["d"] == 0)
-            weight = lambda r: F.when(exact, (r["d"] == 0).cast("double")).otherwise(
-                1 / F.sqrt(r["d"])
-            )
-        take = lambda acc, r: F.least(F.lit(k).cast("long") - acc["seen"], r["n"])
-        vote = F.aggregate(
-            "near",
-            F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("ones"), F.lit(0.0).alias("all")),
-            lambda acc, r: F.struct(
-                (acc["seen"] + take(acc, r)).alias("seen"),
-                (acc["ones"] + take(acc, r) * weight(r) * r["label"]).alias("ones"),
-                (acc["all"] + take(acc, r) * weight(r)).alias("all"),
-            ),
-            lambda acc: acc["ones"] / acc["all"],
-        )
-        scored = near.select(F.col("x").alias("_x"), vote.alias("probability_one"))
+        scored = near.select(F.col("x").alias("_x"), vote_of(self.settings.k, self.settings.weights).alias("probability_one"))
         return (
             queries.join(scored, "_x", "left")
             .withColumn("prediction", (F.col("probability_one") > 0.5).cast("double"))
             .drop("_x", "probability_one")
         )
+
+
+def vote_of(k: int, weights: str):
+    """The share of label one among the first ``k`` rows of ``near``, which counts equal rows."""
+    if weights == "uniform":
+        weight = lambda r: F.lit(1.0)
+    else:
+        # Rows at distance zero outvote all others.
+        exact = F.get("near", F.lit(0))["d"] == 0
+        weight = lambda r: F.when(exact, (r["d"] == 0).cast("double")).otherwise(1 / F.sqrt(r["d"]))
+    take = lambda acc, r: F.least(F.lit(k).cast("long") - acc["seen"], r["n"])
+    return F.aggregate(
+        "near",
+        F.struct(F.lit(0).cast("long").alias("seen"), F.lit(0.0).alias("ones"), F.lit(0.0).alias("all")),
+        lambda acc, r: F.struct(
+            (acc["seen"] + take(acc, r)).alias("seen"),
+            (acc["ones"] + F.when(take(acc, r) > 0, take(acc, r) * weight(r) * r["label"]).otherwise(0.0)).alias("ones"),
+            (acc["all"] + F.when(take(acc, r) > 0, take(acc, r) * weight(r)).otherwise(0.0)).alias("all"),
+        ),
+        lambda acc: acc["ones"] / acc["all"],
+    )

@@ -1,4 +1,4 @@
-"""The classifiers: Spark ML presets, boosting of stumps, a calibrated SVM and stacking.
+"""The classifiers: Spark ML presets, boosted trees, a calibrated SVM and stacking.
 
 Every classifier has ``fit(df) -> model`` and every model ``transform(df)``; ``df`` carries a vector
 ``features``, the scaled input columns and a ``label`` of 0.0 / 1.0.
@@ -10,74 +10,24 @@ import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import partial
+from functools import partial, reduce
 from typing import Any
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.classification import (
-    DecisionTreeClassifier,
-    GBTClassifier,
-    LinearSVC,
-    LogisticRegression,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import PolynomialExpansion, SQLTransformer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodgeworks.operators.boosting import Boost, BoostedTrees, fit_together
+from lodgeworks.operators.extratrees import extra_trees_importance
 from lodgeworks.operators.knn import KnnClassifier
 from lodgeworks.operators.metrics import accuracy
 from lodgeworks.operators.split import add_fold
 from lodgeworks.session import checkpointed
 
-MAX_DEPTH = 30  # the deepest tree Spark ML accepts
-CUT_EVERY = 10  # boosting rounds between checkpoints
-_SCORES = ("rawPrediction", "probability")
-
-
-class AdaBoost:
-    """Boosted stumps with exponential re-weighting (SAMME, two classes)."""
-
-    def __init__(self, rounds: int = 50, learning_rate: float = 1.0, seed: int = 42) -> None:
-        self.rounds, self.learning_rate, self.seed = rounds, learning_rate, seed
-
-    def fit(self, df: DataFrame) -> PipelineModel:
-        data = checkpointed(df.select("features", "label").withColumn("_w", F.lit(1.0)))
-        stumps, votes = [], []
-        for t in range(self.rounds):
-            stump = DecisionTreeClassifier(
-                maxDepth=1, weightCol="_w", seed=self.seed, predictionCol=f"_p{t}",
-                rawPredictionCol=f"_r{t}", probabilityCol=f"_q{t}",
-            ).fit(data)
-            scored = stump.transform(data).drop(f"_r{t}", f"_q{t}")
-            wrong = F.col(f"_p{t}") != F.col("label")
-            row = scored.agg(
-                F.sum("_w").alias("all"), F.sum(F.when(wrong, F.col("_w")).otherwise(0.0)).alias("bad")
-            ).first()
-            error = row["bad"] / row["all"]
-            if error >= 0.5:
-                break
-            stumps.append(stump)
-            if error <= 0:
-                votes.append(1.0)
-                break
-            vote = self.learning_rate * math.log((1 - error) / error)
-            votes.append(vote)
-            # Rescaled to keep the mean weight near 1 over many rounds.
-            grown = 1 + error * (math.exp(vote) - 1)
-            data = scored.withColumn(
-                "_w", F.col("_w") * F.when(wrong, math.exp(vote)).otherwise(1.0) / grown
-            ).drop(f"_p{t}")
-            if (t + 1) % CUT_EVERY == 0:
-                data = checkpointed(data)
-        if not stumps:
-            raise ValueError("no stump is better than chance")
-        score = " + ".join(f"{v!r}D * (2 * _p{t} - 1)" for t, v in enumerate(votes))
-        combine = SQLTransformer(
-            statement=f"SELECT *, CAST(({score}) > 0 AS DOUBLE) AS prediction FROM __THIS__"
-        )
-        return PipelineModel([*stumps, combine])
+MAX_DEPTH = 30  # the deepest tree of a forest that Spark ML accepts
 
 
 class CalibratedSvm:
@@ -136,6 +86,8 @@ class PenalizedLogit:
     """Logistic regression with the penalty given as ``C``."""
 
     def __init__(self, C: float = 1.0, max_iter: int = 1_000) -> None:
+        if not C > 0:
+            raise ValueError("C must be positive")
         self.C, self.max_iter = C, max_iter
 
     def fit(self, df: DataFrame):
@@ -152,25 +104,41 @@ class Stacking:
         self.base, self.inputs, self.key = dict(base), list(inputs), key
         self.folds, self.final, self.threads = folds, final, threads
 
-    def fit(self, df: DataFrame) -> StackedModel:
+    def fit(self, df: DataFrame, known: dict[str, Any] | None = None) -> StackedModel:
+        """``known`` holds base models that are already fitted on ``df``.
+
+        Boosted base models grow together, for all folds and for all rows, in the same passes.
+        """
         data = checkpointed(add_fold(df, self.key, self.folds))
+        made = {n: make() for n, make in self.base.items()}
+        whole = dict(known or {})
+        fits = [(n, f) for n in made for f in [*range(self.folds), *([] if n in whole else [None])]]
+        boosted = [(n, f) for n, f in fits if isinstance(made[n], BoostedTrees)]
+
+        def one(at: tuple) -> Any:
+            name, f = at
+            return made[name].fit(data if f is None else data.filter(F.col("fold") != f))
+
+        with ThreadPoolExecutor(self.threads) as pool:
+            together = pool.submit(fit_together, [(made[n], f) for n, f in boosted], data, "fold") if boosted else None
+            others = [at for at in fits if at not in boosted]
+            models = dict(zip(others, pool.map(one, others)))
+            models.update(zip(boosted, together.result() if together else []))
+        if failed := next((m for m in models.values() if isinstance(m, Exception)), None):
+            raise failed
+        whole.update({n: m for (n, f), m in models.items() if f is None})
 
         def out_of_fold(name: str) -> DataFrame:
-            parts = None
-            for f in range(self.folds):
-                model = self.base[name]().fit(data.filter(F.col("fold") != f))
-                part = predict_only(model, data.filter(F.col("fold") == f), [self.key], f"b_{name}")
-                parts = part if parts is None else parts.unionByName(part)
-            return checkpointed(parts)
+            parts = [predict_only(models[name, f], data.filter(F.col("fold") == f), [self.key], f"b_{name}") for f in range(self.folds)]
+            return checkpointed(reduce(DataFrame.unionByName, parts))
 
         with ThreadPoolExecutor(self.threads) as pool:
             guesses = list(pool.map(out_of_fold, self.base))
-            models = list(pool.map(lambda n: self.base[n]().fit(data), self.base))
         stacked = data
         for g in guesses:
             stacked = stacked.join(g, self.key)
         stacked = _stack_vector(stacked, self.inputs, self.base)
-        return StackedModel(dict(zip(self.base, models)), self.inputs, self.key, self.final().fit(stacked))
+        return StackedModel({n: whole[n] for n in self.base}, self.inputs, self.key, self.final().fit(stacked))
 
 
 @dataclass
@@ -214,27 +182,25 @@ class Preset:
 
 def _forest(trees: int, depth: int, seed: int, min_leaf: int = 1, impurity: str = "gini"):
     return RandomForestClassifier(
-        numTrees=trees, maxDepth=min(depth, MAX_DEPTH), seed=seed, minInstancesPerNode=min_leaf,
-        impurity=impurity, featureSubsetStrategy="sqrt",
+        numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=min_leaf, impurity=impurity, featureSubsetStrategy="sqrt",
     )
 
 
-def _boosted(rounds: int, depth: int, step: float, seed: int, min_leaf: int = 1,
-             row_share: float = 1.0, column_share: float = 1.0):
-    return GBTClassifier(
-        maxIter=rounds, maxDepth=min(depth, MAX_DEPTH), stepSize=step, seed=seed,
-        minInstancesPerNode=min_leaf, subsamplingRate=row_share,
-        featureSubsetStrategy="all" if column_share >= 1 else str(column_share),
-    )
+def _boosted(key: str, **params: Any) -> BoostedTrees:
+    return BoostedTrees(Boost(**params), key)
+
+
+def _stumps(key: str, rounds: int, learning_rate: float, seed: int) -> BoostedTrees:
+    return BoostedTrees(Boost("stumps", rounds=rounds, depth=1, step=learning_rate, seed=seed), key)
 
 
 def presets(inputs: Sequence[str], key: str, seed: int = 42) -> dict[str, Preset]:
     """The eight classifiers by name. The forest's depth is bounded, as Spark grows whole levels in memory."""
     options = {
         "random_forest": Preset(_forest, {"trees": 100, "depth": 15, "seed": seed}),
-        "gradient_boosting": Preset(_boosted, {"rounds": 100, "depth": 3, "step": 0.1, "seed": seed}),
-        "ada_boost": Preset(AdaBoost, {"rounds": 50, "learning_rate": 1.0, "seed": seed}),
-        "xgboost": Preset(_boosted, {"rounds": 100, "depth": 6, "step": 0.3, "seed": seed}),
+        "gradient_boosting": Preset(_boosted, {"kind": "gradient", "rounds": 100, "depth": 3, "step": 0.1, "seed": seed, "key": key}),
+        "ada_boost": Preset(_stumps, {"rounds": 50, "learning_rate": 1.0, "seed": seed, "key": key}),
+        "xgboost": Preset(_boosted, {"kind": "second_order", "rounds": 100, "depth": 6, "step": 0.3, "seed": seed, "key": key}),
         "logistic_regression": Preset(PenalizedLogit, {"C": 1.0, "max_iter": 1_000}),
         "svc": Preset(CalibratedSvm, {"inputs": inputs, "C": 1.0, "kernel": "rbf", "seed": seed,
                                       "dims": 128, "max_iter": 100}),
@@ -262,25 +228,35 @@ class Fitted:
 
 
 def train_all(
-    train: DataFrame, test: DataFrame, classifiers: dict[str, Any], threads: int = 4
+    train: DataFrame, test: DataFrame, classifiers: dict[str, Any], threads: int = 4, shared: Sequence[str] = (),
 ) -> list[Fitted]:
     """Fit every classifier from driver threads; one that fails is reported, not fatal.
 
-    The data stays in Spark: the threads only submit jobs that share the executors.
+    The data stays in Spark: the threads only submit jobs that share the executors. Boosted models grow together.
+    A stack is fitted last and takes over the models named in ``shared``, which must be those of its own base.
     """
-
-    def one(item) -> Fitted:
-        name, classifier = item
+    def judged(name: str, fit: Callable[[], Any]) -> Fitted:
         try:
-            model = classifier.fit(train)
+            model = fit()
+            if isinstance(model, Exception):
+                raise model
             score = accuracy(model.transform(test)).first()["accuracy"]
             return Fitted(name, score, None, model)
         except Exception as error:  # noqa: BLE001 - any failure of one model is a result row
             return Fitted(name, None, f"{type(error).__name__}: {error}")
 
+    boosted = [n for n, c in classifiers.items() if isinstance(c, BoostedTrees)]
+    stacks = [n for n, c in classifiers.items() if isinstance(c, Stacking)]
+    single = [n for n in classifiers if n not in stacks and n not in boosted]
     with ThreadPoolExecutor(threads) as pool:
-        results = list(pool.map(one, classifiers.items()))
-    return results
+        together = pool.submit(fit_together, [(classifiers[n], None) for n in boosted], train) if boosted else None
+        found = dict(zip(single, pool.map(lambda n: judged(n, lambda: classifiers[n].fit(train)), single)))
+        for i, n in enumerate(boosted):
+            found[n] = judged(n, lambda i=i: together.result()[i])
+    known = {n: found[n].model for n in shared if n in found and found[n].error is None}
+    for n in stacks:
+        found[n] = judged(n, lambda n=n: classifiers[n].fit(train, {b: m for b, m in known.items() if b in classifiers[n].base}))
+    return [found[n] for n in classifiers]
 
 
 def results_table(spark, results: Sequence[Fitted]) -> DataFrame:
@@ -298,20 +274,10 @@ def best_of(results: Sequence[Fitted]) -> Fitted:
 
 
 def feature_importance(
-    df: DataFrame, columns: Sequence[str], label: str = "label", trees: int = 100, depth: int = 12, seed: int = 42
+    df: DataFrame, columns: Sequence[str], label: str = "label", trees: int = 100, seed: int = 42, **options: Any,
 ) -> DataFrame:
-    """``(feature, importance)`` from a forest grown on all rows per tree; sums to 1."""
-    if df.isEmpty():
-        raise ValueError("the frame has no rows")
-    data = VectorAssembler(inputCols=list(columns), outputCol="_v", handleInvalid="error").transform(
-        df.select(*columns, F.col(label).cast("double").alias("_y"))
-    )
-    forest = RandomForestClassifier(
-        featuresCol="_v", labelCol="_y", numTrees=trees, maxDepth=depth, bootstrap=False,
-        featureSubsetStrategy="sqrt", seed=seed,
-    ).fit(data)
-    rows = [(c, float(v)) for c, v in zip(columns, forest.featureImportances.toArray())]
-    return df.sparkSession.createDataFrame(rows, "feature string, importance double")
+    """``(feature, importance)`` from extremely randomised trees on all rows; sums to 1. ``options`` as for ``extra_trees_importance``."""
+    return extra_trees_importance(df, columns, label, trees, seed, **options)
 
 
 def important_features(importance: DataFrame, threshold: float = 0.05) -> DataFrame:

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
+from lodgeworks.operators.boosting import BoostedModel
 from lodgeworks.operators.knn import Cells, KnnClassifier, KnnModel
 from lodgeworks.operators.models import StackedModel
 
@@ -56,6 +57,8 @@ def save_model(spark: SparkSession, model: Any, path: str) -> None:
             "kind": "knn", "k": s.k, "weights": s.weights, "leaf_rows": s.leaf_rows,
             "chunk_rows": s.chunk_rows, "part_rows": s.part_rows, "cells": model.cells.to_dict(),
         }
+    elif isinstance(model, BoostedModel):
+        meta = {"kind": "boosted", **model.save(spark, path)}
     elif is_native(model):
         whole = model if isinstance(model, PipelineModel) else PipelineModel([model])
         whole.write().overwrite().save(f"{path}/stages")
@@ -75,5 +78,7 @@ def load_model(spark: SparkSession, path: str) -> Any:
     if kind == "stacked":
         base = {n: load_model(spark, f"{path}/base/{n}") for n in meta["base"]}
         return StackedModel(base, meta["inputs"], meta["key"], load_model(spark, f"{path}/final"))
+    if kind == "boosted":
+        return BoostedModel.load(spark, path, meta)
     settings = KnnClassifier(meta["k"], meta["weights"], meta["leaf_rows"], meta["chunk_rows"], meta["part_rows"])
     return KnnModel(settings, spark.read.parquet(f"{path}/points"), Cells.from_dict(meta["cells"]))

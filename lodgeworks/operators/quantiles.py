@@ -13,8 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeworks.functions.columns import long_form, present
-from lodgeworks.operators.ordering import grouped_quantiles
+from lodgeworks.functions.columns import long_form
+from lodgeworks.operators.ordering import grouped_quantiles, quantiles_of, ranked_values
 
 
 def exact_quantiles(
@@ -32,30 +32,18 @@ def exact_quantiles(
 
 
 def iqr_outliers(df: DataFrame, columns: Sequence[str], factor: float = 1.5) -> DataFrame:
-    """``(column, q1, q3, n_outliers)`` per number column; strictly outside the fences."""
-    spark = df.sparkSession
-    quartiles = exact_quantiles(df, columns, [0.25, 0.75])
-    bounds = {
-        c: (q[0.25], q[0.75]) for c, q in quartiles.items() if q[0.25] is not None
-    }
-    if not bounds:
-        return spark.createDataFrame([], "column string, q1 double, q3 double, n_outliers long")
-    counts = df.agg(
-        *[
-            F.count_if(
-                (present(df, c) < q1 - factor * (q3 - q1))
-                | (present(df, c) > q3 + factor * (q3 - q1))
-            ).alias(c)
-            for c, (q1, q3) in bounds.items()
-        ]
-    )
-    rows = [
-        F.struct(
-            F.lit(c).alias("column"),
-            F.lit(float(q1)).alias("q1"),
-            F.lit(float(q3)).alias("q3"),
-            F.col(f"`{c}`").alias("n_outliers"),
-        )
-        for c, (q1, q3) in bounds.items()
-    ]
-    return counts.select(F.explode(F.array(*rows)).alias("_r")).select("_r.*")
+    """``(column, q1, q3, n_outliers)`` per number column; strictly outside the fences.
+
+    The ranked values give the quartiles and, being counted, the outliers too; the rows are read once.
+    A column without values has no row.
+    """
+    columns = list(dict.fromkeys(columns))
+    if not columns:
+        return df.sparkSession.createDataFrame([], "column string, q1 double, q3 double, n_outliers long")
+    ranked = ranked_values(long_form(df, columns, "double"), ["name"], "value")
+    # One row per column.
+    quartiles = F.broadcast(quantiles_of(ranked, ["name"], [0.25, 0.75]).select("name", F.col("q0").alias("q1"), F.col("q1").alias("q3")))
+    reach = factor * (F.col("q3") - F.col("q1"))
+    outside = (F.col("_v") < F.col("q1") - reach) | (F.col("_v") > F.col("q3") + reach)
+    return ranked.join(quartiles, "name").groupBy(F.col("name").alias("column"), "q1", "q3").agg(
+        F.coalesce(F.sum(F.when(outside, F.col("_n"))), F.lit(0)).cast("long").alias("n_outliers"))

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import timedelta
+from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -84,8 +85,9 @@ def discounted_price(price: str = "avg_price_per_room_current", discount: str =
     return F.col(price).cast("double") * (1 - F.col(discount).cast("double"))
 
 
+@cache
 def request_time_features(prefix: str = "") -> Transform:
-    """The two request-time prices, with a name prefix for the fresh variant."""
+    """The two request-time prices, with a name prefix for the fresh variant; one function per prefix."""
 
     def transform(df: DataFrame) -> DataFrame:
         return df.withColumns(
@@ -129,7 +131,7 @@ def hotel_services(views: dict[str, FeatureView] | None = None) -> dict[str, Fea
     now, now_fresh = request_time_features(), request_time_features("fresh_")
     return {
         "hotel_prediction_v1": FeatureService(
-            "hotel_prediction_v1", ((stats, STATS_FIELDS),), (now,), "data/feature_logs", REQUEST_FIELDS
+            "hotel_prediction_v1", ((stats, ("event_timestamp", *STATS_FIELDS)),), (now,), "data/feature_logs", REQUEST_FIELDS
         ),
         "hotel_prediction_v2": FeatureService(
             "hotel_prediction_v2", ((stats, stats.fields),), (now,), request_fields=REQUEST_FIELDS
@@ -150,7 +152,8 @@ def historical_features(
     """Point-in-time features of a service for a spine of (keys, ``ts``).
 
     All views of the service are joined in one pass over the keys. ``rows`` gives the feature rows
-    per view name; views that are not listed are read from their source. Request-time transforms
+    per view name; views that are not listed are read from their source. A field that the spine has too (as
+    the time of the feature row) is named ``{view}__{field}``. Request-time transforms
     run when the spine carries the request columns the service names.
     """
     rows = rows or {}
@@ -163,6 +166,8 @@ def historical_features(
             table = view.table.read(spine.sparkSession)
         sets.append(view.feature_set(table, fields))
     keys = service.views[0][0].entity.keys
+    sets = [replace(s, names=tuple(f"{v.name}__{f}" if f in spine.columns else f for f in s.fields))
+            for (v, _), s in zip(service.views, sets)]
     joined = as_of_join(spine, sets, keys, ts)
     if set(service.request_fields) <= set(joined.columns):
         for transform in service.on_demand:

@@ -85,7 +85,7 @@ def build_features(
     # Names compare without case: the number must not meet the identifier it replaces.
     numbered = number_rows(encoded, [key], "_number").drop(key)
     ready = staged(numbered.withColumnRenamed("_number", "booking_id"), "encoded")
-    importance = feature_importance(ready, columns, TARGET, trees, depth)
+    importance = feature_importance(ready, columns, TARGET, trees, depth=depth)
     selected = [r["feature"] for r in important_features(importance, threshold).collect()]
     table = to_feature_table(ready, run_ts, "booking_id", selected, zero_unselected)
     return FeatureOutput(table, importance, selected, codes, findings)

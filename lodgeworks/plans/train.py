@@ -46,9 +46,11 @@ def train(
 
     ``params`` gives parameters per classifier that replace those of its preset.
     """
-    options = presets(prepared.scaler.outputs, prepared.key)
-    chosen = {n: options[n].make(**(params or {}).get(n, {})) for n in (names or options)}
-    results = train_all(prepared.parts["train"], prepared.parts[select_on], chosen, threads)
+    options, params = presets(prepared.scaler.outputs, prepared.key), params or {}
+    chosen = {n: options[n].make(**params.get(n, {})) for n in (names or options)}
+    # Base models of the stack at their presets are the models fitted here.
+    shared = [n for n in chosen if not params.get(n)] if "base" not in params.get("stacked_clf", {}) else []
+    results = train_all(prepared.parts["train"], prepared.parts[select_on], chosen, threads, shared)
     return best_of(results), results
 
 

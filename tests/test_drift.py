@@ -1,4 +1,6 @@
+import itertools
 import math
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -149,3 +151,53 @@ def test_an_empty_side_is_missing_data_and_not_drift(spark):
         assert by_kind["data_drift"].score is None and by_kind["data_drift"].details["reason"]
         assert by_kind["data_drift"].details["run"] == "7" and by_kind["data_drift"].details["method"] == "ks_2samp"
         assert drift.retrain_decision(logged).first().retrain is False
+
+
+def _p_values(spark, cases):
+    """``exact_tail`` for (distance as a whole number of 1 / (n m), n, m)."""
+    df = spark.createDataFrame([(k, h / (n * m), n, m) for k, (h, n, m) in enumerate(cases)], "k int, d double, n long, m long")
+    rows = df.select("k", drift.exact_tail(F.col("d"), F.col("n"), F.col("m")).alias("p")).orderBy("k").collect()
+    return [r.p for r in rows]
+
+
+def test_exact_p_value_equals_enumeration(spark):
+    """All orders of up to eight and eight values, counted one by one."""
+    cases, want = [], []
+    for n, m in ((1, 1), (2, 3), (5, 5), (8, 3), (7, 8), (8, 8)):
+        reached = []
+        for chosen in itertools.combinations(range(n + m), n):
+            i = j = most = 0
+            for at in range(n + m):
+                i, j = (i + 1, j) if at in chosen else (i, j + 1)
+                most = max(most, abs(i * m - j * n))
+            reached.append(most)
+        for h in sorted(set(reached)):
+            cases.append((h, n, m))
+            want.append(sum(r >= h for r in reached) / len(reached))
+    assert _p_values(spark, cases) == pytest.approx(want, abs=1e-9)
+
+
+def test_exact_p_value_equals_counted_paths(spark):
+    """Whole numbers of lattice paths, row by row."""
+    cases = [(100, 30, 20), (24_000, 200, 300), (60_000, 1_000, 1_000), (30_000, 999, 700), (1, 40, 60), (400, 20, 20)]
+    want = []
+    for h, n, m in cases:
+        row = [1 if j * n < h else 0 for j in range(m + 1)]
+        for j in range(1, m + 1):
+            row[j] = row[j] if row[j - 1] else 0
+        for i in range(1, n + 1):
+            row[0] = row[0] if i * m < h else 0
+            for j in range(1, m + 1):
+                row[j] = row[j] + row[j - 1] if abs(i * m - j * n) < h else 0
+        want.append(1 - Fraction(row[m], math.comb(n + m, n)))
+    assert _p_values(spark, cases) == pytest.approx([float(w) for w in want], abs=1e-9)
+
+
+def test_small_samples_are_exact_and_large_ones_are_not(spark, monkeypatch):
+    a = spark.createDataFrame([(float(v),) for v in range(20)], "x double")
+    b = spark.createDataFrame([(float(v) + 6.5,) for v in range(20)], "x double")
+    exact = drift.feature_drift(a, b).first()
+    assert exact.d == pytest.approx(7 / 20) and exact.p_value == pytest.approx(_p_values(spark, [(140, 20, 20)])[0], abs=1e-12)
+    monkeypatch.setattr(drift, "EXACT_ROWS", 10)
+    series = drift.feature_drift(a, b).first()
+    assert series.p_value != exact.p_value and abs(series.p_value - exact.p_value) < 0.05

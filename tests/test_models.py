@@ -94,24 +94,6 @@ def test_ties_go_to_the_first_name():
     assert models.best_of(tied).name == "a"
 
 
-def test_boosting_matches_a_plain_loop(spark):
-    """Weights and votes of the boosting rounds against numpy stumps."""
-    rng = np.random.default_rng(0)
-    x = rng.integers(0, 20, 300)
-    y = ((x > 5) & (x < 14)).astype(float)
-    df = spark.createDataFrame([(Vectors.dense([float(a)]), float(b)) for a, b in zip(x, y)], ["features", "label"])
-    model = models.AdaBoost(rounds=6).fit(df)
-    w, score = np.ones(300), np.zeros(300)
-    for stage in model.stages[:-1]:
-        guess = np.array([r[0] for r in stage.transform(df).select(stage.getPredictionCol()).collect()])
-        error = w[guess != y].sum() / w.sum()
-        vote = np.log((1 - error) / error)
-        score += vote * (2 * guess - 1)
-        w = w * np.where(guess != y, np.exp(vote), 1.0)
-    got = np.array([r[0] for r in model.transform(df).select("prediction").collect()])
-    assert (got == (score > 0)).all() and (got == y).mean() > 0.9
-
-
 def _brute_knn(train, labels, query, k, weights="uniform"):
     """Vote of the k nearest; rows at equal distance share the label in this fixture's ties."""
     out = []
@@ -208,6 +190,35 @@ def test_random_search(prepared):
         tuning.random_search("unknown", preset, prepared.parts["train"], prepared.key)
 
 
+@pytest.mark.parametrize("name, space", [
+    ("logistic_regression", None), ("knn", None),
+    ("ada_boost", {"rounds": tuning.whole(2, 9), "learning_rate": tuning.uniform(0.2, 1.0)}),
+    ("xgboost", {"rounds": tuning.whole(2, 9), "depth": tuning.whole(1, 5)}),
+    ("gradient_boosting", {"rounds": tuning.whole(2, 9), "step": tuning.one_of(0.1, 0.4), "depth": tuning.one_of(2)})])
+def test_shared_fits_equal_separate_ones(spark, name, space):
+    """All draws and folds in the same passes give the accuracies of separate fits."""
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 12, (900, 3)).astype(float)
+    y = ((x[:, 0] > 5) & (x[:, 1] < 8) | (rng.random(900) < 0.1)).astype(float)
+    df = spark.createDataFrame([(i, Vectors.dense(r.tolist()), float(l)) for i, (r, l) in enumerate(zip(x, y))], ["booking_id", "features", "label"])
+    preset = models.presets(["a", "b", "c"], "booking_id")[name]
+    run = lambda share: tuning.random_search(name, preset, df, "booking_id", space=space, draws=3, folds=3, share=share)
+    together, alone = run(True), run(False)
+    assert [t.params for t in together.trials] == [t.params for t in alone.trials]
+    for a, b in zip(together.trials, alone.trials):
+        assert a.fold_accuracy == pytest.approx(b.fold_accuracy, abs=1e-9) and a.error is None
+
+
+def test_paths_of_equal_parameters_are_grown_once(prepared, monkeypatch):
+    asked = []
+    grow = tuning.grow
+    monkeypatch.setattr(tuning, "grow", lambda rows, bins, models: asked.append(models) or grow(rows, bins, models))
+    preset = models.presets(prepared.scaler.outputs, prepared.key)["xgboost"]
+    tuning.random_search("xgboost", preset, prepared.parts["train"], prepared.key, draws=6, folds=2,
+                         space={"rounds": tuning.one_of(2, 5, 7), "depth": tuning.one_of(2)})
+    assert len(asked[0]) == 2 and {m.rounds for m, _ in asked[0]} <= {5, 7}
+
+
 def test_every_space_fits_its_classifier(prepared):
     import random
 
