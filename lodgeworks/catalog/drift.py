@@ -34,9 +34,20 @@ def _ks_ctes(rows: str) -> list[str]:
         " FROM steps JOIN sizes USING (feature) GROUP BY 1, 2, 3)",
         "args AS (SELECT *, GREATEST(ROUND(n_ref * n_cur::DOUBLE / (n_ref + n_cur)), 1.0) AS size FROM gaps)",
         "shifted AS (SELECT *, d * SQRT(size) + 1 / (6 * SQRT(size)) + (d * SQRT(size) - 1) / (4 * size) AS x FROM args)",
-        "ks AS (SELECT feature, n_ref, n_cur, d, CASE WHEN d = 0 OR x < 0.2 THEN 1.0 ELSE GREATEST(LEAST((SELECT"
+        "limits AS (SELECT feature, n_ref, n_cur, d, CASE WHEN d = 0 OR x < 0.2 THEN 1.0 ELSE GREATEST(LEAST((SELECT"
         " SUM((CASE WHEN k % 2 = 1 THEN 2.0 ELSE -2.0 END) * EXP(-2.0 * k * k * x * x)) FROM RANGE(1, 101) t(k)), 1.0),"
-        " 0.0) END::DOUBLE AS p_value FROM shifted)",
+        " 0.0) END::DOUBLE AS series FROM shifted)",
+        # Samples of up to EXACT_ROWS values: the chance to walk from (0, 0) to (n, m) below the distance, step by step.
+        f"walk AS (SELECT feature, n_ref AS n, n_cur AS m, ROUND(d * n_ref * n_cur)::BIGINT AS reach, 0::BIGINT AS k,"
+        f" list_transform(range(n_ref + 1), lambda i: CASE WHEN i = 0 THEN 1.0 ELSE 0.0 END::DOUBLE) AS p"
+        f" FROM gaps WHERE n_ref BETWEEN 1 AND {drift.EXACT_ROWS} AND n_cur BETWEEN 1 AND {drift.EXACT_ROWS}"
+        " UNION ALL SELECT feature, n, m, reach, k + 1, list_transform(range(n + 1), lambda i: CASE"
+        " WHEN k + 1 - i < 0 OR k + 1 - i > m OR ABS(i * m - (k + 1 - i) * n) >= reach THEN 0.0 ELSE"
+        " CASE WHEN i = 0 THEN 0.0 ELSE p[i] * (n - i + 1) / (n + m - k) END"
+        " + CASE WHEN k + 1 = i THEN 0.0 ELSE p[i + 1] * (m - k + i) / (n + m - k) END END::DOUBLE)"
+        " FROM walk WHERE k < n + m)",
+        "exact AS (SELECT feature, CASE WHEN reach <= 0 THEN 1.0 ELSE GREATEST(1 - p[n + 1], 0.0) END AS p FROM walk WHERE k = n + m)",
+        "ks AS (SELECT feature, n_ref, n_cur, d, COALESCE(p, series)::DOUBLE AS p_value FROM limits LEFT JOIN exact USING (feature))",
     ]
 
 
@@ -52,7 +63,7 @@ def _events_ks(value: str) -> str:
         f"SELECT 'value' AS feature, CASE WHEN ts < TIMESTAMP '{CUT}' THEN value ELSE {value} END AS value,"
         f" ts < TIMESTAMP '{CUT}' AS is_ref FROM events"
     )
-    return "WITH " + ", ".join(_ks_ctes(rows)) + " "
+    return "WITH RECURSIVE " + ", ".join(_ks_ctes(rows)) + " "
 
 
 @query("a24_feature_drift", _events_ks("value") + _KS_OUT)

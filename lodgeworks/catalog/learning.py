@@ -108,12 +108,8 @@ def _search_query(query_name: str, model_name: str) -> None:
 
 
 _search_query("m13_random_search", "logistic_regression")
-_search_query("m13_search_gradient_boosting", "gradient_boosting")
-_search_query("m13_search_second_order", "xgboost")
 _search_query("m13_search_ada_boost", "ada_boost")
 _search_query("m13_search_nearest_neighbours", "knn")
-_search_query("m13_search_support_vectors", "svc")
-_search_query("m13_search_random_forest", "random_forest")
 
 
 @query("m14_deployment_gate")

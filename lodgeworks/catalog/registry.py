@@ -73,7 +73,7 @@ cleaned AS ({filled("uniq")})
 
 def over_bookings(body: str, *ctes: str) -> str:
     """A query over ``bookings`` (the raw view, with its key ``k``)."""
-    return f"WITH {BOOKINGS_SQL} {''.join(', ' + c for c in ctes)} {body}"
+    return f"WITH RECURSIVE {BOOKINGS_SQL} {''.join(', ' + c for c in ctes)} {body}"
 
 
 def over_cleaned(body: str, *ctes: str) -> str:

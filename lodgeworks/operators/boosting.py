@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from lodgeworks.operators.ordering import ranked_values
 from lodgeworks.session import staged
 
-MAX_BINS = 512
+MAX_BINS = 128
 #: Rounds after which the scores so far are written next to the rows, so that a pass adds up few trees.
 CUT_EVERY = 10
 #: A task has at least so many distinct rows, as long as there are few tasks.

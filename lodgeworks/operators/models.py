@@ -104,15 +104,11 @@ class Stacking:
         self.base, self.inputs, self.key = dict(base), list(inputs), key
         self.folds, self.final, self.threads = folds, final, threads
 
-    def fit(self, df: DataFrame, known: dict[str, Any] | None = None) -> StackedModel:
-        """``known`` holds base models that are already fitted on ``df``.
-
-        Boosted base models grow together, for all folds and for all rows, in the same passes.
-        """
+    def fit(self, df: DataFrame) -> StackedModel:
+        """Boosted base models grow together, for all folds and for all rows, in the same passes."""
         data = checkpointed(add_fold(df, self.key, self.folds))
         made = {n: make() for n, make in self.base.items()}
-        whole = dict(known or {})
-        fits = [(n, f) for n in made for f in [*range(self.folds), *([] if n in whole else [None])]]
+        fits = [(n, f) for n in made for f in [*range(self.folds), None]]
         boosted = [(n, f) for n, f in fits if isinstance(made[n], BoostedTrees)]
 
         def one(at: tuple) -> Any:
@@ -126,7 +122,7 @@ class Stacking:
             models.update(zip(boosted, together.result() if together else []))
         if failed := next((m for m in models.values() if isinstance(m, Exception)), None):
             raise failed
-        whole.update({n: m for (n, f), m in models.items() if f is None})
+        whole = {n: models[n, None] for n in made}
 
         def out_of_fold(name: str) -> DataFrame:
             parts = [predict_only(models[name, f], data.filter(F.col("fold") == f), [self.key], f"b_{name}") for f in range(self.folds)]
@@ -232,8 +228,8 @@ def train_all(
 ) -> list[Fitted]:
     """Fit every classifier from driver threads; one that fails is reported, not fatal.
 
-    The data stays in Spark: the threads only submit jobs that share the executors. Boosted models grow together.
-    A stack is fitted last and takes over the models named in ``shared``, which must be those of its own base.
+    The data stays in Spark: the threads only submit jobs that share the executors. Boosted models grow together. A stack
+    is fitted first, and its base models named in ``shared``, which must be the classifiers of those names, are not fitted again.
     """
     def judged(name: str, fit: Callable[[], Any]) -> Fitted:
         try:
@@ -245,17 +241,25 @@ def train_all(
         except Exception as error:  # noqa: BLE001 - any failure of one model is a result row
             return Fitted(name, None, f"{type(error).__name__}: {error}")
 
-    boosted = [n for n, c in classifiers.items() if isinstance(c, BoostedTrees)]
-    stacks = [n for n, c in classifiers.items() if isinstance(c, Stacking)]
-    single = [n for n in classifiers if n not in stacks and n not in boosted]
+    found: dict[str, Fitted] = {}
+    known: dict[str, Any] = {}
+    for n, c in classifiers.items():
+        if isinstance(c, Stacking):
+            found[n] = judged(n, lambda c=c: c.fit(train))
+            if found[n].error is None:
+                known.update({b: m for b, m in found[n].model.base.items() if b in shared})
+    rest = [n for n in classifiers if n not in found]
+    boosted = [n for n in rest if n not in known and isinstance(classifiers[n], BoostedTrees)]
     with ThreadPoolExecutor(threads) as pool:
         together = pool.submit(fit_together, [(classifiers[n], None) for n in boosted], train) if boosted else None
-        found = dict(zip(single, pool.map(lambda n: judged(n, lambda: classifiers[n].fit(train)), single)))
+
+        def fit(name: str) -> Any:
+            return known[name] if name in known else classifiers[name].fit(train)
+
+        single = [n for n in rest if n not in boosted]
+        found.update(zip(single, pool.map(lambda n: judged(n, lambda: fit(n)), single)))
         for i, n in enumerate(boosted):
             found[n] = judged(n, lambda i=i: together.result()[i])
-    known = {n: found[n].model for n in shared if n in found and found[n].error is None}
-    for n in stacks:
-        found[n] = judged(n, lambda n=n: classifiers[n].fit(train, {b: m for b, m in known.items() if b in classifiers[n].base}))
     return [found[n] for n in classifiers]
 
 
