@@ -1,7 +1,7 @@
 """Registered queries against their SQL, and the pipeline against a brute-force version."""
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import pytest
 
@@ -11,7 +11,7 @@ from lodgeworks.llm.catalog import ORACLES, QUERIES
 from lodgeworks.llm.quality import fit_quality, score_quality
 from tests.llm.helpers import docs_frame, empty_frame
 from tests.llm.test_filters import brute_contamination
-from tests.llm.test_records import brute_components, brute_print
+from tests.llm.test_similar import brute_kept
 from tests.oracle import compare, connect
 
 
@@ -30,10 +30,7 @@ def brute_pipeline(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     model = fit_quality(docs, spark.read.parquet(f"{sf}/labels.parquet"))
     kept = {r.doc_id: r.text for r in score_quality(docs, model).filter("predicted = 1").collect()}
-    prints = defaultdict(list)
-    for i, t in kept.items():
-        prints[brute_print(t)].append(i)
-    chosen = set(brute_components(prints).values())
+    chosen = brute_kept(kept.items())
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
     return {i for i in chosen if brute_contamination(kept[i], items)[1] == 0}
 
