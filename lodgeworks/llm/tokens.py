@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -18,8 +19,8 @@ from lodgeworks.session import fresh_path
 
 #: A document's ids are stored in parts of at most so many.
 PART_IDS = 1 << 20
-#: Pieces, and words beyond the plain range, whose ids a Python worker remembers; beyond it either memory starts anew.
-MEMO_PIECES, MEMO_WORDS = 500_000, 50_000
+#: Plain words, their pieces, and words beyond the plain range, in either generation of a worker's memory.
+MEMO_WORDS, MEMO_PIECES, MEMO_ODD = 400_000, 400_000, 25_000
 
 # Lengths in bytes of the four values of each control byte, from its four pairs of bits.
 LENGTHS = np.array([[(c >> 2 * k & 3) + 1 for k in range(4)] for c in range(256)], dtype=np.uint8)
@@ -54,14 +55,32 @@ def width_of(tokenizer: Tokenizer) -> str:
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
+class Remembered(dict):
+    """Values computed on first use. Of two generations, the older one goes when the younger is full, so what is used often stays."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__()
+        self.make, self.older = make, {}
+
+    def __missing__(self, name: str) -> bytes:
+        found = self.older.get(name)
+        self[name] = found = self.make(name) if found is None else found
+        return found
+
+    def trim(self, most: int) -> None:
+        if len(self) > most:
+            self.older = dict(self)
+            self.clear()
+
+
 class WordMemo:
-    """Ids of whole texts by way of their pieces, equal to encoding each text at once.
+    """Ids of whole texts by way of their words, equal to encoding each text at once.
 
-    The tokenizer lower-cases a text, drops its white space, cuts it into pieces by a rule and encodes
-    each piece on its own. A text of plain Latin letters, digits and signs is cut here by the same
-    rule, and the tokenizer's model encodes each new piece. In any other text the words (which the
-    tokenizer never joins) are taken one by one: plain ones likewise, the rest by the whole
-    tokenizer. ``tests/llm`` compares both ways.
+    A tokenizer of the known form lower-cases a text, drops its white space, cuts it into pieces by a rule and
+    encodes each piece on its own, so it never joins what white space parts. A word of plain Latin
+    letters, digits and signs is cut here by the same rule, and the tokenizer's model encodes each piece; any other
+    word goes through the whole tokenizer. Words are remembered. A file of another form (``known`` is
+    false) has its whole texts encoded by the tokenizer. ``tests/llm`` compares both ways.
     """
 
     # The plain range, the piece rule and the letters and numbers of that range.
@@ -69,12 +88,28 @@ class WordMemo:
     PIECES = re.compile(
         r"'s|'t|'re|'ve|'m|'ll|'d|[a-zªµºÀ-ÖØ-öø-ſ]+|[0-9²³¹¼-¾]|[^\sa-z0-9ªµºÀ-ÖØ-öø-ſ²³¹¼-¾]+"
     )
+    # The form of tokenizer for which words may be encoded one by one.
+    NORMALIZER = {"type": "Sequence", "normalizers": [
+        {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+    PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = width_of(self.tokenizer)
-        self.words: dict[str, bytes] = {}
-        self.pieces: dict[str, bytes] = {}
+        with open(path, encoding="utf-8") as file:
+            form = json.load(file)
+        self.known = (
+            form.get("normalizer") == self.NORMALIZER and form.get("pre_tokenizer") == self.PRE_TOKENIZER
+            and form["model"].get("type", "BPE") == "BPE" and not form["model"].get("dropout")
+            and all(re.fullmatch(r"<\|\S*", t["content"]) and not (t["normalized"] or t["lstrip"] or t["rstrip"]) for t in form["added_tokens"]))
+        self.model = self.tokenizer.model
+        # The bytes of every id.
+        self.packed = [self._pack([i]) for i in range(self.tokenizer.get_vocab_size())]
+        self.words = Remembered(self._word)
+        self.pieces = Remembered(self._piece)
+        self.odd = Remembered(self._whole)
         # The byte alphabet of the model: printable Latin-1 stands for itself, the rest follows from 256 on.
         plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
         others = [b for b in range(256) if b not in plain]
@@ -85,34 +120,35 @@ class WordMemo:
 
     def _piece(self, piece: str) -> bytes:
         spelled = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.alphabet)
-        found = self._pack([t.id for t in self.tokenizer.model.tokenize(spelled)])
-        self.pieces[piece] = found
-        return found
-
-    def _plain(self, text: str) -> bytes:
-        get, make = self.pieces.get, self._piece
-        return b"".join([get(p) or make(p) for p in self.PIECES.findall(text.lower())])
+        packed = self.packed
+        return b"".join([packed[t.id] for t in self.model.tokenize(spelled)])
 
     def _word(self, word: str) -> bytes:
-        if "<|" not in word and self.PLAIN.fullmatch(word):
-            return self._plain(word)
-        found = self.words.get(word)
-        if found is None:
-            found = self._pack(self.tokenizer.encode(word, add_special_tokens=False).ids)
-            self.words[word] = found
-        return found
+        """A plain, lower-cased word; letters alone are one piece. A word beside other signs finds its piece again."""
+        if word.isalpha():
+            return self.pieces[word]
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():
+            return self.pieces[word[:-1]] + self.pieces[word[-1]]
+        return b"".join(map(self.pieces.__getitem__, self.PIECES.findall(word)))
+
+    def _whole(self, text: str) -> bytes:
+        return self._pack(self.tokenizer.encode(text, add_special_tokens=False).ids)
+
+    def _mixed(self, word: str) -> bytes:
+        return self.words[word.lower()] if "<|" not in word and self.PLAIN.fullmatch(word) else self.odd[word]
 
     def ids(self, text: str | None) -> bytes:
         """Ids of the whole text as little-endian numbers of the width ``dtype``."""
         if not text:
             return b""
-        for memory, most in ((self.pieces, MEMO_PIECES), (self.words, MEMO_WORDS)):
-            if len(memory) > most:
-                memory.clear()
+        if not self.known:
+            return self._whole(text)
+        for memory, most in ((self.words, MEMO_WORDS), (self.pieces, MEMO_PIECES), (self.odd, MEMO_ODD)):
+            memory.trim(most)
         if "<|" not in text and self.PLAIN.fullmatch(text):
-            return self._plain(text)
+            return b"".join(map(self.words.__getitem__, text.lower().split()))
         # bytes.split cuts at ASCII white space, all of which the tokenizer drops.
-        return b"".join([self._word(w.decode()) for w in text.encode().split()])
+        return b"".join([self._mixed(w.decode()) for w in text.encode().split()])
 
 
 _MEMO: dict[str, WordMemo] = {}

@@ -3,6 +3,7 @@
 import base64
 import gzip
 import hashlib
+import json
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -15,6 +16,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 import public_tokenizers
+from lodgeworks.llm import tokens
 from lodgeworks.llm.catalog import QUERIES
 from lodgeworks.llm.components import connected_components
 from lodgeworks.llm.knn_join import voronoi_topk
@@ -68,6 +70,39 @@ def test_words_encode_like_whole_texts(text):
         assert np.frombuffer(memo.ids(t), dtype=memo.dtype).tolist() == memo.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_a_full_memory_keeps_the_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "MEMO_WORDS", 3)
+    monkeypatch.setattr(tokens, "MEMO_PIECES", 4)
+    monkeypatch.setattr(tokens, "MEMO_ODD", 1)
+    memo = WordMemo(VOCABULARY)
+    for _ in range(3):
+        for text in ("one two three four five, six", "Σίγμα one 中文 x-y", "don't stop", "six five four ½ Straße"):
+            assert np.frombuffer(memo.ids(text), dtype=memo.dtype).tolist() == memo.tokenizer.encode(text, add_special_tokens=False).ids
+    assert len(memo.words) + len(memo.words.older) < 20
+
+
+@pytest.mark.parametrize("change", ["other file", "normalizer", "pieces", "added"])
+def test_tokenizers_of_another_form(tmp_path, change):
+    """Whole texts are encoded where the file's rules are not those that words follow."""
+    path = VOCABULARY
+    if change == "other file":
+        path = public_tokenizers.path("byte_bpe_50k.json")
+    else:
+        form = json.load(open(path, encoding="utf-8"))
+        if change == "normalizer":
+            form["normalizer"] = {"type": "NFC"}
+        elif change == "pieces":
+            form["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"\w+"
+        else:
+            form["added_tokens"][0].update(content="one two", special=False)
+        path = str(tmp_path / "changed.json")
+        json.dump(form, open(path, "w", encoding="utf-8"))
+    memo = WordMemo(path)
+    assert not memo.known and MEMO.known
+    for text in ("One two, THREE don't 42 x_y", " two  spaces\n", "É中"):
+        assert np.frombuffer(memo.ids(text), dtype=memo.dtype).tolist() == memo.tokenizer.encode(text, add_special_tokens=False).ids
+
+
 def test_token_files(spark, small, tmp_path, monkeypatch):
     docs = docs_frame(spark)
     write_tokens(docs, str(tmp_path / "t"), VOCABULARY)
