@@ -4,17 +4,19 @@ Values are replaced by bins once; equal rows collapse to one with a count. Then
 tree is one aggregate: each task adds up gradient sums per (model, node, feature, bin) over its rows,
 and the best splits follow from the added tables. Rows are never moved. Models that differ in their
 parameters or leave out another fold share the passes, so a search costs as many passes as its longest model.
+Passes read blocks of rows, one array per feature; a leaf is found by one table look-up per feature.
 """
 
 from __future__ import annotations
 
 import json
 import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
@@ -28,6 +30,10 @@ MAX_BINS = 128
 CUT_EVERY = 10
 #: A task has at least so many distinct rows, as long as there are few tasks.
 TASK_ROWS = 2_000
+#: Distinct rows beyond which the cores have several tasks each.
+MOST_ROWS = 1_000_000
+#: A block has at most so many rows, and so many bytes of scores.
+BLOCK_ROWS, BLOCK_BYTES = 1 << 15, 1 << 23
 #: Tables of so many tasks are added up on the driver; those of more are added up by salt first.
 DIRECT_TASKS = 16
 #: Bytes of the sums that a task holds and hands over in one pass.
@@ -107,7 +113,8 @@ def binned_rows(df: DataFrame, bins: Bins, features: str = "features", label: st
         "codes", F.col(label).cast("double").alias("y"), (F.col(fold).cast("int") if fold else F.lit(-1)).alias("fold"),
         F.xxhash64(key if key else "codes").alias("h"))
     rows = staged(named.groupBy("codes", "y", "fold", "h").agg(F.count(F.lit(1)).cast("double").alias("n")), "binned")
-    tasks = max(1, min(-(-rows.count() // TASK_ROWS), 4 * rows.sparkSession.sparkContext.defaultParallelism))
+    size, cores = rows.count(), rows.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(-(-size // TASK_ROWS), cores * -(-size // (cores * MOST_ROWS))))
     return staged(rows.repartition(tasks), "binned")
 
 
@@ -146,6 +153,56 @@ class Tree:
     def scores(self, codes: np.ndarray, missing: int) -> np.ndarray:
         return np.asarray(self.value)[self.leaf_of(codes, missing)]
 
+    def finder(self, size: int) -> Callable[[np.ndarray], np.ndarray]:
+        """The leaf of every row of codes that are given by feature, for ``size`` bins.
+
+        For each feature and bin a word tells which leaves, from left to right, can still be reached; the words of a row's
+        bins have one leaf in common. A tree of more than 64 leaves is walked.
+        """
+        missing, inner = size - 1, [i for i, f in enumerate(self.feature) if f >= 0]
+        if not inner:
+            return lambda codes: np.zeros(codes.shape[1], dtype=np.int64)
+        if len(inner) > 63:
+            return lambda codes: self.leaf_of(codes.T, missing)
+        leaves: list[int] = []
+        below = [0] * len(self.feature)
+        todo = [(0, False)]
+        while todo:
+            node, seen = todo.pop()
+            if self.feature[node] < 0:
+                below[node] = 1 << len(leaves)
+                leaves.append(node)
+            elif seen:
+                below[node] = below[self.left[node]] | below[self.right[node]]
+            else:
+                todo += [(node, True), (self.right[node], False), (self.left[node], False)]
+        words = {f: np.full(size, below[0], dtype=np.uint64) for f in sorted({self.feature[i] for i in inner})}
+        for i in inner:
+            word, cut = words[self.feature[i]], min(self.cut[i] + 1, missing)
+            goes_left, goes_right = (np.uint64(below[0] ^ below[side]) for side in (self.right[i], self.left[i]))
+            word[:cut] &= goes_left
+            word[cut:missing] &= goes_right
+            word[missing] &= goes_left if self.low[i] else goes_right
+        node_of = np.array(leaves)
+
+        def find(codes: np.ndarray) -> np.ndarray:
+            left = None
+            for f, word in words.items():
+                now = word[codes[f]]
+                left = now if left is None else np.bitwise_and(left, now, out=left)
+            # One bit is left; its place is the exponent of the number.
+            return node_of[(left.astype(np.float64).view(np.int64) >> 52) - 1023]
+
+        return find
+
+    def scorer(self, size: int) -> Callable[[np.ndarray], np.ndarray]:
+        """The score of every row of codes that are given by feature."""
+        find, value = self.finder(size), np.asarray(self.value)
+        if len(self.feature) == 3:  # one split
+            f, by_bin = self.feature[0], value[find({self.feature[0]: np.arange(size)})]
+            return lambda codes: by_bin[codes[f]]
+        return lambda codes: value[find(codes)]
+
 
 @dataclass(frozen=True)
 class Boost:
@@ -345,48 +402,151 @@ class Asked:
     recent: list[Tree]
     tree: Tree
     nodes: list[int]
+    kept: int | None  # the place of its scores; those of trees of depth one are looked up, not kept
+    base: float
 
 
-def _raw_of(part: pd.DataFrame, paths: int) -> np.ndarray:
-    return np.frombuffer(b"".join(part["raw"]), dtype=np.float64).reshape(len(part), paths)
+@dataclass
+class Block:
+    """Many rows: ``codes`` and ``raw`` by feature and by path whose scores are kept."""
 
+    codes: np.ndarray
+    y: np.ndarray
+    n: np.ndarray
+    fold: np.ndarray
+    h: np.ndarray
+    raw: np.ndarray
 
-def _sums(rows: DataFrame, tasks: int, asked: list[Asked], bins: Bins, paths: int) -> dict[int, np.ndarray]:
-    """Per path the sums (node, feature, bin, channel) over all rows."""
-    n_features, size, missing = len(bins.cuts), bins.size, bins.missing
 
-    def add(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        found: dict[int, np.ndarray] = {}
+_BLOCK = "rows int, codes binary, y binary, n binary, fold binary, h binary, raw binary"
+
+
+def _code_type(bins: Bins) -> type:
+    return np.uint8 if bins.size <= 256 else np.uint16
+
+
+def _blocks(rows: DataFrame, bins: Bins, start: Sequence[float] = ()) -> DataFrame:
+    """``binned_rows`` by the block; the scores that are kept begin at ``start``."""
+    most = max(1, min(BLOCK_ROWS, BLOCK_BYTES // (8 * max(1, len(start)))))
+    kind = _code_type(bins)
+
+    def one(part: pd.DataFrame) -> dict:
+        codes = np.frombuffer(b"".join(part["codes"]), dtype=np.uint16).reshape(len(part), len(bins.cuts))
+        raw = np.repeat(np.array(start, dtype=np.float64), len(part))
+        return {"rows": len(part), "codes": np.ascontiguousarray(codes.T.astype(kind)).tobytes(), "y": part["y"].to_numpy(np.float64).tobytes(),
+                "n": part["n"].to_numpy(np.float64).tobytes(), "fold": part["fold"].to_numpy(np.int32).tobytes(),
+                "h": part["h"].to_numpy(np.int64).tobytes(), "raw": raw.tobytes()}
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held: list[pd.DataFrame] = []
+        size = 0
         for part in batches:
-            codes = np.frombuffer(b"".join(part["codes"]), dtype=np.uint16).reshape(len(part), n_features)
-            y, n, fold, hashes = (part[c].to_numpy() for c in ("y", "n", "fold", "h"))
-            raws = _raw_of(part, paths)
-            for a in asked:
-                use = np.ones(len(y), dtype=bool) if a.left_out is None else fold != a.left_out
-                if a.model.row_share < 1:
-                    use &= _kept(hashes, a.model.seed, a.round_, a.model.row_share)
-                if not use.all():
-                    use = np.flatnonzero(use)
-                    mine, label, count, raw = codes[use], y[use], n[use], raws[use, a.path]
-                else:
-                    mine, label, count, raw = codes, y, n, raws[:, a.path]
-                for tree in a.recent:
-                    raw = raw + tree.scores(mine, missing)
-                first, second = _channels(a.model, raw, label)
-                slots = np.full(len(a.tree.feature), -1)
-                slots[a.nodes] = np.arange(len(a.nodes))
-                slot = slots[a.tree.leaf_of(mine, missing)]
-                inside = slot >= 0
-                if not inside.all():
-                    slot, mine, first, second, count = slot[inside], mine[inside], first[inside], second[inside], count[inside]
-                out = found.setdefault(a.path, np.zeros((len(a.nodes), n_features, size, 3)))
-                for f in range(n_features):
-                    at = slot * size + mine[:, f]
-                    for c, weights in enumerate((first * count, second * count, count)):
-                        out[:, f, :, c] += np.bincount(at, weights, len(a.nodes) * size).reshape(len(a.nodes), size)
-        yield pd.DataFrame({"path": list(found), "sums": [t.tobytes() for t in found.values()]})
-
-    parts = rows.mapInPandas(add, "path int, sums binary")
+            while len(part):
+                held.append(part.iloc[: most - size])
+                part, size = part.iloc[most - size :], size + len(held[-1])
+                if size == most:
+                    yield pd.DataFrame([one(pd.concat(held))])
+                    held, size = [], 0
+        if size:
+            yield pd.DataFrame([one(pd.concat(held))])
+
+    return rows.mapInPandas(pack, _BLOCK)
+
+
+def _opened(batch: pa.RecordBatch, bins: Bins) -> Iterator[Block]:
+    for at, rows in enumerate(batch.column("rows").to_pylist()):
+        cell = lambda name, kind: np.frombuffer(batch.column(name)[at].as_py(), dtype=kind)
+        yield Block(cell("codes", _code_type(bins)).reshape(len(bins.cuts), rows), cell("y", np.float64), cell("n", np.float64),
+                    cell("fold", np.int32), cell("h", np.int64), cell("raw", np.float64).reshape(-1, rows))
+
+
+class _Seen:
+    """The rows of a block that a path sees; those of equal folds are cut out once."""
+
+    def __init__(self, block: Block) -> None:
+        self.block, self.known = block, {}
+
+    def of(self, a: Asked) -> tuple:
+        """Places (None: all), codes, labels and counts of the rows."""
+        sampled = a.model.row_share < 1
+        at = (a.left_out, a.path if sampled else None)
+        if at not in self.known:
+            b = self.block
+            use = np.ones(len(b.y), dtype=bool) if a.left_out is None else b.fold != a.left_out
+            if sampled:
+                use &= _kept(b.h, a.model.seed, a.round_, a.model.row_share)
+            if use.all():
+                found = None, b.codes, b.y, b.n
+            else:
+                use = np.flatnonzero(use)
+                found = use, b.codes[:, use], b.y[use], b.n[use]
+            if sampled:
+                return found
+            self.known[at] = found
+        return self.known[at]
+
+
+def _stump_tables(trees: Sequence[Tree], n_features: int, size: int) -> dict[int, np.ndarray]:
+    """The sum of trees of depth one as a number per feature and bin."""
+    tables: dict[int, np.ndarray] = {}
+    for tree in trees:
+        f = tree.feature[0]
+        if f < 0:  # a tree of one leaf
+            tables[0] = tables.get(0, np.zeros(size)) + tree.value[0]
+        else:
+            tables[f] = tables.get(f, np.zeros(size)) + np.asarray(tree.value)[tree.finder(size)({f: np.arange(size)})]
+    return tables
+
+
+def _sums(rows: DataFrame, tasks: int, asked: list[Asked], bins: Bins) -> dict[int, np.ndarray]:
+    """Per path the sums (node, feature, bin, channel) over all rows of the blocks."""
+    n_features, size = len(bins.cuts), bins.size
+
+    def added(a: Asked, block: Block, seen: _Seen, scorers: list, tables: dict, find: Callable, out: np.ndarray) -> None:
+        use, codes, label, count = seen.of(a)
+        if a.kept is None:
+            raw = np.full(len(label), a.base)
+            for f, table in tables.items():
+                raw += table[codes[f]]
+        else:
+            raw = block.raw[a.kept] if use is None else block.raw[a.kept][use]
+            for score in scorers:
+                raw = raw + score(codes)
+        first, second = _channels(a.model, raw, label)
+        slots = np.full(len(a.tree.feature), -1)
+        slots[a.nodes] = np.arange(len(a.nodes))
+        if len(a.tree.feature) == 1:  # all rows are in the root
+            slot = np.zeros(len(label), dtype=np.int64)
+        else:
+            slot = slots[find(codes)]
+            inside = np.flatnonzero(slot >= 0)
+            if len(inside) < len(slot):
+                slot, codes, first, second, count = slot[inside], codes[:, inside], first[inside], second[inside], count[inside]
+        weights = first * count, second * count, count
+        slot *= size
+        for f in range(n_features):
+            at = slot + codes[f]
+            for c, weight in enumerate(weights):
+                out[:, f, :, c] += np.bincount(at, weight, len(a.nodes) * size).reshape(len(a.nodes), size)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = []
+        for a in asked:
+            shallow = a.kept is None
+            ready.append((a, [] if shallow else [t.scorer(size) for t in a.recent],
+                          _stump_tables(a.recent, n_features, size) if shallow else {}, a.tree.finder(size),
+                          np.zeros((len(a.nodes), n_features, size, 3))))
+        any_ = False
+        for batch in batches:
+            for block in _opened(batch, bins):
+                seen, any_ = _Seen(block), True
+                for a, scorers, tables, find, out in ready:
+                    added(a, block, seen, scorers, tables, find, out)
+        if any_:
+            yield pa.RecordBatch.from_pydict({"path": pa.array([r[0].path for r in ready], pa.int32()),
+                                              "sums": pa.array([r[-1].tobytes() for r in ready], pa.binary())})
+
+    parts = rows.mapInArrow(add, "path int, sums binary")
     if tasks > DIRECT_TASKS:
         parts = _added(parts.withColumn("salt", F.spark_partition_id() % DIRECT_TASKS))
     sizes = {a.path: len(a.nodes) for a in asked}
@@ -411,19 +571,22 @@ def _added(parts: DataFrame) -> DataFrame:
     return parts.repartition(DIRECT_TASKS, "salt").select("path", "sums").mapInPandas(add, "path int, sums binary")
 
 
-def _scored(rows: DataFrame, recent: dict[int, list[Tree]], bins: Bins, paths: int) -> DataFrame:
-    """The rows with the trees since the last cut added to ``raw``."""
+def _scored(rows: DataFrame, recent: dict[int, list[Tree]], bins: Bins) -> DataFrame:
+    """The blocks with the trees since the last cut added to ``raw``, by place among the scores that are kept."""
 
-    def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in batches:
-            codes = np.frombuffer(b"".join(part["codes"]), dtype=np.uint16).reshape(len(part), len(bins.cuts))
-            raws = _raw_of(part, paths).copy()
-            for p, trees in recent.items():
-                for tree in trees:
-                    raws[:, p] += tree.scores(codes, bins.missing)
-            yield part.assign(raw=[r.tobytes() for r in raws])
+    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = {p: [t.scorer(bins.size) for t in trees] for p, trees in recent.items()}
+        for batch in batches:
+            raws = []
+            for block in _opened(batch, bins):
+                raw = block.raw.copy()
+                for p, scorers in ready.items():
+                    for s in scorers:
+                        raw[p] += s(block.codes)
+                raws.append(raw.tobytes())
+            yield batch.set_column(batch.schema.get_field_index("raw"), "raw", pa.array(raws, pa.binary()))
 
-    return rows.mapInPandas(score, rows.schema)
+    return rows.mapInArrow(score, _BLOCK)
 
 
 def _prior(rows: DataFrame, paths: list[Path]) -> None:
@@ -448,8 +611,9 @@ def grow(rows: DataFrame, bins: Bins, models: Sequence[tuple[Boost, int | None]]
     if rows.isEmpty():
         raise ValueError("no training rows")
     _prior(rows, paths)
-    start = np.array([p.base for p in paths]).tobytes()
-    now = rows.withColumn("raw", F.lit(start)).persist(StorageLevel.MEMORY_AND_DISK)
+    # Trees of depth one add up to a number per feature and bin; the scores of deeper ones are kept with the rows.
+    kept = {i: at for at, i in enumerate(i for i, p in enumerate(paths) if p.model.depth > 1)}
+    now = _blocks(rows, bins, [paths[i].base for i in kept]).persist(StorageLevel.MEMORY_AND_DISK)
     written = [0] * len(paths)
     tasks = rows.rdd.getNumPartitions()
     most = max(1, PASS_BYTES // (len(bins.cuts) * bins.size * 3 * 8))
@@ -461,8 +625,8 @@ def grow(rows: DataFrame, bins: Bins, models: Sequence[tuple[Boost, int | None]]
             if not take:
                 break  # the other paths keep their nodes for a later pass
             nodes += len(take)
-            asked.append(Asked(i, p.model, p.left_out, len(p.trees), p.trees[written[i]:], p.tree, take))
-        sums = _sums(now, tasks, asked, bins, len(paths))
+            asked.append(Asked(i, p.model, p.left_out, len(p.trees), p.trees[written[i]:], p.tree, take, kept.get(i), p.base))
+        sums = _sums(now, tasks, asked, bins)
         for a in asked:
             p = paths[a.path]
             table = sums.get(a.path)
@@ -473,9 +637,10 @@ def grow(rows: DataFrame, bins: Bins, models: Sequence[tuple[Boost, int | None]]
             p.asked = p.asked[len(a.nodes):]
             if not p.asked:
                 p.split()
-        if any(len(p.trees) - w >= CUT_EVERY for p, w in zip(paths, written)):
-            recent = {i: p.trees[written[i]:] for i, p in enumerate(paths) if not p.done and len(p.trees) > written[i]}
-            before, now = now, staged(_scored(now, recent, bins, len(paths)), "scores").persist(StorageLevel.MEMORY_AND_DISK)
+        open_ = [i for i in kept if not paths[i].done]
+        if any(len(paths[i].trees) - written[i] >= CUT_EVERY for i in open_):
+            recent = {i: paths[i].trees[written[i]:] for i in open_ if len(paths[i].trees) > written[i]}
+            before, now = now, staged(_scored(now, {kept[i]: t for i, t in recent.items()}, bins), "scores").persist(StorageLevel.MEMORY_AND_DISK)
             for i in recent:
                 written[i] = len(paths[i].trees)
             now.count()
@@ -488,25 +653,25 @@ def held_out_accuracy(rows: DataFrame, bins: Bins, paths: Sequence[Path], wanted
     """For each of ``wanted`` (a path, a number of its first trees) the share of right answers on the fold that it left out, in one pass."""
     grown = [(p.base, p.trees, p.left_out) for p in paths]
 
-    def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right, seen = np.zeros(len(wanted)), np.zeros(len(wanted))
-        for part in batches:
-            codes = np.frombuffer(b"".join(part["codes"]), dtype=np.uint16).reshape(len(part), len(bins.cuts))
-            y, n, fold = (part[c].to_numpy() for c in ("y", "n", "fold"))
+        scorers = [[t.scorer(bins.size) for t in trees] for _, trees, _ in grown]
+        for block in (b for batch in batches for b in _opened(batch, bins)):
             for p, (base, trees, left_out) in enumerate(grown):
                 # Shorter paths are read off on the way along the longest one.
                 asked = sorted((rounds, w) for w, (path, rounds) in enumerate(wanted) if path == p)
-                use = np.flatnonzero(fold == left_out)
+                use = np.flatnonzero(block.fold == left_out)
+                codes, y, n = block.codes[:, use], block.y[use], block.n[use]
                 raw, done = np.full(len(use), base), 0
                 for rounds, w in asked:
-                    for tree in trees[done:rounds]:
-                        raw += tree.scores(codes[use], bins.missing)
+                    for score in scorers[p][done:rounds]:
+                        raw += score(codes)
                     done = max(done, rounds)
-                    right[w] += (n[use] * ((raw > 0) == (y[use] > 0))).sum()
-                    seen[w] += n[use].sum()
-        yield pd.DataFrame({"w": range(len(wanted)), "right": right, "seen": seen})
+                    right[w] += (n * ((raw > 0) == (y > 0))).sum()
+                    seen[w] += n.sum()
+        yield pa.RecordBatch.from_pydict({"w": pa.array(range(len(wanted)), pa.int32()), "right": right, "seen": seen})
 
-    sums = rows.mapInPandas(judge, "w int, right double, seen double").groupBy("w").agg(F.sum("right"), F.sum("seen")).collect()
+    sums = _blocks(rows, bins).mapInArrow(judge, "w int, right double, seen double").groupBy("w").agg(F.sum("right"), F.sum("seen")).collect()
     found = {w: a / b if b else float("nan") for w, a, b in sums}
     return [found[w] for w in range(len(wanted))]
 
@@ -531,17 +696,22 @@ class BoostedModel:
         total = sum(self.gains)
         return [g / total if total else 0.0 for g in self.gains]
 
-    def raw(self, x: np.ndarray) -> np.ndarray:
-        codes = self.bins.codes(x)
-        return self.base + sum((t.scores(codes, self.bins.missing) for t in self.trees), np.zeros(len(x)))
+    def scorers(self) -> list[Callable[[np.ndarray], np.ndarray]]:
+        return [t.scorer(self.bins.size) for t in self.trees]
+
+    def raw(self, x: np.ndarray, scorers: Sequence[Callable[[np.ndarray], np.ndarray]] | None = None) -> np.ndarray:
+        codes = np.ascontiguousarray(self.bins.codes(x).T)
+        return self.base + sum((s(codes) for s in scorers or self.scorers()), np.zeros(len(x)))
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Rows score on their own; the trees travel with the function."""
         model = self
 
         @F.pandas_udf("double")
-        def score(features: pd.Series) -> pd.Series:
-            return pd.Series(model.raw(np.array(features.tolist(), dtype=float).reshape(len(features), len(model.bins.cuts))))
+        def score(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            scorers = model.scorers()
+            for features in parts:
+                yield pd.Series(model.raw(np.array(features.tolist(), dtype=float).reshape(len(features), len(model.bins.cuts)), scorers))
 
         scored = df.withColumn("_raw", score(_as_array(df, "features")))
         return scored.withColumns({"probability_one": 1 / (1 + F.exp(-F.col("_raw"))), "prediction": (F.col("_raw") > 0).cast("double")}).drop("_raw")

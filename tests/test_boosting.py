@@ -232,3 +232,29 @@ def test_saved_trees_score_alike(spark, tmp_path):
     meta = model.save(spark, str(tmp_path))
     again = BoostedModel.load(spark, str(tmp_path), meta)
     assert np.array_equal(again.raw(x), model.raw(x)) and again.importance() == model.importance() and isinstance(again.bins, Bins)
+
+
+def test_look_ups_find_the_leaves_of_a_walk():
+    """Trees of one leaf, of up to 64 leaves and of more; the last bin is that of missing values."""
+    rng = np.random.default_rng(9)
+    codes = rng.integers(0, 20, (4, 3_000)).astype(np.uint8)
+    for splits in (0, 1, 5, 63, 64, 90):
+        tree = boosting.Tree()
+        for _ in range(splits):
+            leaf = rng.choice([i for i, f in enumerate(tree.feature) if f < 0])
+            tree.grow(int(leaf), int(rng.integers(4)), int(rng.integers(19)), bool(rng.integers(2)))
+        tree.value = rng.normal(size=len(tree.value)).tolist()
+        assert np.array_equal(tree.finder(20)(codes), tree.leaf_of(codes.T, 19))
+        assert np.array_equal(tree.scorer(20)(codes), tree.scores(codes.T, 19))
+
+
+def test_stumps_keep_no_scores_with_the_rows(spark, monkeypatch):
+    """What a search over stumps writes does not grow with its paths and rounds."""
+    x, y = sample(np.random.default_rng(8), 300)
+    df = table(spark, x, y)
+    bins = fit_bins(df)
+    rows = binned_rows(df, bins)
+    monkeypatch.setattr(boosting, "CUT_EVERY", 1)
+    monkeypatch.setattr(boosting, "staged", lambda *_: pytest.fail("scores were written"))
+    path = grow(rows, bins, [(Boost("stumps", rounds=5, depth=1, step=0.5), None)])[0]
+    assert len(path.trees) == 5
