@@ -463,8 +463,8 @@ def _opened(batch: pa.RecordBatch, bins: Bins) -> Iterator[Block]:
 class _Seen:
     """The rows of a block that a path sees; those of equal folds are cut out once."""
 
-    def __init__(self, block: Block) -> None:
-        self.block, self.known = block, {}
+    def __init__(self, block: Block, size: int) -> None:
+        self.block, self.size, self.known, self.classes = block, size, {}, {}
 
     def of(self, a: Asked) -> tuple:
         """Places (None: all), codes, labels and counts of the rows."""
@@ -485,6 +485,20 @@ class _Seen:
             self.known[at] = found
         return self.known[at]
 
+    def by_class(self, a: Asked) -> tuple | None:
+        """The place of every row among (class, bin) by feature, minus half its sign, and the counts by feature and bin; None for other labels."""
+        if a.model.row_share < 1:
+            return None
+        if a.left_out not in self.classes:
+            _, codes, label, count = self.of(a)
+            found = None
+            if np.isin(label, (0.0, 1.0)).all():
+                first = (label * self.size).astype(np.int64)
+                counts = np.stack([np.bincount(c, count, self.size) for c in codes])
+                found = [first + c for c in codes], (1 - 2 * label) / 2, counts
+            self.classes[a.left_out] = found
+        return self.classes[a.left_out]
+
 
 def _stump_tables(trees: Sequence[Tree], n_features: int, size: int) -> dict[int, np.ndarray]:
     """The sum of trees of depth one as a number per feature and bin."""
@@ -504,6 +518,21 @@ def _sums(rows: DataFrame, tasks: int, asked: list[Asked], bins: Bins) -> dict[i
 
     def added(a: Asked, block: Block, seen: _Seen, scorers: list, tables: dict, find: Callable, out: np.ndarray) -> None:
         use, codes, label, count = seen.of(a)
+        if a.model.kind == "stumps" and a.kept is None and len(a.tree.feature) == 1 and (by_class := seen.by_class(a)) is not None:
+            # A row adds its weight to its class only, and the counts are those of all paths that see the same rows.
+            places, sign, counts = by_class
+            raw = np.full(len(label), a.base)
+            for f, table in tables.items():
+                raw += table[codes[f]]
+            raw *= sign
+            weight = np.exp(raw, out=raw)
+            weight *= count
+            for f in range(n_features):
+                by_bin = np.bincount(places[f], weight, 2 * size)
+                out[0, f, :, 0] += by_bin[size:]
+                out[0, f, :, 1] += by_bin[:size]
+            out[0, :, :, 2] += counts
+            return
         if a.kept is None:
             raw = np.full(len(label), a.base)
             for f, table in tables.items():
@@ -539,7 +568,7 @@ def _sums(rows: DataFrame, tasks: int, asked: list[Asked], bins: Bins) -> dict[i
         any_ = False
         for batch in batches:
             for block in _opened(batch, bins):
-                seen, any_ = _Seen(block), True
+                seen, any_ = _Seen(block, size), True
                 for a, scorers, tables, find, out in ready:
                     added(a, block, seen, scorers, tables, find, out)
         if any_:
