@@ -85,3 +85,11 @@ def test_trees_without_a_split(spark):
         extra_trees_importance(ones.selectExpr("IF(label = 1, NULL, a) AS a", "b", "label"), "ab")
     with pytest.raises(ValueError, match="null"):
         extra_trees_importance(ones.selectExpr("a", "label + 1 AS label"), "a")
+
+
+def test_blocks_of_few_rows_give_the_same(spark, monkeypatch):
+    """Rows read by the block: many small blocks in few tasks."""
+    monkeypatch.setattr(extratrees, "BLOCK_ROWS", 7)
+    x, y = sample(60)
+    got = [r.importance for r in extra_trees_importance(frame(spark, x, y), "abcde", trees=2, seed=5).collect()]
+    assert np.allclose(got, plain_importance(x, y, 2, 5), atol=1e-12)
