@@ -256,3 +256,15 @@ def test_a_failing_draw_is_a_row(prepared):
     with pytest.raises(ValueError):
         tuning.random_search("logistic_regression", preset, prepared.parts["train"], prepared.key,
                              space={"C": lambda rng: -1.0}, draws=1, folds=2)
+
+
+def test_svm_tasks_read_bounded_shares(spark, monkeypatch):
+    """The mapped rows are dealt to as many tasks as their number asks for, however few files they came from."""
+    rows = [(Vectors.dense([i / 10, 1.0]), i / 10, 1.0, float(i > 200)) for i in range(400)]
+    df = spark.createDataFrame(rows, ["features", "a", "b", "label"]).coalesce(1)
+    kept = []
+    checkpointed = models.checkpointed
+    monkeypatch.setattr(models, "checkpointed", lambda rows: kept.append(rows.rdd.getNumPartitions()) or checkpointed(rows))
+    monkeypatch.setattr(models, "SVM_TASK_ROWS", 50)
+    models.CalibratedSvm(["a", "b"], kernel="rbf", dims=4, max_iter=3).fit(df)
+    assert kept == [8]
