@@ -1,11 +1,12 @@
 from functools import partial
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from lodgeworks.operators import models, tuning
+from lodgeworks.operators import knn, models, tuning
 from lodgeworks.operators.knn import Cells, KnnClassifier
 from lodgeworks.operators.split import TRAIN_TEST, add_fold, add_split, fit_scaler
 from lodgeworks.plans import train as training
@@ -268,3 +269,30 @@ def test_svm_tasks_read_bounded_shares(spark, monkeypatch):
     monkeypatch.setattr(models, "SVM_TASK_ROWS", 50)
     models.CalibratedSvm(["a", "b"], kernel="rbf", dims=4, max_iter=3).fit(df)
     assert kept == [8]
+
+
+@pytest.mark.parametrize("dims, k, bounded", [(5, 5, False), (5, 30, True), (2, 3, False)])
+def test_a_query_meets_only_the_cells_within_its_radius(monkeypatch, dims, k, bounded):
+    rng = np.random.default_rng(3)
+    # Few values per feature: many rows at the same distance, which the id decides.
+    x = np.unique(rng.integers(0, 60 if dims == 2 else 9, (20_000, dims)) / 4.0, axis=0)
+    points = pd.DataFrame({"x": list(x), "label": rng.integers(0, 2, len(x)).astype(float),
+                           "n": rng.integers(1, 4, len(x)), "pid": rng.permutation(len(x))})
+    queries = np.vstack([x[rng.integers(0, len(x), 200)], rng.normal(1, 1, (200, dims)), np.full((1, dims), 1e3)])
+    radius = rng.uniform(0.1, 0.6, len(queries)) if bounded else np.full(len(queries), np.inf)
+    met, whole = [], knn._distance
+
+    def counted(q, p):
+        met.append(len(q) * len(p))
+        return whole(q, p)
+
+    monkeypatch.setattr(knn, "_distance", counted)
+    got = knn._nearest(points, queries, radius, k)
+    assert sum(met) < len(queries) * len(x) / (3 if dims == 5 else 2)
+    pid = points["pid"].to_numpy()
+    for q, r, (d, label, n, ids) in zip(queries, radius, got):
+        d2 = ((x - q) ** 2).sum(axis=1)
+        best = np.lexsort((pid, d2))[:k]
+        best = best[d2[best] <= r]
+        assert ids == pid[best].tolist() and d == pytest.approx(d2[best].tolist())
+        assert (label, n) == (points["label"].to_numpy()[best].tolist(), points["n"].to_numpy()[best].tolist())
