@@ -18,6 +18,8 @@ from lodgeworks.operators.split import Scaler, add_split, fit_scaler
 from lodgeworks.session import checkpointed, staged
 from lodgeworks.sources.files import read_parquet
 
+TASK_ROWS = 10_000  # a fit of fewer rows is not spread over more tasks
+
 
 @dataclass
 class Prepared:
@@ -33,11 +35,17 @@ def prepare(df: DataFrame, label: str, columns: Sequence[str] = MODEL_FEATURES,
         df.select(key, *columns, F.col(label).cast("double").alias("label")), key
     ), "prepared")
     scaler = fit_scaler(rows.filter("split = 'train'"), columns)
-    # Many fits read these rows; the checkpoint keeps their lineage short and survives executors.
-    data = checkpointed(PipelineModel(scaler.stages()).transform(rows))
+    # Many fits read these rows, each the columns it needs; scaling them again costs less than a second, wider copy.
+    data = PipelineModel(scaler.stages()).transform(_spread(rows))
     return Prepared(scaler, {s: data.filter(F.col("split") == s) for s in ("train", "valid", "test")}, key)
 
 
+def _spread(rows: DataFrame) -> DataFrame:
+    """Staged rows in more tasks, where they are too few to keep the cores busy."""
+    tasks = min(rows.sparkSession.sparkContext.defaultParallelism, rows.count() // TASK_ROWS)
+    return staged(rows.repartition(tasks), "prepared") if tasks >= 2 * rows.rdd.getNumPartitions() else rows
+
+
 def train(
     prepared: Prepared, names: Sequence[str] | None = None, select_on: str = "valid", threads: int = 4,
     params: dict[str, dict[str, Any]] | None = None,

@@ -296,3 +296,29 @@ def test_a_query_meets_only_the_cells_within_its_radius(monkeypatch, dims, k, bo
         best = best[d2[best] <= r]
         assert ids == pid[best].tolist() and d == pytest.approx(d2[best].tolist())
         assert (label, n) == (points["label"].to_numpy()[best].tolist(), points["n"].to_numpy()[best].tolist())
+
+
+def test_few_staged_rows_are_not_spread_and_many_are(spark, monkeypatch):
+    """Every core has rows to fit on; the rows are the same, in the files of one stage."""
+    df = spark.range(400).select(
+        F.col("id").alias("booking_id"), (F.col("id") % 7).alias("a"), (F.col("id") % 2).alias("b"), (F.col("id") % 3 == 0).cast("int").alias("y")
+    ).coalesce(1)
+    few = training.prepare(df, "y", ["a", "b"])
+    monkeypatch.setattr(training, "TASK_ROWS", 50)
+    many = training.prepare(df, "y", ["a", "b"])
+    assert few.parts["train"].rdd.getNumPartitions() == 1
+    assert many.parts["train"].rdd.getNumPartitions() >= 4
+    for part in few.parts:
+        assert sorted(map(tuple, few.parts[part].collect())) == sorted(map(tuple, many.parts[part].collect()))
+
+
+def test_prepared_rows_are_written_once(spark, monkeypatch):
+    """The scaled columns and the vector are made where they are read, not written beside the rows."""
+    def refused(df):
+        raise AssertionError("a second copy of the rows")
+
+    monkeypatch.setattr(training, "checkpointed", refused)
+    df = spark.range(100).select(F.col("id").alias("booking_id"), (F.col("id") % 7).alias("a"), (F.col("id") % 2).alias("y"))
+    data = training.prepare(df, "y", ["a"])
+    assert sum(part.count() for part in data.parts.values()) == 100
+    assert set(data.parts["train"].columns) >= {"booking_id", "a", "a_scaled", "features", "label"}
