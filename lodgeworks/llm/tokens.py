@@ -6,7 +6,7 @@ import json
 import os
 import re
 import struct
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -19,6 +19,8 @@ from lodgeworks.session import fresh_path
 
 #: A document's ids are stored in parts of at most so many.
 PART_IDS = 1 << 20
+#: Ids that are counted, packed or unpacked at once; a longer document or part on its own.
+BLOCK_IDS = 1 << 17
 #: Plain words, their pieces, and words beyond the plain range, in either generation of a worker's memory.
 MEMO_WORDS, MEMO_PIECES, MEMO_ODD = 400_000, 400_000, 25_000
 
@@ -50,6 +52,52 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
+def encode_parts(values: np.ndarray, lengths: np.ndarray) -> list[tuple[bytes, bytes]]:
+    """``encode_ranks`` of the neighbouring parts of ``values`` that have these lengths, all at once."""
+    size = (1 + (values >= 1 << 8) + (values >= 1 << 16) + (values >= 1 << 24)).astype(np.uint8)
+    start, quads = np.cumsum(lengths) - lengths, -(-lengths // 4)
+    first = np.cumsum(quads) - quads
+    # The last control byte of a part has values to spare, so a part begins at a byte of its own.
+    codes = np.zeros(4 * int(quads.sum()), dtype=np.uint8)
+    codes[np.arange(len(values)) + np.repeat(4 * first - start, lengths)] = size - 1
+    four = codes.reshape(-1, 4)
+    control = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes()
+    most = int(size.max(initial=1))
+    width = 4 if most > 2 else most
+    cells = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
+    data = cells[np.arange(width)[None, :] < size[:, None]].tobytes()
+    at = np.append(0, np.cumsum(size, dtype=np.int64))
+    spans = zip(first.tolist(), (first + quads).tolist(), at[start].tolist(), at[start + lengths].tolist())
+    return [(control[a:b], data[c:d]) for a, b, c, d in spans]
+
+
+def decode_parts(control: Sequence[bytes], data: Sequence[bytes], lengths: np.ndarray) -> np.ndarray:
+    """The values of all parts, one after the other."""
+    start, quads = np.cumsum(lengths) - lengths, -(-lengths // 4)
+    first = np.cumsum(quads) - quads
+    used = np.arange(int(lengths.sum())) + np.repeat(4 * first - start, lengths)
+    size = LENGTHS[np.frombuffer(b"".join(control), dtype=np.uint8)].reshape(-1)[used]
+    at = np.cumsum(size, dtype=np.int64) - size
+    raw = np.frombuffer(b"".join(data), dtype=np.uint8)
+    out = raw[at].astype(np.uint32)
+    for k in range(1, int(size.max(initial=1))):
+        longer = np.flatnonzero(size > k)
+        out[longer] |= raw[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+    return out
+
+
+def together(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
+    """Spans of neighbours that have at most ``most`` in all, or are one."""
+    start = held = end = 0
+    for end, size in enumerate(sizes, 1):
+        if held and held + size > most:
+            yield start, end - 1
+            start, held = end - 1, 0
+        held += size
+    if end > start:
+        yield start, end
+
+
 def width_of(tokenizer: Tokenizer) -> str:
     """Two bytes per id where the vocabulary allows it."""
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
@@ -176,11 +224,14 @@ def rank_table(tokens: DataFrame, dtype: str) -> np.ndarray:
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(0, dtype=np.int64)
         for batch in batches:
-            for raw in batch["ids"]:
-                n = np.bincount(np.frombuffer(raw, dtype=dtype))
-                if len(n) > len(total):
-                    total = np.pad(total, (0, len(n) - len(total)))
-                total[: len(n)] += n
+            held = batch["ids"].tolist()
+            for a, b in together(map(len, held), BLOCK_IDS * np.dtype(dtype).itemsize):
+                ids = np.frombuffer(b"".join(held[a:b]), dtype=dtype)
+                for i in range(0, len(ids), PART_IDS):
+                    n = np.bincount(ids[i : i + PART_IDS])
+                    if len(n) > len(total):
+                        total = np.pad(total, (0, len(n) - len(total)))
+                    total[: len(n)] += n
         used = np.flatnonzero(total)
         yield pd.DataFrame({"id": used, "n": total[used]})
 
@@ -212,13 +263,16 @@ def write_tokens(docs: DataFrame, path: str, vocabulary: str, *, end_id: int = 2
     def packed(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         upto = 0
         for series in batches:
-            out, sums = [], []
-            for raw in series:
-                values = shared.value[np.frombuffer(raw, dtype=dtype)]
-                pieces = [values[i : i + PART_IDS] for i in range(0, len(values), PART_IDS)]
-                out.append([{"n": len(p), **dict(zip(("control", "data"), encode_ranks(p)))} for p in pieces])
-                upto += len(values)
-                sums.append(upto)
+            width, held = np.dtype(dtype).itemsize, series.tolist()
+            pieces = [(row, raw[i : i + PART_IDS * width]) for row, raw in enumerate(held) for i in range(0, len(raw), PART_IDS * width)]
+            out: list[list[dict]] = [[] for _ in held]
+            for a, b in together((len(raw) for _, raw in pieces), BLOCK_IDS * width):
+                values = shared.value[np.frombuffer(b"".join([raw for _, raw in pieces[a:b]]), dtype=dtype)]
+                lengths = [len(raw) // width for _, raw in pieces[a:b]]
+                for (row, _), n, (control, data) in zip(pieces[a:b], lengths, encode_parts(values, np.array(lengths))):
+                    out[row].append({"n": n, "control": control, "data": data})
+            sums = upto + np.cumsum([len(raw) // width for raw in held], dtype=np.int64)
+            upto = int(sums[-1]) if len(sums) else upto
             yield pd.DataFrame({"parts": pd.Series(out, dtype=object), "upto": pd.Series(sums, dtype="int64")})
 
     # Every file holds one range of keys in order; where its ids begin follows from the files before
@@ -241,9 +295,15 @@ def read_tokens(spark: SparkSession, path: str, *, key: str = "doc_id") -> DataF
     @F.pandas_udf("binary")
     def unpacked(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for series in parts:
-            yield pd.Series([
-                b"".join(shared.value[decode_ranks(p["control"], p["data"], p["n"])].tobytes() for p in stored)
-                for stored in series], dtype=object)
+            pieces = [(row, p["n"], p["control"], p["data"]) for row, stored in enumerate(series) for p in stored]
+            out: list[list[bytes]] = [[] for _ in range(len(series))]
+            for a, b in together((p[1] for p in pieces), BLOCK_IDS):
+                row, lengths, control, data = zip(*pieces[a:b])
+                ids = shared.value[decode_parts(control, data, np.array(lengths))].tobytes()
+                ends = [0, *(4 * np.cumsum(lengths, dtype=np.int64)).tolist()]
+                for at, i, j in zip(row, ends, ends[1:]):
+                    out[at].append(ids[i:j])
+            yield pd.Series([b"".join(parts) for parts in out], dtype=object)
 
     rows = with_offsets(spark.read.parquet(f"{path}/ids"))
     return rows.select(key, F.col(BEFORE).alias("start"), unpacked("parts").alias("ids"))

@@ -62,6 +62,20 @@ def test_variable_length_coding(values):
     assert decode_ranks(control, data, len(values)).tolist() == values
 
 
+@given(st.lists(st.lists(st.one_of(st.integers(0, 70_000), st.integers(0, 2**32 - 1)), max_size=9), max_size=8))
+@settings(max_examples=200, deadline=None)
+def test_parts_are_coded_together(parts):
+    values, lengths = np.array(sum(parts, []), dtype=np.uint32), np.array([len(p) for p in parts], dtype=np.int64)
+    coded = tokens.encode_parts(values, lengths)
+    assert coded == [encode_ranks(np.array(p, dtype=np.uint32)) for p in parts]
+    assert tokens.decode_parts([c for c, _ in coded], [d for _, d in coded], lengths).tolist() == values.tolist()
+
+
+def test_blocks_of_ids_hold_every_part_once():
+    assert list(tokens.together([3, 0, 5, 9, 1, 1], 5)) == [(0, 2), (2, 3), (3, 4), (4, 6)]
+    assert list(tokens.together([], 5)) == [] and list(tokens.together([0, 0], 5)) == [(0, 2)]
+
+
 @given(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x24F, exclude_categories=["Cs"]), st.sampled_from(" \n\t'stredvm.,!12é\u0301Σ\u212a\u2003中\u0130\u00ad"), st.characters(exclude_categories=["Cs"]))))
 @settings(max_examples=600, deadline=None)
 def test_words_encode_like_whole_texts(text):
