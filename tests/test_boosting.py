@@ -258,3 +258,28 @@ def test_stumps_keep_no_scores_with_the_rows(spark, monkeypatch):
     monkeypatch.setattr(boosting, "staged", lambda *_: pytest.fail("scores were written"))
     path = grow(rows, bins, [(Boost("stumps", rounds=5, depth=1, step=0.5), None)])[0]
     assert len(path.trees) == 5
+
+
+def test_a_pass_needs_no_plan(spark, monkeypatch):
+    x, y = sample(np.random.default_rng(5), 400)
+    df = table(spark, x, y)
+    bins = fit_bins(df)
+    rows = binned_rows(df, bins)
+    planned = []
+    frame = type(rows)
+    monkeypatch.setattr(frame, "mapInArrow", lambda *a, f=frame.mapInArrow, **k: planned.append(1) or f(*a, **k))
+    path, = grow(rows, bins, [(Boost("second_order", rounds=4, depth=3), None)])
+    assert len(path.trees) == 4 and not planned
+
+
+def test_tables_of_many_tasks_add_up_by_salt(spark, monkeypatch):
+    x, y = sample(np.random.default_rng(6), 600)
+    df = table(spark, x, y)
+    bins = fit_bins(df)
+    rows = binned_rows(df, bins).repartition(5).localCheckpoint()
+    models = [(Boost("second_order", rounds=3, depth=3), None), (Boost("gradient", rounds=3, depth=2, step=0.1), None)]
+    want = grow(rows, bins, models)
+    monkeypatch.setattr(boosting, "DIRECT_TASKS", 2)
+    for a, b in zip(want, grow(rows, bins, models)):
+        assert [(t.feature, t.cut) for t in a.trees] == [(t.feature, t.cut) for t in b.trees]
+        assert np.allclose([v for t in a.trees for v in t.value], [v for t in b.trees for v in t.value])

@@ -1,3 +1,4 @@
+import threading
 from functools import partial
 
 import numpy as np
@@ -322,3 +323,24 @@ def test_prepared_rows_are_written_once(spark, monkeypatch):
     data = training.prepare(df, "y", ["a"])
     assert sum(part.count() for part in data.parts.values()) == 100
     assert set(data.parts["train"].columns) >= {"booking_id", "a", "a_scaled", "features", "label"}
+
+
+def test_out_of_fold_predictions_do_not_wait_for_the_boosted_models(prepared, monkeypatch):
+    options = models.presets(prepared.scaler.outputs, prepared.key)
+    begun = threading.Event()
+    together, only = models.fit_together, models.predict_only
+    waited = []
+
+    def late(*args):
+        waited.append(begun.wait(60))
+        return together(*args)
+
+    def predict(*args):
+        begun.set()
+        return only(*args)
+
+    monkeypatch.setattr(models, "fit_together", late)
+    monkeypatch.setattr(models, "predict_only", predict)
+    base = {"ada_boost": partial(options["ada_boost"].make, rounds=2), "logistic_regression": options["logistic_regression"].make}
+    model = options["stacked_clf"].make(base=base).fit(prepared.parts["train"])
+    assert waited == [True] and list(model.base) == list(base)
