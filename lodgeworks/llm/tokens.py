@@ -54,36 +54,54 @@ def decode_ranks(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def encode_parts(values: np.ndarray, lengths: np.ndarray) -> list[tuple[bytes, bytes]]:
     """``encode_ranks`` of the neighbouring parts of ``values`` that have these lengths, all at once."""
-    size = (1 + (values >= 1 << 8) + (values >= 1 << 16) + (values >= 1 << 24)).astype(np.uint8)
-    start, quads = np.cumsum(lengths) - lengths, -(-lengths // 4)
-    first = np.cumsum(quads) - quads
+    most = int(values.max(initial=0))
+    longer = [(values >= limit).view(np.uint8) for limit in (1 << 8, 1 << 16, 1 << 24) if most >= limit]
+    code = sum(longer, np.zeros(len(values), dtype=np.uint8))
     # The last control byte of a part has values to spare, so a part begins at a byte of its own.
-    codes = np.zeros(4 * int(quads.sum()), dtype=np.uint8)
-    codes[np.arange(len(values)) + np.repeat(4 * first - start, lengths)] = size - 1
+    codes = np.zeros(4 * int((-(-lengths // 4)).sum()), dtype=np.uint8)
+    spans, start, first, upto = [], 0, 0, 0
+    for n in lengths.tolist():
+        mine, quads = code[start : start + n], -(-n // 4)
+        codes[4 * first : 4 * first + n] = mine
+        size = n + int(mine.sum())
+        spans.append((first, first + quads, upto, upto + size))
+        start, first, upto = start + n, first + quads, upto + size
     four = codes.reshape(-1, 4)
     control = (four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6).tobytes()
-    most = int(size.max(initial=1))
-    width = 4 if most > 2 else most
-    cells = values.astype(f"<u{width}").view(np.uint8).reshape(-1, width)
-    data = cells[np.arange(width)[None, :] < size[:, None]].tobytes()
-    at = np.append(0, np.cumsum(size, dtype=np.int64))
-    spans = zip(first.tolist(), (first + quads).tolist(), at[start].tolist(), at[start + lengths].tolist())
+    data = _cells(values, len(longer) + 1)[_used(code, len(longer) + 1)].tobytes()
     return [(control[a:b], data[c:d]) for a, b, c, d in spans]
 
 
 def decode_parts(control: Sequence[bytes], data: Sequence[bytes], lengths: np.ndarray) -> np.ndarray:
     """The values of all parts, one after the other."""
-    start, quads = np.cumsum(lengths) - lengths, -(-lengths // 4)
-    first = np.cumsum(quads) - quads
-    used = np.arange(int(lengths.sum())) + np.repeat(4 * first - start, lengths)
-    size = LENGTHS[np.frombuffer(b"".join(control), dtype=np.uint8)].reshape(-1)[used]
-    at = np.cumsum(size, dtype=np.int64) - size
-    raw = np.frombuffer(b"".join(data), dtype=np.uint8)
-    out = raw[at].astype(np.uint32)
-    for k in range(1, int(size.max(initial=1))):
-        longer = np.flatnonzero(size > k)
-        out[longer] |= raw[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
-    return out
+    sizes = LENGTHS[np.frombuffer(b"".join(control), dtype=np.uint8)].reshape(-1)
+    parts, first = [], 0
+    for n in lengths.tolist():
+        parts.append(sizes[first : first + n])
+        first += -(-n // 4) * 4
+    code = np.concatenate([*parts, np.zeros(0, dtype=np.uint8)]) - np.uint8(1)
+    most = int(code.max(initial=0)) + 1
+    cells = np.zeros(_width(most) * len(code), dtype=np.uint8)
+    cells[_used(code, most)] = np.frombuffer(b"".join(data), dtype=np.uint8)
+    return cells.view(f"<u{_width(most)}").astype(np.uint32)
+
+
+def _width(most: int) -> int:
+    return 4 if most > 2 else most
+
+
+def _cells(values: np.ndarray, most: int) -> np.ndarray:
+    """The bytes of ``values`` of up to ``most`` bytes, 1, 2 or 4 each."""
+    return values.astype(f"<u{_width(most)}").view(np.uint8)
+
+
+def _used(code: np.ndarray, most: int) -> np.ndarray:
+    """Which of those bytes are stored; ``code`` is a value's number of bytes less one."""
+    width = _width(most)
+    used = np.ones(width * len(code), dtype=bool)
+    for k in range(1, width):
+        used[k::width] = code >= k
+    return used
 
 
 def together(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
