@@ -9,6 +9,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from lodgeworks.operators.boosting import BoostedModel
+from lodgeworks.operators.forest import ForestModel
 from lodgeworks.operators.knn import Cells, KnnClassifier, KnnModel
 from lodgeworks.operators.models import StackedModel
 
@@ -19,6 +20,10 @@ class ScoringModel:
     def __init__(self, scaler: PipelineModel, model: Any) -> None:
         self.scaler, self.model = scaler, model
 
+    @property
+    def stages(self) -> list:
+        return [*self.scaler.stages, self.model]
+
     def transform(self, df: DataFrame) -> DataFrame:
         return self.model.transform(self.scaler.transform(df))
 
@@ -59,6 +64,8 @@ def save_model(spark: SparkSession, model: Any, path: str) -> None:
         }
     elif isinstance(model, BoostedModel):
         meta = {"kind": "boosted", **model.save(spark, path)}
+    elif isinstance(model, ForestModel):
+        meta = {"kind": "forest", **model.save(spark, path)}
     elif is_native(model):
         whole = model if isinstance(model, PipelineModel) else PipelineModel([model])
         whole.write().overwrite().save(f"{path}/stages")
@@ -80,5 +87,7 @@ def load_model(spark: SparkSession, path: str) -> Any:
         return StackedModel(base, meta["inputs"], meta["key"], load_model(spark, f"{path}/final"))
     if kind == "boosted":
         return BoostedModel.load(spark, path, meta)
+    if kind == "forest":
+        return ForestModel.load(spark, path, meta)
     settings = KnnClassifier(meta["k"], meta["weights"], meta["leaf_rows"], meta["chunk_rows"], meta["part_rows"])
     return KnnModel(settings, spark.read.parquet(f"{path}/points"), Cells.from_dict(meta["cells"]))
