@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.ml.linalg import Vectors
 
-from lodgeworks.operators import forest
+from lodgeworks.operators import forest, models
 from lodgeworks.operators.boosting import Bins
 from lodgeworks.operators.extratrees import draws
 from lodgeworks.operators.forest import Forest, ForestModel, RandomForest, picked_cuts
@@ -156,3 +156,14 @@ def test_odd_rows(spark):
     missing = ForestModel(Bins(((0.5,),)), 1, np.array([0, -1, -1]), np.array([0, 0, 0]), np.array([1, -1, -1]), np.array([0.5, 0.0, 1.0]))
     at = np.array([[0.0], [1.0], [np.nan]])
     assert missing.scores(at).tolist() == missing.scores(at, missing.grid()).tolist() == [0.0, 1.0, 1.0]
+
+
+def test_many_rows_are_fitted_over_cells(spark, monkeypatch):
+    """Few rows keep the forest of Spark ML."""
+    x, y = sample()
+    df, classifier = frame(spark, x, y), models.presets(["a"], "k")["random_forest"].make(trees=5, depth=4)
+    assert type(classifier.fit(df)).__name__ == "RandomForestClassificationModel"
+    monkeypatch.setattr(models, "FOREST_ROWS", 399)
+    model = classifier.fit(df)
+    assert isinstance(model, ForestModel) and model.trees == 5
+    assert {r.prediction for r in model.transform(df).collect()} == {0.0, 1.0}
