@@ -195,13 +195,16 @@ def _verified(keyed: DataFrame, distance: int, pivots: np.ndarray) -> DataFrame:
     return grouped.mapInPandas(links, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, distance: int = 2, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+def near_duplicates(
+    docs: DataFrame, distance: int = 2, *, key: str = "doc_id", text: str = "text", root: str | None = None,
+) -> DataFrame:
     """``docs`` (without the text) with ``fingerprint`` and ``component_id``, the smallest key reachable over links.
 
     Copies collapse to one class per fingerprint before anything is compared. A null or empty text
     has fingerprint zero and is linked like any other; a null key takes no part in the minimum (a
     component of only null keys has a null id); repeated rows stay, with the same id; columns named
-    ``fingerprint`` or ``component_id`` are replaced.
+    ``fingerprint`` or ``component_id`` are replaced. ``root`` names a column for one fingerprint of the component, which
+    tells components apart where keys are null or stand in several of them.
     """
     plain = docs.drop("fingerprint", "component_id")
     kept = [F.col(f"`{c}`") for c in plain.columns if c != text]
@@ -213,7 +216,8 @@ def near_duplicates(docs: DataFrame, distance: int = 2, *, key: str = "doc_id",
     named = classes.join(roots, classes["fingerprint"] == roots["node"], "left").select(
         "fingerprint", "_least", F.coalesce("root", "fingerprint").alias("_root"))
     least = named.groupBy("_root").agg(F.min("_least").alias("component_id"))
-    labels = staged(named.join(least, "_root").select(F.col("fingerprint").alias("__lw_print"), "component_id"), "labels")
+    roots_too = [F.col("_root").alias(root)] if root else []
+    labels = staged(named.join(least, "_root").select(F.col("fingerprint").alias("__lw_print"), "component_id", *roots_too), "labels")
     return prints.join(labels, F.col("fingerprint") == F.col("__lw_print")).drop("__lw_print")
 
 
