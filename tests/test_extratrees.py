@@ -1,10 +1,13 @@
 """Extremely randomised trees against a plain Python version with the same draws."""
 
+import os
+
 import numpy as np
 import pytest
 
 from lodgeworks.operators import extratrees
 from lodgeworks.operators.extratrees import draws, extra_trees_importance
+from lodgeworks.session import discard, shared_dir
 
 
 def plain_importance(x, y, trees, seed, depth=None, tried=2, least=2):
@@ -93,3 +96,25 @@ def test_blocks_of_few_rows_give_the_same(spark, monkeypatch):
     x, y = sample(60)
     got = [r.importance for r in extra_trees_importance(frame(spark, x, y), "abcde", trees=2, seed=5).collect()]
     assert np.allclose(got, plain_importance(x, y, 2, 5), atol=1e-12)
+
+
+def test_trees_grow_in_groups_and_leave_no_rows(spark, monkeypatch):
+    """One tree at a time, rows written at every level: the same result, short slots, and no blocks left in the shared folder."""
+    for name, value in (("HAND", 1), ("BLOCK_ROWS", 7), ("FILE_BLOCKS", 2), ("CUT_LEVELS", 1)):
+        monkeypatch.setattr(extratrees, name, value)
+    kinds, blocks = [], extratrees.Blocks
+    monkeypatch.setattr(extratrees, "Blocks", lambda *a: kinds.append((a[3], a[4])) or blocks(*a))
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    x, y = sample(60)
+    got = [r.importance for r in extra_trees_importance(frame(spark, x, y), "abcde", trees=3, seed=5).collect()]
+    assert np.allclose(got, plain_importance(x, y, 3, 5), atol=1e-12)
+    assert set(kinds) == {(1, np.int16)} and not [f for f in set(os.listdir(folder)) - before if f.startswith(("trees", "cells"))]
+
+
+def test_only_staged_files_are_discarded(spark, tmp_path):
+    path = str(tmp_path / "mine")
+    spark.range(3).write.parquet(path)
+    with pytest.raises(ValueError, match="staged"):
+        discard(spark.read.parquet(path))
+    assert spark.read.parquet(path).count() == 3
