@@ -1,6 +1,7 @@
 """Boosted trees against plain Python versions of the same rules."""
 
 import math
+import os
 
 import numpy as np
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodgeworks.operators import boosting
 from lodgeworks.operators.boosting import Bins, Boost, BoostedModel, BoostedTrees, binned_rows, fit_bins, grow
+from lodgeworks.session import shared_dir
 
 
 def table(spark, x, y, **more):
@@ -283,3 +285,14 @@ def test_tables_of_many_tasks_add_up_by_salt(spark, monkeypatch):
     for a, b in zip(want, grow(rows, bins, models)):
         assert [(t.feature, t.cut) for t in a.trees] == [(t.feature, t.cut) for t in b.trees]
         assert np.allclose([v for t in a.trees for v in t.value], [v for t in b.trees for v in t.value])
+
+
+def test_replaced_scores_are_discarded(spark, monkeypatch):
+    """Only the binned rows stay; the files of scores go when newer ones are written."""
+    monkeypatch.setattr(boosting, "CUT_EVERY", 2)
+    folder = shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(folder))
+    x, y = sample(np.random.default_rng(3), 200)
+    BoostedTrees(Boost(rounds=7, depth=2)).fit(table(spark, x, y))
+    left = set(os.listdir(folder)) - before
+    assert sorted(f.split("-")[0] for f in left if f.startswith(("scores", "binned"))) == ["binned"]
